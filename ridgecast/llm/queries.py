@@ -15,8 +15,22 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ridgecast.llm.decontaminate import decontaminate, digest
+
+    return digest(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ridgecast.llm.secrets import digest, findings, scan
+    from ridgecast.llm.store import materialize
+
+    docs = table(spark, sf_dir, "documents")
+    return digest(findings(docs, materialize(scan(docs), "ledger")))
+
+
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op8_ngram_jaccard_join,)}
+    return {f.__name__: f for f in (op2_benchmark_decontamination, op5_secret_scans, op8_ngram_jaccard_join)}
 
 
 def llm_oracle_sql() -> dict[str, str]:

@@ -43,3 +43,48 @@ def jaccard(docs):
                             x, y = sorted((find(a), find(b)))
                             up[y] = x
     return {d: (len(s), find(d)) for d, s in sets.items()}
+
+
+ITEM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def item_words(text):
+    return ITEM.findall((text or "").translate(UP))
+
+
+def decontaminate(docs, items):
+    """-> {doc_id: (n_words, n_hit, n_items, sha, contaminated)}"""
+    import hashlib
+
+    wins = {}
+    for i, t in items:
+        w = item_words(t)
+        for k in [10] if len(w) >= 10 else [len(w)]:
+            if k:
+                for j in range(len(w) - k + 1):
+                    wins.setdefault(tuple(w[j : j + k]), set()).add(i)
+    lens = {len(k) for k in wins}
+    out = {}
+    for d, t in docs:
+        w = item_words(t)
+        hit, ids = set(), set()
+        for k in lens:
+            for j in range(len(w) - k + 1):
+                if got := wins.get(tuple(w[j : j + k])):
+                    ids |= got
+                    hit |= set(range(j, j + k))
+        out[d] = (len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(map(str, ids))).encode()).hexdigest(), bool(hit))
+    return out
+
+
+ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
+
+
+def secrets(text):
+    """-> (n_assign, n_access, n_hex, base string)"""
+    text = text or ""
+    spans = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    spans += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    spans += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    n = [sum(s[1] == k for s in spans) for k in range(3)]
+    return (*n, ",".join(f"{k}:{s}:{e}" for s, _, e, k in sorted(spans)))
