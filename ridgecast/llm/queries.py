@@ -9,12 +9,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ridgecast.llm.quality import quality
+
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ridgecast.llm.ngram_join import jaccard_components
 
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ridgecast.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ridgecast.llm.decontaminate import decontaminate, digest
 
@@ -29,8 +41,24 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(findings(docs, materialize(scan(docs), "ledger")))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = (
+    op1_best_fit_packing,
+    op2_benchmark_decontamination,
+    op5_secret_scans,
+    op7_quality_classifier,
+    op8_ngram_jaccard_join,
+    pipeline,
+)
+
+
 def llm_queries() -> dict:
-    return {f.__name__: f for f in (op2_benchmark_decontamination, op5_secret_scans, op8_ngram_jaccard_join)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def llm_oracle_sql() -> dict[str, str]:
