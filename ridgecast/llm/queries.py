@@ -33,6 +33,12 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return digest(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ridgecast.llm.suffix_dedup import digest, remove_repeats
+
+    return digest(remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ridgecast.llm.secrets import digest, findings, scan
     from ridgecast.llm.store import materialize
@@ -50,6 +56,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = (
     op1_best_fit_packing,
     op2_benchmark_decontamination,
+    op4_suffix_array_dedup,
     op5_secret_scans,
     op7_quality_classifier,
     op8_ngram_jaccard_join,

@@ -88,3 +88,24 @@ def secrets(text):
     spans += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
     n = [sum(s[1] == k for s in spans) for k in range(3)]
     return (*n, ",".join(f"{k}:{s}:{e}" for s, _, e, k in sorted(spans)))
+
+
+def repeats(docs, span=50):
+    """[(doc_id, text)] -> {doc_id: (n_bytes, n_removed, n_spans, sha)}; ids are distinct."""
+    import hashlib
+
+    first = {}
+    data = {d: (t or "").encode() for d, t in docs}
+    for d in sorted(data):
+        b = data[d]
+        for i in range(len(b) - span + 1):
+            first.setdefault(b[i : i + span], d)
+    out = {}
+    for d, b in data.items():
+        gone = bytearray(len(b))
+        for i in range(len(b) - span + 1):
+            if first[b[i : i + span]] < d:
+                gone[i : i + span] = b"\1" * span
+        runs = len([1 for x in bytes(gone).split(b"\0") if x])
+        out[d] = (len(b), sum(gone), runs, hashlib.sha256(bytes(x for x, g in zip(b, gone, strict=True) if not g)).hexdigest())
+    return out
