@@ -59,7 +59,7 @@ class Chunk:
     bounds: np.ndarray
 
 
-def chunks(column: pa.Array, limit: int = 2 << 20) -> Iterator[Chunk]:
+def chunks(column: pa.Array, limit: int = 2 << 20, rows: int = 1 << 15) -> Iterator[Chunk]:
     """Split a string column (null: empty) into chunks of whole rows of about ``limit`` bytes."""
     n = len(column)
     if not n:
@@ -72,7 +72,7 @@ def chunks(column: pa.Array, limit: int = 2 << 20) -> Iterator[Chunk]:
     a = 0
     while a < n:
         b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + limit, "right")) - 1)
-        b = min(b, n)
+        b = min(b, n, a + rows)
         yield Chunk(a, b - a, data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
         a = b
 

@@ -33,6 +33,13 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return digest(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op3_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ridgecast.llm.pseudonyms import pseudonymise
+
+    # The key is the caller's secret; a fixed one makes this query repeatable.
+    return pseudonymise(table(spark, sf_dir, "documents"), key=b"a fixed key for the registered query")
+
+
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ridgecast.llm.suffix_dedup import digest, remove_repeats
 
@@ -47,6 +54,12 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(findings(docs, materialize(scan(docs), "ledger")))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ridgecast.llm.language import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -56,10 +69,12 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = (
     op1_best_fit_packing,
     op2_benchmark_decontamination,
+    op3_feistel_pseudonyms,
     op4_suffix_array_dedup,
     op5_secret_scans,
     op7_quality_classifier,
     op8_ngram_jaccard_join,
+    op9_language_id,
     pipeline,
 )
 
