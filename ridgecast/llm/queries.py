@@ -60,6 +60,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ridgecast.llm.nearest import search
+
+    return search(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -75,6 +81,7 @@ QUERIES = (
     op7_quality_classifier,
     op8_ngram_jaccard_join,
     op9_language_id,
+    op10_nearest_neighbours,
     pipeline,
 )
 
