@@ -9,6 +9,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ridgecast.llm.maxent import score
+
+    return score(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ridgecast.llm.quality import quality
 
@@ -78,6 +84,7 @@ QUERIES = (
     op3_feistel_pseudonyms,
     op4_suffix_array_dedup,
     op5_secret_scans,
+    op6_maxent_scores,
     op7_quality_classifier,
     op8_ngram_jaccard_join,
     op9_language_id,

@@ -109,3 +109,21 @@ def repeats(docs, span=50):
         runs = len([1 for x in bytes(gone).split(b"\0") if x])
         out[d] = (len(b), sum(gone), runs, hashlib.sha256(bytes(x for x, g in zip(b, gone, strict=True) if not g)).hexdigest())
     return out
+
+
+def base_scores(docs):
+    """[(doc_id, text)] -> (N, {doc_id: (held_out, n_tokens, n_known, base)})"""
+    import math
+    import zlib
+    from collections import Counter
+
+    c = Counter()
+    for d, t in docs:
+        if zlib.crc32(str(d).encode()) % 10:
+            c.update(space_words(t) + [None])
+    n, v = sum(c.values()), len(c)
+    out = {}
+    for d, t in docs:
+        w = [*space_words(t), None]
+        out[d] = (zlib.crc32(str(d).encode()) % 10 == 0, len(w), sum(c[x] > 0 for x in w), sum(math.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w))
+    return n, out
