@@ -396,7 +396,7 @@ def greenfield_candidates(spark, d):
     return greenfield_of(spark, gaps_of(spark, d))
 
 
-@query(f"with {GAPS}, {COLO}, reach as (select cand_id, sum(demand) as naive_demand from colo c join gaps g on (g.x-c.x)*(g.x-c.x)+(g.y-c.y)*(g.y-c.y) <= 1.6e9 group by cand_id) select c.*, round(coalesce(naive_demand, 0e0), 3) as naive_demand from colo c left join reach using (cand_id) order by coalesce(naive_demand, 0e0) desc, cand_id limit 10")
+@query(f"with {GAPS}, {COLO}, reach as (select cand_id, sum(demand) as naive_demand from colo c join gaps g on (g.x-c.x)*(g.x-c.x)+(g.y-c.y)*(g.y-c.y) <= 1.6e9 group by cand_id) select c.*, case when (select count(*) from colo) > 10 then round(coalesce(naive_demand, 0e0), 3) end as naive_demand from colo c left join reach using (cand_id) order by coalesce(naive_demand, 0e0) desc, cand_id limit 10")
 def naive_demand_topk(spark, d):
     gaps = gaps_of(spark, d)
     return siting.prune(siting.colocation(frame(spark, d, "towers"), gaps), gaps, RADIO.max_link_m, 10).withColumn("naive_demand", F.round("naive_demand", 3))

@@ -34,7 +34,8 @@ def unzip(archive: str, folder: str, names: list[str]) -> list[Path]:
 def read_ragged(spark: SparkSession, path: str, columns: dict[str, int], delimiter: str = "|") -> DataFrame:
     """Latin-1 lines split at ``delimiter``; columns by position (free text may hold the delimiter); lines that are too short are left out."""
     parts = F.split("value", f"[{delimiter}]", -1)
-    lines = spark.read.option("encoding", "ISO-8859-1").text(path).withColumn("p", parts)
+    # The text source hands over raw bytes, whatever encoding is asked for.
+    lines = spark.read.text(path).withColumn("value", F.decode(F.col("value").cast("binary"), "ISO-8859-1")).withColumn("p", parts)
     return lines.where(F.size("p") > max(columns.values())).select(*[F.col("p")[i].alias(c) for c, i in columns.items()])
 
 
