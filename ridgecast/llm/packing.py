@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridgecast.llm.batches import chunks, words
-from ridgecast.llm.store import materialize, shuffle_width
+from ridgecast.llm.store import shuffle_width
 
 SIZES = (512, 1024, 2048, 4096, 8192)
 OUT = "doc_id long, piece int, start long, n_tokens long, bin_id long, bin_size long, bin_offset long"
@@ -169,8 +169,9 @@ def pack(docs: DataFrame, sizes: Sequence[int] = SIZES, cost=default_cost) -> Da
     measured = slim.mapInArrow(_lengths, "doc_id long, n long")
     cut = measured.select("doc_id", "n", F.explode(F.expr(f"sequence(0L, greatest(n - 1, 0L) div {top})")).alias("k"))
     cut = cut.select("doc_id", F.col("k").cast("int").alias("piece"), (F.col("k") * top).alias("start"), F.least(F.col("n") - F.col("k") * top, F.lit(top)).alias("n_tokens"))
-    # The slice must come from the row alone: a lost task is then redone alike.
-    pieces = materialize(cut.withColumn("slice", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(slices)).cast("int")), "pieces")
+    # The slice comes from the row alone, so that a lost task, or the second pass over the texts, gives it alike. Measuring
+    # texts again is cheaper than writing and reading the pieces.
+    pieces = cut.withColumn("slice", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(slices)).cast("int"))
     counts = pieces.where("n_tokens > 0").groupBy("n_tokens", "slice").agg(F.count("*").alias("c"))
     histogram = {r["n_tokens"]: r["c"] for r in counts.groupBy("n_tokens").agg(F.sum("c").alias("c")).collect()}
     seg = spark.sparkContext.broadcast(segments(plan(histogram, sizes, cost)))
