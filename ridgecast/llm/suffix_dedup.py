@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridgecast.llm.batches import U, by_group, chunks, doc_ids, mix, pack40, span_hashes, unpack40
-from ridgecast.llm.store import shuffle_width
+from ridgecast.llm.store import materialize, shuffle_width
 
 GRAM = 16
 BLOB = "part int, kind int, blob binary"
@@ -72,22 +72,31 @@ def _texts(parts: int):
     return run
 
 
+def _by_part(batches):
+    """(part, its (kind, blob) rows) for each part of a partition; blobs stay compressed until a part's turn."""
+    parts: dict[int, list] = {}
+    for batch in batches:
+        for part, kind, blob in zip(batch.column("part").to_pylist(), batch.column("kind").to_pylist(), batch.column("blob"), strict=True):
+            parts.setdefault(part, []).append((kind, blob))
+    for part in sorted(parts):
+        yield part, parts.pop(part)
+
+
 class Bucket:
-    """The texts of a bucket (kind 0), as one array, and the answers to it (kind 1)."""
+    """The texts of a bucket (kind 0), as one array, and the shards' answers to it about anchors (1) and windows (2)."""
 
-    def __init__(self, batches):
-        ids, sizes, texts, self.answers, self.part = [], [], [], {}, 0
-        for batch in batches:
-            for part, kind, blob in zip(batch.column("part").to_pylist(), batch.column("kind").to_pylist(), batch.column("blob"), strict=True):
-                self.part = part
-                m = _expand(blob)
-                n = int(np.frombuffer(m, "<i8", 1)[0])
-                if kind == 0:
-                    ids.append(np.frombuffer(m, "<i8", n, 8))
-                    sizes.append(np.frombuffer(m, "<i8", n, 8 + 8 * n))
-                    texts.append(np.frombuffer(m, np.uint8, offset=8 + 16 * n))
-                else:
-                    self.answers[n] = np.frombuffer(m, np.uint8, offset=8)
+    def __init__(self, part, rows):
+        ids, sizes, texts = [], [], []
+        self.part, self.answers = part, {1: {}, 2: {}}
+        for kind, blob in rows:
+            m = _expand(blob)
+            n = int(np.frombuffer(m, "<i8", 1)[0])
+            if kind == 0:
+                ids.append(np.frombuffer(m, "<i8", n, 8))
+                sizes.append(np.frombuffer(m, "<i8", n, 8 + 8 * n))
+                texts.append(np.frombuffer(m, np.uint8, offset=8 + 16 * n))
+            else:
+                self.answers[kind][n] = np.frombuffer(m, np.uint8, offset=8)
         self.ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
         self.bounds = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64) if ids else np.zeros(1, np.int64)
         self.data = np.concatenate(texts) if ids else np.zeros(0, np.uint8)
@@ -169,12 +178,13 @@ def _cuts(shard: np.ndarray, parts: int) -> np.ndarray:
 
 def _send_anchors(parts: int, span: int):
     def run(batches):
-        b = Bucket(batches)
-        _, _, doc, h = b.runs(span)
-        u, multi = _distinct_anchors(h, b.ids[doc])
-        cut = _cuts(_shard_of(u, parts), parts)
-        to = np.flatnonzero(np.diff(cut))
-        yield _rows(to, 1, [_squeeze(np.array([b.part, cut[p + 1] - cut[p]], "<i8").tobytes(), pack40(u[cut[p] : cut[p + 1]] & U((1 << 40) - 1)), np.packbits(multi[cut[p] : cut[p + 1]]).tobytes()) for p in to])
+        for part, rows in _by_part(batches):
+            b = Bucket(part, rows)
+            _, _, doc, h = b.runs(span)
+            u, multi = _distinct_anchors(h, b.ids[doc])
+            cut = _cuts(_shard_of(u, parts), parts)
+            to = np.flatnonzero(np.diff(cut))
+            yield _rows(to, 1, [_squeeze(np.array([b.part, cut[p + 1] - cut[p]], "<i8").tobytes(), pack40(u[cut[p] : cut[p + 1]] & U((1 << 40) - 1)), np.packbits(multi[cut[p] : cut[p + 1]]).tobytes()) for p in to])
 
     return run
 
@@ -189,41 +199,38 @@ def _distinct_anchors(h, ids):
 
 
 def _answer_anchors(batches):
-    sender, prints, multi, own = [], [], [], 0
-    for batch in batches:
-        for part, blob in zip(batch.column("part").to_pylist(), batch.column("blob"), strict=True):
-            own = part
+    for own, rows in _by_part(batches):
+        sender, prints, multi = [], [], []
+        for _, blob in rows:
             m = _expand(blob)
             p, n = (int(x) for x in np.frombuffer(m, "<i8", 2))
             sender.append((p, n))
             prints.append(unpack40(m[16:], n))
             multi.append(np.unpackbits(np.frombuffer(m, np.uint8, offset=16 + 5 * n), count=n).astype(bool))
-    if not sender:
-        return
-    x = np.concatenate(prints)
-    order = np.argsort(x)
-    xs = x[order]
-    new = np.concatenate([[True], xs[1:] != xs[:-1]])
-    at = np.flatnonzero(new)
-    shared = np.empty(len(x), bool)
-    shared[order] = np.repeat(np.diff(np.append(at, len(x))) > 1, np.diff(np.append(at, len(x))))
-    shared |= np.concatenate(multi)
-    at, blobs = 0, []
-    for _, n in sender:
-        blobs.append(_squeeze(np.array([own], "<i8").tobytes(), np.packbits(shared[at : at + n]).tobytes()))
-        at += n
-    yield _rows([p for p, _ in sender], 1, blobs)
+        x = np.concatenate(prints)
+        order = np.argsort(x)
+        xs = x[order]
+        at = np.flatnonzero(np.concatenate([[True], xs[1:] != xs[:-1]]))
+        times = np.diff(np.append(at, len(x)))
+        shared = np.empty(len(x), bool)
+        shared[order] = np.repeat(times > 1, times)
+        shared |= np.concatenate(multi)
+        at, blobs = 0, []
+        for _, n in sender:
+            blobs.append(_squeeze(np.array([own], "<i8").tobytes(), np.packbits(shared[at : at + n]).tobytes()))
+            at += n
+        yield _rows([p for p, _ in sender], 1, blobs)
 
 
 class Segments:
     """Distinct segments of a bucket whose anchor is shared, in an order that the texts alone fix."""
 
-    def __init__(self, b: Bucket, anchors_answered: dict, parts: int, span: int):
+    def __init__(self, b: Bucket, parts: int, span: int):
         a, z, doc, h = b.runs(span)
         u, _ = _distinct_anchors(h, b.ids[doc])
         cut = _cuts(_shard_of(u, parts), parts)
         shared = np.zeros(len(u), bool)
-        for p, bits in anchors_answered.items():
+        for p, bits in b.answers[1].items():
             shared[cut[p] : cut[p + 1]] = np.unpackbits(bits, count=cut[p + 1] - cut[p])
         take = shared[np.searchsorted(u, h)] if len(u) else np.zeros(0, bool)
         self.a, self.z, self.doc, h = a[take], z[take], doc[take], h[take]
@@ -245,22 +252,23 @@ class Segments:
         self.cut = _cuts(_shard_of(self.hash, parts), parts)
 
 
-def _gather(data, start, size):
-    """The concatenation of ``data[start:start + size]``."""
+def _index(start, size):
+    """The positions start, start + 1, ... start + size - 1 of each pair, in one array."""
     ends = np.cumsum(size)
     index = np.arange(int(ends[-1]) if len(ends) else 0, dtype=np.int64)
     index += np.repeat(start - (ends - size), size)
-    return data[index]
+    return index
 
 
 def _send_segments(parts: int, span: int):
     def run(batches):
-        b = Bucket(batches)
-        s = Segments(b, b.answers, parts, span)
-        for p in np.flatnonzero(np.diff(s.cut)):
-            i, j = s.cut[p], s.cut[p + 1]
-            text = _gather(b.data, s.first[i:j], s.windows[i:j] + span - 1)
-            yield _rows([p], 1, [_squeeze(np.array([b.part, j - i], "<i8").tobytes(), s.hash[i:j].tobytes(), s.least[i:j].tobytes(), s.windows[i:j].astype("<i4").tobytes(), text.tobytes())])
+        for part, rows in _by_part(batches):
+            b = Bucket(part, rows)
+            s = Segments(b, parts, span)
+            for p in np.flatnonzero(np.diff(s.cut)):
+                i, j = s.cut[p], s.cut[p + 1]
+                text = b.data[_index(s.first[i:j], s.windows[i:j] + span - 1)]
+                yield _rows([p], 1, [_squeeze(np.array([part, j - i], "<i8").tobytes(), s.hash[i:j].tobytes(), s.least[i:j].tobytes(), s.windows[i:j].astype("<i4").tobytes(), text.tobytes())])
 
     return run
 
@@ -301,20 +309,16 @@ def refine(data: np.ndarray, depth: int = 50) -> np.ndarray:
 
 
 def _answer_segments(span: int):
-    def run(batches):
-        sender, h, least, windows, text, own = [], [], [], [], [], 0
-        for batch in batches:
-            for part, blob in zip(batch.column("part").to_pylist(), batch.column("blob"), strict=True):
-                own = part
-                m = _expand(blob)
-                p, n = (int(x) for x in np.frombuffer(m, "<i8", 2))
-                sender.append((p, n))
-                h.append(np.frombuffer(m, "<u8", n, 16))
-                least.append(np.frombuffer(m, "<i8", n, 16 + 8 * n))
-                windows.append(np.frombuffer(m, "<i4", n, 16 + 16 * n))
-                text.append(np.frombuffer(m, np.uint8, offset=16 + 20 * n))
-        if not sender:
-            return
+    def shard(own, rows):
+        sender, h, least, windows, text = [], [], [], [], []
+        for _, blob in rows:
+            m = _expand(blob)
+            p, n = (int(x) for x in np.frombuffer(m, "<i8", 2))
+            sender.append((p, n))
+            h.append(np.frombuffer(m, "<u8", n, 16))
+            least.append(np.frombuffer(m, "<i8", n, 16 + 8 * n))
+            windows.append(np.frombuffer(m, "<i4", n, 16 + 16 * n))
+            text.append(np.frombuffer(m, np.uint8, offset=16 + 20 * n))
         h, least, windows, text = np.concatenate(h), np.concatenate(least), np.concatenate(windows).astype(np.int64), np.concatenate(text)
         size = windows + span - 1
         start = np.concatenate([[0], np.cumsum(size)])[:-1]
@@ -330,16 +334,16 @@ def _answer_segments(span: int):
             k = order[edges[at] : edges[to]]
             at = to
             # Equal segments of different buckets are sorted once.
-            block = _gather(text, start[k], size[k])
+            block = text[_index(start[k], size[k])]
             ends = np.cumsum(size[k])
             f = span_hashes(block, ends - size[k], ends) ^ mix(h[k])
             u, first, inv = np.unique(f, return_index=True, return_inverse=True)
             low = np.full(len(u), TOP, np.int64)
             np.minimum.at(low, inv, least[k])
             uw = windows[k][first]
-            ublock = _gather(block, (ends - size[k])[first], size[k][first])
+            ublock = block[_index((ends - size[k])[first], size[k][first])]
             uend = np.cumsum(uw + span - 1)
-            places = _gather(np.arange(len(ublock)), uend - (uw + span - 1), uw)
+            places = _index(uend - (uw + span - 1), uw)
             rank = refine(ublock, span)[places]
             o = np.argsort(rank)
             new = np.concatenate([[True], rank[o][1:] != rank[o][:-1]])
@@ -347,14 +351,18 @@ def _answer_segments(span: int):
             smallest = np.empty(len(rank), np.int64)
             smallest[o] = lowest[np.cumsum(new) - 1]
             uslot = np.concatenate([[0], np.cumsum(uw)])
-            mine = _gather(smallest, uslot[inv], windows[k])
-            there = _gather(np.arange(len(bits)), slot[k], windows[k])
+            mine = smallest[_index(uslot[inv], windows[k])]
+            there = _index(slot[k], windows[k])
             bits[there] = mine < np.repeat(least[k], windows[k])
         at, blobs = 0, []
         for _, n in sender:
             blobs.append(_squeeze(np.array([own], "<i8").tobytes(), np.packbits(bits[slot[at] : slot[at + n]]).tobytes()))
             at += n
-        yield _rows([p for p, _ in sender], 2, blobs)
+        return _rows([p for p, _ in sender], 2, blobs)
+
+    def run(batches):
+        for own, rows in _by_part(batches):
+            yield shard(own, rows)
 
     return run
 
@@ -363,24 +371,16 @@ OUT = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept
 
 
 def _cut_texts(parts: int, span: int):
-    def run(batches):
-        batches = list(batches)
-        kinds = [b.column("kind").to_numpy() for b in batches]
-        pick = lambda keep: [b.filter(pa.array(np.isin(k, keep))) for b, k in zip(batches, kinds, strict=True)]
-        b = Bucket(pick((0, 1)))
-        removed = Bucket(pick((2,))).answers
-        del batches
-        if not len(b.ids):
-            return
-        s = Segments(b, b.answers, parts, span)
+    def bucket(b):
+        s = Segments(b, parts, span)
         slot = np.concatenate([[0], np.cumsum(s.windows)])
         bits = np.zeros(int(slot[-1]), bool)
-        for p, got in removed.items():
+        for p, got in b.answers[2].items():
             i, j = slot[s.cut[p]], slot[s.cut[p + 1]]
             bits[i:j] = np.unpackbits(got, count=int(j - i))
         n = s.z - s.a + 1
-        gone = _gather(bits, slot[s.of], n) | np.repeat(b.ids[s.doc] > s.least[s.of], n)
-        place = _gather(np.arange(len(b.data)), s.a, n)[gone]
+        gone = bits[_index(slot[s.of], n)] | np.repeat(b.ids[s.doc] > s.least[s.of], n)
+        place = _index(s.a, n)[gone]
         doc = np.repeat(s.doc, n)[gone]
         new = np.concatenate([[True], (place[1:] > place[:-1] + span) | (doc[1:] != doc[:-1])]) if len(place) else np.zeros(0, bool)
         at = np.flatnonzero(new)
@@ -404,21 +404,30 @@ def _cut_texts(parts: int, span: int):
             ids = b.ids[lo:hi]
             yield pa.RecordBatch.from_arrays([pa.array(ids, mask=ids == TOP), pa.array(np.diff(b.bounds[lo : hi + 1])), spans, pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
 
+    def run(batches):
+        for part, rows in _by_part(batches):
+            yield from bucket(Bucket(part, rows))
+
     return run
 
 
-def remove_repeats(docs: DataFrame, span: int = 50) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_bytes, spans removed [start, end) in bytes, kept bytes."""
+def remove_repeats(docs: DataFrame, span: int = 50, part_bytes: int = 4 << 20) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, n_bytes, spans removed [start, end) in bytes, kept bytes.
+
+    There are as many buckets and shards as parts of ``part_bytes``, and at least one per partition if texts suffice; a
+    task takes its parts one after another.
+    """
     assert GRAM < span <= 64
-    parts = shuffle_width(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_texts(parts), BLOB)
+    width = shuffle_width(docs.sparkSession)
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    size = slim.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = min(65535, max(1, min(width, size >> 18), -(-size // part_bytes)))
+    texts = slim.mapInArrow(_texts(parts), BLOB)
 
     def deal(df):
-        return df.repartitionById(parts, F.col("part"))
+        return df.repartitionById(width, (F.col("part").cast("long") * width / parts).cast("int"))
 
     anchors = deal(deal(texts).mapInArrow(_send_anchors(parts, span), BLOB)).mapInArrow(_answer_anchors, BLOB)
-    from ridgecast.llm.store import materialize
-
     anchors = materialize(anchors, "anchors")
     segments = deal(deal(texts.unionByName(anchors)).mapInArrow(_send_segments(parts, span), BLOB)).mapInArrow(_answer_segments(span), BLOB)
     return deal(texts.unionByName(anchors).unionByName(segments)).mapInArrow(_cut_texts(parts, span), OUT)
