@@ -50,7 +50,9 @@ def _fingerprint(i: str) -> str:
 def test_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     """(item_id, len, win, fp): every distinct window of every item."""
     w = items.select("item_id", item_words().alias("w")).where("item_id is not null and size(w) > 0")
-    long = w.where(F.size("w") >= window).select("item_id", F.expr(_let("g", _grams(GRAM), f"transform(sequence(1, size(w) - {window - 1}), i -> named_struct('win', array_join(slice(w, i, {window}), ' '), 'fp', {_fingerprint('i')}))")).alias("x"))
+    # The length is tested inside as well: Catalyst may infer a filter on the array and evaluate it first.
+    made = _let("g", _grams(GRAM), f"transform(sequence(1, size(w) - {window - 1}), i -> named_struct('win', array_join(slice(w, i, {window}), ' '), 'fp', {_fingerprint('i')}))")
+    long = w.select("item_id", F.expr(f"case when size(w) >= {window} then {made} else cast(array() as array<struct<win:string,fp:bigint>>) end").alias("x"))
     long = long.select("item_id", F.lit(window).alias("len"), F.inline("x"))
     short = w.where(F.size("w") < window).select("item_id", F.size("w").alias("len"), F.array_join("w", " ").alias("win"), F.xxhash64("w").alias("fp"))
     return long.unionByName(short).distinct()
