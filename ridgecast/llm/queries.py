@@ -98,4 +98,6 @@ def llm_queries() -> dict:
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {}
+    from ridgecast.llm.oracles import ORACLES
+
+    return dict(ORACLES)

@@ -66,3 +66,19 @@ def test_run_equals_stages(spark, sf, stages):
 def test_every_operator_is_registered():
     assert [f.__name__.split("_")[0] for f in QUERIES] == [*(f"op{n}" for n in range(1, 11)), "pipeline"]
     assert set(llm_oracle_sql()) <= set(llm_queries())
+
+
+@pytest.mark.parametrize("name", sorted(llm_oracle_sql()))
+def test_query_equals_its_oracle(spark, sf, name):
+    import os
+
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.sql(f"create view {t} as select * from '{os.path.join(sf, t)}.parquet'")
+    want = con.sql(llm_oracle_sql()[name]).df()
+    got = llm_queries()[name](spark, sf).toPandas()
+    assert sorted(got.columns) == sorted(want.columns)
+    plain = lambda d: sorted(tuple(map(str, r)) for r in d[sorted(d.columns)].itertuples(index=False))
+    assert plain(got) == plain(want)
