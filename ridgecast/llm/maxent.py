@@ -261,7 +261,7 @@ def _average(batches):
             m = _unzip(blob)
             n = int(np.frombuffer(m, "<i8", 1)[0])
             r = np.frombuffer(m, "<i8", n, 8)
-            total[kind][r] += np.frombuffer(m, "<f4", offset=8 + 8 * n).reshape(n, -1)
+            total[kind][r] += np.frombuffer(m, "<f4", offset=8 + 8 * n).reshape(n, CLASSES)
             count[kind][r] += 1
     if own is None:
         return
@@ -282,7 +282,7 @@ def train(texts: DataFrame, vocab, rounds: int, share: int, rate: float) -> Weig
             m = _unzip(pa.scalar(bytes(b["blob"]), pa.binary()))
             n = int(np.frombuffer(m, "<i8", 1)[0])
             rows = np.frombuffer(m, "<i8", n, 8)
-            (w.classes, w.members)[b["kind"]][rows] += np.frombuffer(m, "<f4", offset=8 + 8 * n).reshape(n, -1)
+            (w.classes, w.members)[b["kind"]][rows] += np.frombuffer(m, "<f4", offset=8 + 8 * n).reshape(n, CLASSES)
         common.unpersist()
     return w
 
