@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ridgecast.plans import relational
+from ridgecast.plans import joins, relational  # noqa: F401  (joins registers its queries)
 
 
 def queries() -> dict:
