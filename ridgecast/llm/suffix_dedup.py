@@ -164,7 +164,8 @@ def anchor_runs(data: np.ndarray, bounds: np.ndarray, span: int):
     a, b = edge[:-1], edge[1:] - 1
     ok = valid[a]
     a, b = a[ok], b[ok]
-    return a, b, h[anchor[a]]
+    # Anchors have the least hashes, which crowd at the low end; shards need them spread evenly.
+    return a, b, mix(h[anchor[a]] + U(1))
 
 
 def _shard_of(h: np.ndarray, parts: int) -> np.ndarray:
