@@ -294,10 +294,12 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     total = rows.count()
     least = max(8, total // HOT_SHARE)
     # Both lists are short by proof: document frequencies add up to the sum of set sizes, class sizes to the rows.
-    hot_tokens = profile.where("token is not null").groupBy("token").agg(F.sum("df").alias("df")).where(F.col("df") >= least).toPandas().sort_values("token")
-    hot_classes = rows.where("n > 0").groupBy("a").agg(F.count("*").alias("k"), F.min("doc_id").alias("owner")).where(F.col("k") >= least).toPandas().sort_values("a")
-    heavy = spark.sparkContext.broadcast((hot_tokens["token"].to_numpy("int64").view("uint64"), np.full(len(hot_tokens), 65535, np.uint16)))
-    owner = spark.sparkContext.broadcast((hot_classes["a"].to_numpy("int64"), hot_classes["owner"].to_numpy("int64")))
+    hot_tokens = profile.where("token is not null").groupBy("token").agg(F.sum("df").alias("df")).where(F.col("df") >= least).select("token").collect()
+    hot_classes = rows.where("n > 0").groupBy("a").agg(F.count("*").alias("k"), F.min("doc_id").alias("owner")).where(F.col("k") >= least).collect()
+    heavy_tokens = np.sort(np.array([r["token"] for r in hot_tokens], np.int64).view(np.uint64))
+    hot_classes.sort(key=lambda r: r["a"])
+    heavy = spark.sparkContext.broadcast((heavy_tokens, np.full(len(heavy_tokens), 65535, np.uint16)))
+    owner = spark.sparkContext.broadcast((np.array([r["a"] for r in hot_classes], np.int64), np.array([r["owner"] for r in hot_classes], np.int64)))
     blob = "part int, kind int, blob binary"
     dealt = slim.mapInArrow(_deal(width, shards, heavy, owner), blob).repartitionById(shards, F.col("part"))
     back = dealt.mapInArrow(_count(shards), blob).repartitionById(shards, F.col("part"))
@@ -337,9 +339,11 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     need = F.expr(f"({percent} * (nx + ny) + {99 + percent}) div {100 + percent}")
     most = F.least(F.col("nx") - F.col("ax"), F.col("ny") - F.col("ay"))
     rest = x.join(y, "t").where((F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & sizes & (most >= need)).select("x", "y").distinct()
-    more = materialize(_linked(rest, classes, percent), "links")
-    links = first.unionByName(more).select("x", "y")
-    label = components(links).select(F.col("node").alias("c"), "component")
+    if not per.isEmpty():
+        more = materialize(_linked(rest, classes, percent), "links").select("x", "y")
+        if not more.isEmpty():
+            label = components(label.select(F.col("component").alias("x"), F.col("node").alias("y")).unionByName(more))
+    label = label.select(F.col("node").alias("c"), "component")
 
     named = by_class.join(label, "c", "left").select("a", "b", F.coalesce("component", "c").alias("component"), "members")
     out = rows.join(named, ["a", "b"], "left")
