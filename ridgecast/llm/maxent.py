@@ -21,6 +21,8 @@ columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -217,10 +219,25 @@ def _step(weights, total, index, grad, rate):
     weights[r] -= rate * g / np.sqrt(total[r] + 1e-2)
 
 
-def _train(vocab, weights, rate: float, batch_size: int = 2048):
-    """From the common weights, steps over a task's texts; yields blocks of summed changes and a count of their rows' use."""
+BLOCKS = 8
+
+
+def _block(part: int, kind: int, rows: np.ndarray, count: np.ndarray, total: np.ndarray):
+    return _rows([part], kind, [_zip(np.array([len(rows)], "<i8").tobytes(), rows.astype("<i8").tobytes(), count.astype("<f4").tobytes(), total.tobytes())])
+
+
+def _read_block(m):
+    n = int(np.frombuffer(m, "<i8", 1)[0])
+    return np.frombuffer(m, "<i8", n, 8), np.frombuffer(m, "<f4", n, 8 + 8 * n), np.frombuffer(m, "<f4", offset=8 + 12 * n).reshape(n, CLASSES)
+
+
+def _train(vocab, weights, rate: float, groups: int, batch_size: int = 2048):
+    """From the common weights, steps over a task's texts; yields its changes in blocks of rows, dealt to its group of tasks."""
 
     def run(batches):
+        from pyspark import TaskContext
+
+        group = TaskContext.get().partitionId() % groups
         v, common = vocab.value, weights.value
         w = Weights(common.classes.copy(), common.members.copy())
         sums = [np.zeros_like(w.classes), np.zeros_like(w.members)]
@@ -244,45 +261,45 @@ def _train(vocab, weights, rate: float, batch_size: int = 2048):
         if any_:
             for kind, (new, old, s) in enumerate(((w.classes, common.classes, sums[0]), (w.members, common.members, sums[1]))):
                 used = np.flatnonzero(s.any(axis=1))
-                for p in range(8):
-                    r = used[used % 8 == p]
-                    yield _rows([p], kind, [_zip(np.array([len(r)], "<i8").tobytes(), r.astype("<i8").tobytes(), (new[r] - old[r]).tobytes())])
+                for p in range(BLOCKS):
+                    r = used[used % BLOCKS == p]
+                    yield _block(p * groups + group, kind, r, np.ones(len(r)), new[r] - old[r])
 
     return run
 
 
-def _average(batches):
-    total = [np.zeros((1 << FEATURES_LOG2, CLASSES), np.float32), np.zeros((1 << FEATURES_LOG2, PER_CLASS), np.float32)]
-    count = [np.zeros(1 << FEATURES_LOG2, np.float32) for _ in total]
-    own = None
-    for batch in batches:
-        for part, kind, blob in zip(batch.column("part").to_pylist(), batch.column("kind").to_pylist(), batch.column("blob"), strict=True):
-            own = part
-            m = _unzip(blob)
-            n = int(np.frombuffer(m, "<i8", 1)[0])
-            r = np.frombuffer(m, "<i8", n, 8)
-            total[kind][r] += np.frombuffer(m, "<f4", offset=8 + 8 * n).reshape(n, CLASSES)
-            count[kind][r] += 1
-    if own is None:
-        return
-    for kind in (0, 1):
-        r = np.flatnonzero(count[kind])
-        yield _rows([own], kind, [_zip(np.array([len(r)], "<i8").tobytes(), r.astype("<i8").tobytes(), (total[kind][r] / count[kind][r][:, None]).tobytes())])
+def _combine(groups: int):
+    """Adds up the blocks of a part, row by row; parts of ``groups`` groups become one."""
+
+    def run(batches):
+        total: dict[int, list] = {}
+        for batch in batches:
+            for part, kind, blob in zip(batch.column("part").to_pylist(), batch.column("kind").to_pylist(), batch.column("blob"), strict=True):
+                have = total.setdefault(part, [(np.zeros(1 << FEATURES_LOG2, np.float32), np.zeros((1 << FEATURES_LOG2, CLASSES), np.float32)) for _ in range(2)])
+                r, n, x = _read_block(_unzip(blob))
+                have[kind][0][r] += n
+                have[kind][1][r] += x
+        for part, have in total.items():
+            for kind, (n, x) in enumerate(have):
+                r = np.flatnonzero(n)
+                yield _block(part // groups, kind, r, n[r], x[r])
+
+    return run
 
 
 def train(texts: DataFrame, vocab, rounds: int, share: int, rate: float) -> Weights:
     """``rounds`` rounds of updates, each over 1/``share`` of ``texts`` (doc_id, text), by hash of id."""
-    sc = texts.sparkSession.sparkContext
+    sc, width = texts.sparkSession.sparkContext, shuffle_width(texts.sparkSession)
+    groups = max(1, math.isqrt(width))
     w = Weights()
     for r in range(rounds):
         common = sc.broadcast(w)
         part = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == r).select("text")
-        blocks = part.mapInArrow(_train(vocab, common, rate), BLOB).repartition(8, "part").mapInArrow(_average, BLOB).collect()
-        for b in blocks:
-            m = _unzip(pa.scalar(bytes(b["blob"]), pa.binary()))
-            n = int(np.frombuffer(m, "<i8", 1)[0])
-            rows = np.frombuffer(m, "<i8", n, 8)
-            (w.classes, w.members)[b["kind"]][rows] += np.frombuffer(m, "<f4", offset=8 + 8 * n).reshape(n, CLASSES)
+        # Every task's changes meet those of its group first, then groups meet: no task reads what all tasks have made.
+        made = part.mapInArrow(_train(vocab, common, rate, groups), BLOB).repartition(width, "part").mapInArrow(_combine(groups), BLOB)
+        for b in made.repartition(BLOCKS, "part").mapInArrow(_combine(1), BLOB).collect():
+            rows, n, x = _read_block(_unzip(pa.scalar(bytes(b["blob"]), pa.binary())))
+            (w.classes, w.members)[b["kind"]][rows] += x / n[:, None]
         common.unpersist()
     return w
 
