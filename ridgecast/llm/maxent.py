@@ -11,8 +11,8 @@ Counts are combined per task, then summed in shards by word; a text's rare words
 number in the text, and sums per text come back, so no table of words is ever broadcast. Words of at least 1/8192 of all tokens, of
 which there are 8192 at most, are broadcast and looked up where the text is. Weights (fixed size) are trained by rounds of distributed updates:
 every task takes gradient steps (Adagrad) from the common weights over its part of a round's share of the training texts, and the
-changes are averaged, weight by weight over the tasks that made them. The shares are whole texts by hash of id, and grow with the
-corpus. Scoring runs over numpy batches of feature indices.
+changes are averaged, weight by weight over the tasks that made them. The shares are whole texts by hash of id; there is one for each
+round, so every training text is in exactly one round. Scoring runs over numpy batches of feature indices.
 
 Nulls and edges: a null or empty text is its end alone. A null doc_id is neither learned from nor held out. Repeated rows
 are learned and returned one for one. Without training texts every token has base probability 1 and the model adds nothing. Other
@@ -287,14 +287,14 @@ def _combine(groups: int):
     return run
 
 
-def train(texts: DataFrame, vocab, rounds: int, share: int, rate: float) -> Weights:
-    """``rounds`` rounds of updates, each over 1/``share`` of ``texts`` (doc_id, text), by hash of id."""
+def train(texts: DataFrame, vocab, rounds: int, rate: float) -> Weights:
+    """``rounds`` rounds of updates that deal out all ``texts`` (doc_id, text) among them, by hash of id."""
     sc, width = texts.sparkSession.sparkContext, shuffle_width(texts.sparkSession)
     groups = max(1, math.isqrt(width))
     w = Weights()
     for r in range(rounds):
         common = sc.broadcast(w)
-        part = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == r).select("text")
+        part = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == r).select("text")
         # Every task's changes meet those of its group first, then groups meet: no task reads what all tasks have made.
         made = part.mapInArrow(_train(vocab, common, rate, groups), BLOB).repartition(width, "part").mapInArrow(_combine(groups), BLOB)
         for b in made.repartition(BLOCKS, "part").mapInArrow(_combine(1), BLOB).collect():
@@ -432,7 +432,7 @@ def _finish(total: int, types: int):
     return run
 
 
-def score(docs: DataFrame, folds: int = 10, rounds: int = 3, share: int = 24, rate: float = 0.15) -> DataFrame:
+def score(docs: DataFrame, folds: int = 10, rounds: int = 3, rate: float = 0.15) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     sc, shards = spark.sparkContext, shuffle_width(spark)
@@ -446,7 +446,7 @@ def score(docs: DataFrame, folds: int = 10, rounds: int = 3, share: int = 24, ra
     heavy = counts.select("blob").mapInArrow(_heavy(max(2, -(-total // HEAVY))), "h long, n long").toPandas()
     units = [np.array([s[f"{x}{i}"] or 0 for i in range(RARE)], float) for x in ("unit_types", "unit_tokens")]
     vocab = sc.broadcast(Vocabulary(heavy["h"].to_numpy("int64").view("uint64"), heavy["n"].to_numpy("int64"), types, total, *units))
-    weights = sc.broadcast(train(texts, vocab, rounds, share, rate) if total else Weights())
+    weights = sc.broadcast(train(texts, vocab, rounds, rate) if total else Weights())
     known = counts.select("part", F.lit(0).alias("kind"), "blob")
     asked = slim.mapInArrow(_measure(shards, vocab, weights), BLOB).unionByName(known).repartitionById(shards, F.col("part"))
     found = asked.mapInArrow(_look_up(shards), BLOB).repartitionById(shards, F.col("part")).mapInArrow(_finish(total, types), "doc_id long, n_tokens long, n_known long, base_score double, score double")

@@ -211,6 +211,26 @@ def test_model_beats_its_base_on_held_out_text(spark, sf):
     assert r[0] > r[1]
 
 
+def test_every_training_text_changes_the_weights(spark, monkeypatch):
+    import zlib
+
+    import numpy as np
+    import pyarrow as pa
+
+    from ridgecast.llm.batches import chunks
+
+    texts = [(i, f"left{i} right{i}") for i in range(200) if zlib.crc32(str(i).encode()) % 10]
+    trained, train = [], maxent.train
+    monkeypatch.setattr(maxent, "train", lambda *a, **k: trained.append(train(*a, **k)) or trained[-1])
+    maxent.score(spark.createDataFrame(texts, "doc_id long, text string"))
+    for i, text in texts:
+        (c,) = chunks(pa.array([text]))
+        f = maxent.features(*maxent.tokens(c))
+        rows, _ = maxent.Weights.index(f, np.zeros(len(f), np.int64))
+        # The context of the text's end is its own two words, which occur in no other text.
+        assert trained[0].classes[rows[2, 1]].any(), i
+
+
 def test_units_share_the_base_mass():
     import numpy as np
 
