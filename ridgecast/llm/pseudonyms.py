@@ -3,12 +3,14 @@
 Validated values are replaced by a keyed permutation within their own format, so equal values get equal pseudonyms in
 every document, distinct values distinct ones, and the key's owner can invert them:
 - email: letters and digits of the local part and of host labels before the last two, each within its class;
-- phone: the ten digits after a country code, or of a (nnn) nnn-nnnn number;
+- phone: the digits after the country code of a number of 7 to 15 digits that starts with +, in any grouping; the ten digits of
+  (nnn) nnn-nnnn, nnn-nnn-nnnn, nnn.nnn.nnnn and nnn nnn nnnn;
 - ip: IPv4 addresses with octets up to 255;
-- card: 13 to 19 digits that pass the Luhn check, check digit renewed;
+- card: 13 to 19 digits that pass the Luhn check, check digit renewed; together, in fours, or 4-6-5 and 4-6-4;
 - ssn: nnn-nn-nnnn in assigned ranges;
-- iban: check digits valid (mod 97), renewed;
-- date: calendar dates 1900 to 2099, as yyyy-mm-dd, dd.mm.yyyy, dd/mm/yyyy (or mm/dd/yyyy where only that is a date).
+- iban: check digits valid (mod 97), renewed; in fours if the country's length is known;
+- date: calendar dates 1900 to 2099, as yyyy-mm-dd, yyyy/mm/dd, dd.mm.yyyy, dd/mm/yyyy (or mm/dd/yyyy where only that is a date);
+  with slashes or dots, day and month may have one digit, and keep as many as they have.
 Values that fail validation are left as they are. The permutation is a balanced Feistel network (BLAKE2b rounds, tweaked by kind)
 on the smallest even number of bits that holds the format's values, walked until it falls within them. Like any permutation it may
 have a fixed point, one in as many as the format has values.
@@ -105,10 +107,16 @@ def _card(s, key, back):
     return _relayout(s, body + str(luhn(body)))
 
 
+# Country codes of one and two digits; all others have three.
+COUNTRY = re.compile("[017]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|...")
+
+
 def _phone(s, key, back):
     d = _digits(s)
-    body = f"{permute(int(d[-10:]), 10**10, key, 'phone', back):010d}"
-    return _relayout(s, d[:-10] + body)
+    at = COUNTRY.match(d).end() if s[0] == "+" else 0
+    n = len(d) - at
+    body = f"{permute(int(d[at:]), 10**n, key, 'phone', back):0{n}d}"
+    return _relayout(s, d[:at] + body)
 
 
 def _ip(s, key, back):
@@ -138,10 +146,12 @@ def _mod97(s: str) -> int:
 
 
 def _iban(s, key, back):
-    if _mod97(s[4:] + s[:4]) != 1:
+    t = s.replace(" ", "")
+    if _mod97(t[4:] + t[:4]) != 1:
         return None
-    body = permute_string(s[4:], key, "iban" + s[:2], back)
-    return f"{s[:2]}{98 - _mod97(body + s[:2] + '00'):02d}{body}"
+    body = permute_string(t[4:], key, "iban" + t[:2], back)
+    it = iter(f"{t[:2]}{98 - _mod97(body + t[:2] + '00'):02d}{body}")
+    return "".join(ch if ch == " " else next(it) for ch in s)
 
 
 FIRST, LAST = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
@@ -150,8 +160,9 @@ FIRST, LAST = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31)
 def _date(s, key, back):
     sep = next(ch for ch in s if not ch.isdigit())
     p = [int(x) for x in s.split(sep)]
+    width = [len(x) for x in s.split(sep)]
     # What a form stands for: positions of year, month and day. The pseudonym must be read by the same rule.
-    forms = [(0, 1, 2)] if sep == "-" else [(2, 1, 0)] if sep == "." else [(2, 1, 0), (2, 0, 1)]
+    forms = [(0, 1, 2)] if width[0] == 4 else [(2, 1, 0)] if sep == "." else [(2, 1, 0), (2, 0, 1)]
     for k, (y, m, d) in enumerate(forms):
         try:
             o = datetime.date(p[y], p[m], p[d]).toordinal()
@@ -162,11 +173,12 @@ def _date(s, key, back):
         while True:
             o = FIRST + permute(o - FIRST, LAST - FIRST + 1, key, f"date{k}" if k else "date", back)
             t = datetime.date.fromordinal(o)
-            if k == 0 or t.day > 12:  # a date that day-first order also reads would be inverted by that order
+            q = [0, 0, 0]
+            q[y], q[m], q[d] = t.year, t.month, t.day
+            # A date that day-first order also reads would be inverted by that order; numbers keep their width.
+            if (k == 0 or t.day > 12) and all(v < 10**w for v, w in zip(q, width, strict=True)):
                 break
-        q = [0, 0, 0]
-        q[y], q[m], q[d] = t.year, t.month, t.day
-        return sep.join(f"{v:0{4 if i == y else 2}d}" for i, v in enumerate(q))
+        return sep.join(f"{v:0{w}d}" for v, w in zip(q, width, strict=True))
     return None
 
 
@@ -181,13 +193,21 @@ def _email(s, key, back):
 
 # What each kind looks like before validation.
 EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![A-Za-z0-9])", re.ASCII)
+# Countries by the length of their IBAN, so that a spaced one ends where it should and takes no word that follows.
+IBANS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+SPACED = "|".join(f"(?:{c.replace(' ', '|')})\\d\\d(?: [A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f" [A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, c in IBANS.items())
 NUMBERS = re.compile(
-    r"(?P<phone>(?<![\d+])\+\d{1,3}[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}-\d{4}(?!\d))"
+    r"(?P<phone>(?<![\d+])\+\d{1,3}[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d+])\+\d(?:[ .-]?\(?\d\)?){6,14}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}-\d{4}(?!\d)"
+    r"|(?<![A-Za-z0-9+])(?<!\d[.-])(?:\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4})(?![.-]?\d)|(?<![A-Za-z0-9+])(?<!\d[ .-])\d{3} \d{3} \d{4}(?![ .-]?\d))"
     r"|(?P<ip>(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d))"
-    r"|(?P<date>(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])|(?<![\d.])\d{2}\.\d{2}\.\d{4}(?!\.?\d)|(?<![\d/])\d{2}/\d{2}/\d{4}(?![\d/]))"
+    r"|(?P<date>(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])|(?<![\d.])\d{1,2}\.\d{1,2}\.\d{4}(?!\.?\d)|(?<![\d/])(?:\d{1,2}/\d{1,2}/\d{4}|\d{4}/\d{1,2}/\d{1,2})(?![\d/]))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
-    r"|(?P<card>(?<![\dA-Za-z])(?:\d{4}[ -]){3}\d{1,7}(?![\dA-Za-z])|(?<![\dA-Za-z])\d{13,19}(?![\dA-Za-z]))"
-    r"|(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![A-Za-z0-9]))",
+    r"|(?P<card>(?<![\dA-Za-z])(?:\d{4}[ -]){3}\d{1,7}(?![\dA-Za-z])|(?<![\dA-Za-z])\d{4}[ -]\d{6}[ -]\d{4,5}(?![\dA-Za-z])|(?<![\dA-Za-z])\d{13,19}(?![\dA-Za-z]))"
+    r"|(?P<iban>(?<![A-Za-z0-9])(?:[A-Z]{2}\d{2}[A-Z0-9]{11,30}|" + SPACED + r")(?![A-Za-z0-9]))",
     re.ASCII,
 )
 DIGIT = re.compile("[0-9]")

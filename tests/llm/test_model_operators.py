@@ -2,6 +2,7 @@
 
 import bisect
 import random
+import re
 
 import numpy as np
 import pytest
@@ -94,6 +95,52 @@ def test_pseudonyms_keep_the_format_and_come_back(kind, value):
     assert pseudonyms.pseudonym(kind, value, b"another") != p
 
 
+FORMS = [
+    ("phone", "555-123-4567"),
+    ("phone", "555.123.4567"),
+    ("phone", "555 123 4567"),
+    ("phone", "+44 20 7946 0958"),
+    ("phone", "+33 1 23 45 67 89"),
+    ("phone", "+49 (0) 30 123456"),
+    ("phone", "+372 5123"),
+    ("iban", "DE89 3704 0044 0532 0130 00"),
+    ("iban", "BE68 5390 0754 7034"),
+    ("iban", "GB82 WEST 1234 5698 7654 32"),
+    ("card", "3782 822463 10005"),
+    ("card", "3782-822463-10005"),
+    ("date", "1/2/2020"),
+    ("date", "1/31/2020"),
+    ("date", "31/1/2020"),
+    ("date", "1.2.2020"),
+    ("date", "2020/01/02"),
+    ("date", "2020/1/2"),
+]
+
+
+@pytest.mark.parametrize(("kind", "value"), FORMS)
+def test_every_written_form_is_found_in_text_and_comes_back(kind, value):
+    shape = lambda s: ["0" if c.isdigit() else "A" if c.isalpha() else c for c in s]
+    for text in (f"{value}", f"At 5: {value} THIS and 7", f"({value}), {value}."):
+        new, counts = pseudonyms.rewrite(text, KEY)
+        assert value not in new and counts == {kind: text.count(value)}
+        assert shape(new) == shape(text)
+        assert pseudonyms.rewrite(new, KEY, back=True)[0] == text
+
+
+def test_forms_of_one_value_stay_linked():
+    digits = lambda kind, s: re.sub("[^0-9A-Z]", "", pseudonyms.pseudonym(kind, s, KEY))
+    for kind, a, b in (("phone", "+33 1 23 45 67 89", "+33123456789"), ("iban", "BE68 5390 0754 7034", "BE68539007547034"), ("card", "3782 822463 10005", "378282246310005")):
+        assert digits(kind, a) == digits(kind, b)
+    assert digits("phone", "+1 555 123 4567") == "1" + digits("phone", "555-123-4567")
+
+
+def test_dates_of_one_width_are_permuted_among_themselves():
+    days = [f"{d}/{m}/2020" for m in range(1, 10) for d in range(1, 10)]
+    new = [pseudonyms.pseudonym("date", x, KEY) for x in days]
+    assert len(set(new)) == len(days) and all(re.fullmatch(r"\d/\d/\d{4}", x) for x in new)
+    assert [pseudonyms.pseudonym("date", x, KEY, True) for x in new] == days
+
+
 @pytest.mark.parametrize(("kind", "value"), [("card", "9807915762804490"), ("ip", "300.1.1.1"), ("ssn", "000-12-3456"), ("date", "2023-02-30"), ("iban", "GB83WEST12345698765432")])
 def test_invalid_values_stay(kind, value):
     assert pseudonyms.pseudonym(kind, value, KEY) is None
