@@ -11,7 +11,7 @@ every document, distinct values distinct ones, and the key's owner can invert th
 - iban: check digits valid (mod 97), renewed; in fours if the country's length is known;
 - date: calendar dates 1900 to 2099, as yyyy-mm-dd, yyyy/mm/dd, dd.mm.yyyy, dd/mm/yyyy (or mm/dd/yyyy where only that is a date);
   with slashes or dots, day and month may have one digit, and keep as many as they have.
-Values that fail validation are left as they are. The permutation is a balanced Feistel network (BLAKE2b rounds, tweaked by kind)
+Values that fail validation are left as they are. The permutation is a balanced Feistel network (BLAKE2b rounds as wide as a half, tweaked by kind)
 on the smallest even number of bits that holds the format's values, walked until it falls within them. Like any permutation it may
 have a fixed point, one in as many as the format has values.
 
@@ -34,21 +34,28 @@ ROUNDS = 8
 KINDS = ("email", "phone", "ip", "card", "ssn", "iban", "date")
 
 
+def _stream(base, r: int, v: bytes, width: int) -> int:
+    """Round function: ``width`` keyed digest bytes of a round and a half, 64 to a block."""
+    out = []
+    for block in range(-(-width // 64)):
+        h = base.copy()
+        h.update(bytes([r]) + block.to_bytes(4, "big") + v)
+        out.append(h.digest())
+    return int.from_bytes(b"".join(out)[:width], "big")
+
+
 def permute(x: int, size: int, key: bytes, tweak: str, back: bool = False) -> int:
-    """A keyed bijection of range(size); ``back`` inverts it."""
+    """A keyed bijection of range(size), whatever its size; ``back`` inverts it."""
     if size < 2:
         return x
     half = max(1, ((size - 1).bit_length() + 1) // 2)
-    mask = (1 << half) - 1
+    mask, width = (1 << half) - 1, (half + 7) // 8
     order = range(ROUNDS - 1, -1, -1) if back else range(ROUNDS)
-    base = hashlib.blake2b(f"{tweak}|{size}".encode(), key=key, digest_size=16)
+    base = hashlib.blake2b(f"{tweak}|{size}".encode(), key=key, digest_size=64)
     while True:
         a, b = x >> half, x & mask
         for r in order:
-            v = a if back else b
-            h = base.copy()
-            h.update(bytes([r]) + v.to_bytes(32, "big"))
-            f = int.from_bytes(h.digest(), "big") & mask
+            f = _stream(base, r, (a if back else b).to_bytes(width, "big"), width) & mask
             if back:
                 a, b = b ^ f, a
             else:
@@ -61,15 +68,47 @@ def permute(x: int, size: int, key: bytes, tweak: str, back: bool = False) -> in
 CLASSES = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
 
+#: Longer values are permuted in blocks of this many characters, so that time stays in proportion to their length.
+BLOCK = 512
+
+
 def permute_string(s: str, key: bytes, tweak: str, back: bool = False) -> str:
-    """Each ASCII letter or digit moves within its class, all together as one mixed-radix number; the rest stays."""
+    """Each ASCII letter or digit moves within its class, all together; the rest stays.
+
+    Beyond ``BLOCK`` characters, blocks are chained once from either end, each tweaked by what its pass has
+    made so far, so that every character depends on all others and the whole stays a permutation.
+    """
+    tweak += "|" + _layout(s)
+    blocks = [s[i : i + BLOCK] for i in range(0, len(s), BLOCK)]
+    if len(blocks) < 2:
+        return _permute_block(s, key, tweak, back)
+    there = range(len(blocks))
+    for which in (1, 0) if back else (0, 1):
+        chain = hashlib.blake2b(f"{tweak}|{which}".encode(), key=key, digest_size=16)
+        made = blocks.copy()
+        # A pass runs over its blocks in one order both ways: what tweaks a block is the pass's output before it.
+        for i in there if which == 0 else reversed(there):
+            made[i] = _permute_block(blocks[i], key, chain.hexdigest(), back)
+            chain.update((blocks[i] if back else made[i]).encode())
+        blocks = made
+    return "".join(blocks)
+
+
+def _layout(s: str) -> str:
+    """What a permutation keeps: length, classes and marks, as a digest where it is long."""
+    shape = "".join(next((c[0] for c in CLASSES if ch in c), ch) for ch in s)
+    return shape if len(shape) <= 64 else hashlib.blake2b(shape.encode(), digest_size=16).hexdigest()
+
+
+def _permute_block(s: str, key: bytes, tweak: str, back: bool) -> str:
+    """One mixed-radix number of all letters and digits."""
     alphabets = [next((c for c in CLASSES if ch in c), "") for ch in s]
     value, size = 0, 1
     for ch, c in zip(s, alphabets, strict=True):
         if c:
             value = value * len(c) + c.index(ch)
             size *= len(c)
-    value = permute(value, size, key, tweak + "|" + "".join(c[:1] or ch for ch, c in zip(s, alphabets, strict=True)), back)
+    value = permute(value, size, key, tweak, back)
     out = []
     for ch, c in zip(reversed(s), reversed(alphabets), strict=True):
         if c:

@@ -4,6 +4,7 @@ import bisect
 import random
 import re
 
+import brute
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -154,6 +155,55 @@ def test_permutation_is_a_bijection(size):
     assert [pseudonyms.permute(v, size, KEY, "t", True) for v in out] == list(range(size))
 
 
+@pytest.mark.parametrize("length", [1, 2, 53, 60, 80, 120, 511, 512, 513, 1000, 5000])
+def test_long_values_are_mixed_whole_and_come_back(length):
+    rnd = random.Random(length)
+    s = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz0123456789.") for _ in range(length - 1)) + "q"
+    p = pseudonyms.permute_string(s, KEY, "t")
+    assert pseudonyms.permute_string(p, KEY, "t", True) == s and [c.isdigit() for c in p] == [c.isdigit() for c in s]
+    if length >= 53:
+        # One other character at the end moves letters everywhere, the first ones too.
+        other = pseudonyms.permute_string(s[:-1] + "r", KEY, "t")
+        for x, y in ((s, p), (p, other)):
+            assert x[:20] != y[:20] and x[-20:] != y[-20:]
+            assert sum(a == b for a, b in zip(x, y, strict=True) if a != ".") < 0.3 * length
+
+
+def test_an_address_of_any_length_does_not_stop_the_query(spark):
+    mails = ["x" * n + "@mail.example.com" for n in (80, 120, 1000, 20000)]
+    df = spark.createDataFrame([(i, f"to {m} now") for i, m in enumerate(mails)], "doc_id long, text string")
+    got = pseudonyms.pseudonymise(df, KEY).orderBy("doc_id").collect()
+    assert all(r.n_email == 1 and "xxxxx" not in r.text for r in got)
+    back = pseudonyms.pseudonymise(spark.createDataFrame(got), KEY, back=True).orderBy("doc_id").collect()
+    assert [r.text for r in back] == [f"to {m} now" for m in mails]
+
+
+@pytest.mark.parametrize("bits", [1, 7, 34, 64, 65, 300, 1100, 3000])
+def test_permutation_equals_plain_version(bits):
+    rnd = random.Random(bits)
+    size = rnd.randrange(1 << (bits - 1), 1 << bits) + 1
+    for x in [0, size - 1, *(rnd.randrange(size) for _ in range(5))]:
+        assert pseudonyms.permute(x, size, KEY, "t") == brute.feistel(x, size, KEY, "t")
+
+
+def test_rewriting_equals_plain_finder(spark, sf):
+    """Every text of the table, and texts full of numbers in and out of form."""
+    rnd = random.Random(3)
+    texts = [r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    bits = [v for _, v in VALUES + FORMS] + ["12", "a", "+", "+1", ".", "-", "/", " ", "(", ")", "@", "x@y", "1.2.3.4.5", "DE", "4" * 20, "é"]
+    texts += ["".join(rnd.choice(bits) + rnd.choice(["", " ", ", ", "-", "."]) for _ in range(12)) for _ in range(500)]
+    for t in texts:
+        want, at, counts = [], 0, {}
+        for kind, a, b in brute.candidates(t):
+            new = pseudonyms.RULES[kind](t[a:b], KEY, False)
+            counts[kind] = counts.get(kind, 0) + (new is not None)
+            want += [t[at:a], t[a:b] if new is None else new]
+            at = b
+        got, found = pseudonyms.rewrite(t, KEY)
+        assert got == "".join(want) + t[at:], t
+        assert found == {k: n for k, n in counts.items() if n}
+
+
 def test_pseudonymise(spark, docs, rows, empty):
     text = "Mail a.b1@mail2.example.com or +1 (136) 555-7479, ip 22.102.42.45, card 4845168114407329; again 4845168114407329."
     extra = spark.createDataFrame([(500, text), (501, "card 4845168114407329")], "doc_id long, text string")
