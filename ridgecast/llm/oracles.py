@@ -11,13 +11,13 @@ with items as (select distinct item_id, {ITEM_WORDS} as w from benchmark where i
 windows as (
     select item_id, 10 as n, array_to_string(w[i+1:i+10], ' ') as win from items, lateral (select unnest(range(len(w)-9)) as i) where len(w) >= 10
     union select item_id, len(w), array_to_string(w, ' ') from items where len(w) between 1 and 9),
-docs as (select distinct doc_id, {ITEM_WORDS} as w from documents),
-places as (select doc_id, n, i, array_to_string(w[i+1:i+n], ' ') as win from docs, (select distinct n from windows) s, lateral (select unnest(range(len(w)-n+1)) as i) where len(w) >= n),
-hits as (select doc_id, i, n, item_id from places join windows using (n, win)),
-words as (select doc_id, count(distinct p) as n_hit from hits, lateral (select unnest(range(i, i+n)) as p) group by doc_id),
-found as (select doc_id, count(distinct item_id) as n_items, string_agg(distinct item_id::varchar, ',' order by item_id::varchar) as ids from hits group by doc_id)
+docs as (select row_number() over () as k, doc_id, {ITEM_WORDS} as w from documents),
+places as (select k, n, i, array_to_string(w[i+1:i+n], ' ') as win from docs, (select distinct n from windows) s, lateral (select unnest(range(len(w)-n+1)) as i) where len(w) >= n),
+hits as (select k, i, n, item_id from places join windows using (n, win)),
+words as (select k, count(distinct p) as n_hit from hits, lateral (select unnest(range(i, i+n)) as p) group by k),
+found as (select k, count(distinct item_id) as n_items, string_agg(distinct item_id::varchar, ',' order by item_id::varchar) as ids from hits group by k)
 select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
-from docs left join words using (doc_id) left join found using (doc_id)
+from docs left join words using (k) left join found using (k)
 """
 
 
