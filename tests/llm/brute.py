@@ -298,3 +298,59 @@ def feistel(x, size, key, tweak, rounds=8):
         x = int("".join(map(str, left + right)), 2)
         if x < size:
             return x
+
+
+# Quality
+
+
+def kneser_ney(trusted, texts):
+    """Interpolated modified Kneser-Ney trained on ``trusted``: [(words, negative log10 probability)] of ``texts``, by dictionaries."""
+    import math
+    from collections import Counter, defaultdict
+
+    split = re.compile(rb"[^\x20\x09-\x0D]+").findall
+
+    def shape(w):
+        upper, lower = 65 <= w[0] <= 90, any(97 <= x <= 122 for x in w)
+        end = "plain" if 97 <= w[-1] <= 122 or w[-1] >= 128 else "stop" if w[-1] in b".," else "other"
+        return upper, lower, end
+
+    count = Counter(w for t in trusted for w in split(t.encode()))
+    once = Counter(shape(w) for w, n in count.items() if n == 1)
+    unit = lambda w: w if count[w] > 1 else shape(w)
+
+    def grams(t):
+        u = ["<", "<", *map(unit, split(t.encode()))]
+        return zip(u, u[1:], u[2:], strict=False)
+
+    def discount(counts):
+        c = Counter(counts.values())
+        if not all(c[k] for k in (1, 2, 3, 4)):
+            d = [0.5, 0.75, 0.9]
+        else:
+            y = c[1] / (c[1] + 2 * c[2])
+            d = [min(k - 0.05, max(0.05, k - (k + 1) * y * c[k + 1] / c[k])) for k in (1, 2, 3)]
+        return lambda n: d[min(n, 3) - 1]
+
+    three = Counter(g for t in trusted for g in grams(t))
+    two = Counter(g[1:] for g in three)
+    one = Counter(g[1:] for g in two)
+
+    def order(counts):
+        d, total, freed = discount(counts), defaultdict(int), defaultdict(float)
+        for g, n in counts.items():
+            total[g[:-1]] += n
+            freed[g[:-1]] += d(n)
+        return lambda g, low: (max(0, counts[g] - d(counts[g])) / total[g[:-1]] if counts[g] else 0) + freed[g[:-1]] / total[g[:-1]] * low if g[:-1] in total else low
+
+    d1, all1 = discount(one), sum(one.values())
+    unseen = sum(d1(n) for n in one.values()) / all1 / (len(one) + 1)
+    p1 = lambda w: ((one[(w,)] - d1(one[(w,)])) / all1 if one[(w,)] else 0) + unseen
+    p2, p3 = order(two), order(three)
+    out = []
+    for t in texts:
+        words = split((t or "").encode())
+        nll = sum(-math.log10(p3(g, p2(g[1:], p1(g[2])))) for g in grams(t or ""))
+        nll += sum(math.log10(once[shape(w)] + 1) for w in words if count[w] < 2)
+        out.append((len(words), nll))
+    return out
