@@ -121,7 +121,7 @@ def by_group(key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(value, positions in their order) for each value of a small non-negative integer key."""
     if not len(key):
         return
-    order = np.argsort(key.astype(np.uint16), kind="stable")
+    order = np.argsort(key.astype(np.uint16) if key.max() < 65536 else key, kind="stable")
     k = key[order]
     cut = np.flatnonzero(np.diff(k)) + 1
     for part in np.split(order, cut):

@@ -1,18 +1,22 @@
 """Language-model scores from a hashed maximum-entropy model with a class-factored softmax.
 
 Tokens are words (runs of non-space characters, A-Z in lower case) and one end per text. The base gives each token
-``(c + 0.1) / (N + 0.1 * (V + 1))`` from exact counts over all training texts. The model predicts a token's unit: the most
-frequent words are units of their own, all other words fall into a few units by hash. Units are grouped in classes, and
-``P(unit | context) = P(class | context) * P(unit | class, context)``, two softmaxes over hashed features of the context: the
+``(c + 0.1) / (N + 0.1 * (V + 1))`` from exact counts over all training texts. The model predicts a token's unit: frequent words are units of
+their own, all other words fall into a few units by hash. Units are leaves of a tree with 16 branches per node,
+``P(unit | context)`` is the product of ``P(branch | node, context)`` down the tree, each a softmax over hashed features of the context: the
 word before, the two words before, and the word before that alone (a skip). Within a unit, words keep the base's proportions, so the
 model's probabilities add up to what the base's do, and the score of a text is the base's plus what the context adds.
 
+The model grows with the corpus: words of a count of 100 or more (less in small corpora) are units, up to 65,520 in a tree of four levels;
+the rows of a level's hashed weights double as the training tokens do, from 2**15 to 2**18. Both are broadcast, and these two bounds are
+where growth ends; counts and the base have no bound.
+
 Counts are combined per task, then summed in shards by word; a text's rare words are sent to the shards with their
-number in the text, and sums per text come back, so no table of words is ever broadcast. Words of at least 1/8192 of all tokens, of
-which there are 8192 at most, are broadcast and looked up where the text is. Weights (fixed size) are trained by rounds of distributed updates:
-every task takes gradient steps (Adagrad) from the common weights over its part of a round's share of the training texts, and the
-changes are averaged, weight by weight over the tasks that made them. The shares are whole texts by hash of id; there is one for each
-round, so every training text is in exactly one round. Scoring runs over numpy batches of feature indices.
+number in the text, and sums per text come back, so no table of all words is ever broadcast. Weights are trained by rounds of distributed
+updates. Every round takes a share of the training texts by hash of id, so each is in exactly one, and deals it by hash of id to groups of about
+4 million tokens; every group takes gradient steps (Adagrad) from the common weights over its texts in the order of their ids, and the
+changes are averaged, weight by weight over the groups that made them, in the order of groups. So the result does not depend on how the table is
+partitioned. Scoring runs over numpy batches of feature indices.
 
 Nulls and edges: a null or empty text is its end alone. A null doc_id is neither learned from nor held out. Repeated rows
 are learned and returned one for one. Without training texts every token has base probability 1 and the model adds nothing. Other
@@ -22,6 +26,7 @@ columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +39,12 @@ from ridgecast.llm.store import materialize, shuffle_width
 
 END = U(0x2545F4914F6CDD1D)
 BEGIN = U(0x6C62272E07BB0142)
-CLASSES, PER_CLASS, RARE = 16, 16, 16
-UNITS = CLASSES * PER_CLASS
-FEATURES_LOG2 = 15
-HEAVY = 8192
+#: Branches of a node, units that share the rare words, and the most words that are units of their own.
+BRANCHES, RARE = 16, 16
+MOST_UNITS = BRANCHES**4 - RARE
+#: Training tokens of a group and round, and rare words that a task gathers before it sends them.
+GROUP_TOKENS = 4_000_000
+GATHER = 1_500_000
 BLOB = "part int, kind int, blob binary"
 TOP = 2**63 - 1
 
@@ -111,7 +118,8 @@ def _read_counts(m):
 
 
 def rare_unit(h: np.ndarray) -> np.ndarray:
-    return UNITS - RARE + (h % U(RARE)).astype(np.int64)
+    """Which of the units for rare words each word would belong to."""
+    return (h % U(RARE)).astype(np.int64)
 
 
 def _add_up(batches):
@@ -125,7 +133,7 @@ def _add_up(batches):
     if own is None:
         return
     h, n = _sum_by(np.concatenate(hs), np.concatenate(ns))
-    unit = rare_unit(h) - (UNITS - RARE)
+    unit = rare_unit(h)
     yield pa.RecordBatch.from_arrays(
         [pa.array([own], pa.int32()), pa.array([len(h)]), pa.array([int(n.sum())]), pa.array([np.bincount(unit, minlength=RARE).tolist()], pa.list_(pa.int64())), pa.array([np.bincount(unit, n, minlength=RARE).astype(np.int64).tolist()], pa.list_(pa.int64())), pa.array([_zip(np.array([len(h)], "<i8").tobytes(), h.tobytes(), n.tobytes())], pa.binary())],
         names=["part", "types", "tokens", "unit_types", "unit_tokens", "blob"],
@@ -143,34 +151,55 @@ def _heavy(least: int):
     return run
 
 
+def levels_for(words: int) -> int:
+    """Levels of the tree: units fill a quarter of its leaves at least, two levels at least."""
+    levels = 2
+    while levels < 4 and 4 * (words + RARE) >= BRANCHES ** (levels + 1):
+        levels += 1
+    return levels
+
+
 class Vocabulary:
-    """Totals, heavy words with counts, and what unit each word belongs to with the unit's base probability."""
+    """Totals, frequent words with counts, and what unit each word belongs to with the unit's base probability."""
 
     def __init__(self, heavy_h, heavy_n, types, total, unit_types, unit_tokens):
         order = np.argsort(heavy_h)
         self.h, self.n, self.types, self.total = heavy_h[order], heavy_n[order], types, total
+        self.levels = levels_for(len(self.h))
+        leaves = BRANCHES**self.levels
+        self.first_rare = min(len(self.h), leaves - RARE)
         whole = total + 0.1 * (types + 1)
-        top = np.lexsort((self.h, -self.n))[: UNITS - RARE]
-        self.unit = rare_unit(self.h) if len(self.h) else np.zeros(0, np.int64)
-        mass = np.zeros(UNITS)
-        mass[UNITS - RARE :] = unit_tokens + 0.1 * unit_types + 0.1 / RARE
-        for u, i in enumerate(top):
-            mass[self.unit[i]] -= self.n[i] + 0.1
-            self.unit[i] = u
-            mass[u] = self.n[i] + 0.1
-        mass = np.maximum(mass / whole, 1e-12)
-        self.log_unit = np.log(mass / mass.sum()).astype(np.float32)
-        by_class = np.logaddexp.reduce(self.log_unit.reshape(CLASSES, PER_CLASS), axis=1)
-        self.class_bias = by_class.astype(np.float32)
-        self.member_bias = (self.log_unit.reshape(CLASSES, PER_CLASS) - by_class[:, None]).astype(np.float32)
+        top = np.lexsort((self.h, -self.n))[: self.first_rare]
+        rare = rare_unit(self.h)
+        mass = np.zeros(leaves)
+        mass[self.first_rare : self.first_rare + RARE] = unit_tokens + 0.1 * unit_types + 0.1 / RARE
+        np.subtract.at(mass, self.first_rare + rare[top], self.n[top] + 0.1)
+        self.unit = self.first_rare + rare
+        self.unit[top] = np.arange(len(top))
+        mass[: len(top)] = self.n[top] + 0.1
+        mass[: self.first_rare + RARE] = np.maximum(mass[: self.first_rare + RARE] / whole, 1e-12)
+        mass /= mass.sum()
+        log = lambda x: np.where(x > 0, np.log(np.maximum(x, 1e-300)), -1e30)
+        self.log_unit = log(mass).astype(np.float32)
+        #: Of each level, for every node its branches' log probabilities without context; leaves that no unit has are out of reach.
+        self.bias = []
+        for k in range(self.levels):
+            by = mass.reshape(BRANCHES ** (k + 1), -1).sum(axis=1).reshape(-1, BRANCHES)
+            self.bias.append((log(by) - np.where(by.sum(axis=1) > 0, log(by.sum(axis=1)), 0)[:, None]).astype(np.float32))
+
+    def path(self, unit: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(node, branch) of each unit on each level."""
+        up = [unit // BRANCHES ** (self.levels - k) for k in range(self.levels + 1)]
+        return [(up[k], up[k + 1] % BRANCHES) for k in range(self.levels)]
 
     def look_up(self, h):
-        """(place among heavy words or -1, unit)"""
+        """(place among frequent words or -1, unit)"""
+        rare = self.first_rare + rare_unit(h)
         if not len(self.h):
-            return np.full(len(h), -1), rare_unit(h)
+            return np.full(len(h), -1), rare
         at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
         hit = self.h[at] == h
-        return np.where(hit, at, -1), np.where(hit, self.unit[at], rare_unit(h))
+        return np.where(hit, at, -1), np.where(hit, self.unit[at], rare)
 
 
 def features(row: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -185,26 +214,40 @@ def features(row: np.ndarray, h: np.ndarray) -> np.ndarray:
     return np.stack([mix(one * STEP[10]), mix(one * STEP[11] + two * STEP[12]), mix(two * STEP[13])], axis=1)
 
 
+def rows_log2(tokens: int) -> int:
+    return int(np.clip(max(1, tokens).bit_length() - 10, 15, 18))
+
+
 class Weights:
-    def __init__(self, classes=None, members=None):
-        size = (1 << FEATURES_LOG2, CLASSES)
-        self.classes = np.zeros(size, np.float32) if classes is None else classes
-        self.members = np.zeros((size[0], PER_CLASS), np.float32) if members is None else members
-
-    @staticmethod
-    def index(f: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        mask = U((1 << FEATURES_LOG2) - 1)
-        own = mix(f + (cls.astype(np.uint64) * STEP[20] + STEP[21])[:, None]) & mask
-        return (f >> U(20) & mask).astype(np.int64), own.astype(np.int64)
-
-    def forward(self, v: Vocabulary, fc, fm, cls):
-        """Log probabilities of all classes, and of all members of each token's class."""
-        a = self.classes[fc[:, 0]] + self.classes[fc[:, 1]] + self.classes[fc[:, 2]] + v.class_bias
-        b = self.members[fm[:, 0]] + self.members[fm[:, 1]] + self.members[fm[:, 2]] + v.member_bias[cls]
-        for x in (a, b):
+    """A table of hashed rows per level."""
+
+    def __init__(self, levels: int, log2: int, tables=None):
+        self.log2 = log2
+        self.tables = [np.zeros((1 << log2, BRANCHES), np.float32) for _ in range(levels)] if tables is None else tables
+
+    def copy(self) -> Weights:
+        return Weights(len(self.tables), self.log2, [t.copy() for t in self.tables])
+
+    def index(self, f: np.ndarray, level: int, node: np.ndarray) -> np.ndarray:
+        """Rows of the features ``f`` (tokens x features) at a node."""
+        own = mix(f + (node.astype(np.uint64) * STEP[20] + STEP[21 + level])[:, None])
+        return (own & U((1 << self.log2) - 1)).astype(np.int64)
+
+    def forward(self, v: Vocabulary, f: np.ndarray, unit: np.ndarray):
+        """Per level: rows, branch taken, and log probabilities of all branches of the node."""
+        for k, (node, branch) in enumerate(v.path(unit)):
+            at = self.index(f, k, node)
+            t = self.tables[k]
+            x = t[at[:, 0]] + t[at[:, 1]] + t[at[:, 2]] + v.bias[k][node]
             x -= x.max(axis=1, keepdims=True)
             x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-        return a, b
+            yield at, branch, x
+
+    def log_prob(self, v: Vocabulary, f: np.ndarray, unit: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(unit), np.float32)
+        for _, branch, x in self.forward(v, f, unit):
+            out += x[np.arange(len(unit)), branch]
+        return out
 
 
 def _step(weights, total, index, grad, rate):
@@ -222,137 +265,161 @@ def _step(weights, total, index, grad, rate):
 BLOCKS = 8
 
 
-def _block(part: int, kind: int, rows: np.ndarray, count: np.ndarray, total: np.ndarray):
-    return _rows([part], kind, [_zip(np.array([len(rows)], "<i8").tobytes(), rows.astype("<i8").tobytes(), count.astype("<f4").tobytes(), total.tobytes())])
+def _block(part: int, level: int, group: int, rows: np.ndarray, count: np.ndarray, total: np.ndarray):
+    return _rows([part], level, [_zip(np.array([group, len(rows)], "<i8").tobytes(), rows.astype("<i8").tobytes(), count.astype("<f4").tobytes(), total.astype("<f4").tobytes())])
 
 
 def _read_block(m):
-    n = int(np.frombuffer(m, "<i8", 1)[0])
-    return np.frombuffer(m, "<i8", n, 8), np.frombuffer(m, "<f4", n, 8 + 8 * n), np.frombuffer(m, "<f4", offset=8 + 12 * n).reshape(n, CLASSES)
-
-
-def _train(vocab, weights, rate: float, groups: int, batch_size: int = 2048):
-    """From the common weights, steps over a task's texts; yields its changes in blocks of rows, dealt to its group of tasks."""
+    group, n = (int(x) for x in np.frombuffer(m, "<i8", 2))
+    return group, np.frombuffer(m, "<i8", n, 16), np.frombuffer(m, "<f4", n, 16 + 8 * n), np.frombuffer(m, "<f4", offset=16 + 12 * n).reshape(n, BRANCHES)
+
+
+def learn(v: Vocabulary, w: Weights, sums: list[np.ndarray], c, rate: float, batch_size: int = 2048) -> None:
+    """Gradient steps on ``w`` over a chunk of texts; ``sums`` are the squares of the gradients so far."""
+    row, h = tokens(c)
+    _, unit = v.look_up(h)
+    f = features(row, h)
+    for a in range(0, len(h), batch_size):
+        k = slice(a, a + batch_size)
+        for level, (at, branch, x) in enumerate(w.forward(v, f[k], unit[k])):
+            p = np.exp(x)
+            p[np.arange(len(branch)), branch] -= 1
+            _step(w.tables[level], sums[level], at, p, rate)
+
+
+def _train(vocab, weights, rate: float, per: int, parts: int):
+    """From the common weights, steps over a group's texts; yields its changes in blocks of rows, dealt to its family of ``per`` groups."""
+
+    def changes(v, common, group, batches):
+        w = common.copy()
+        sums = [np.zeros_like(t) for t in w.tables]
+        for texts in batches:
+            for c in chunks(texts):
+                learn(v, w, sums, c, rate)
+        for level, s in enumerate(sums):
+            used = np.flatnonzero(s.any(axis=1))
+            for p in range(BLOCKS):
+                r = used[used % BLOCKS == p]
+                yield _block(p * parts + group // per, level, group, r, np.ones(len(r)), w.tables[level][r] - common.tables[level][r])
 
     def run(batches):
-        from pyspark import TaskContext
-
-        group = TaskContext.get().partitionId() % groups
         v, common = vocab.value, weights.value
-        w = Weights(common.classes.copy(), common.members.copy())
-        sums = [np.zeros_like(w.classes), np.zeros_like(w.members)]
-        any_ = False
-        for batch in batches:
-            for c in chunks(batch.column("text")):
-                row, h = tokens(c)
-                _, unit = v.look_up(h)
-                f = features(row, h)
-                for a in range(0, len(h), batch_size):
-                    any_ = True
-                    u = unit[a : a + batch_size]
-                    cls, mem = u // PER_CLASS, u % PER_CLASS
-                    fc, fm = Weights.index(f[a : a + batch_size], cls)
-                    p, q = (np.exp(x) for x in w.forward(v, fc, fm, cls))
-                    k = np.arange(len(u))
-                    p[k, cls] -= 1
-                    q[k, mem] -= 1
-                    _step(w.classes, sums[0], fc, p, rate)
-                    _step(w.members, sums[1], fm, q, rate)
-        if any_:
-            for kind, (new, old, s) in enumerate(((w.classes, common.classes, sums[0]), (w.members, common.members, sums[1]))):
-                used = np.flatnonzero(s.any(axis=1))
-                for p in range(BLOCKS):
-                    r = used[used % BLOCKS == p]
-                    yield _block(p * groups + group, kind, r, np.ones(len(r)), new[r] - old[r])
+
+        def pieces():
+            for batch in batches:
+                g = batch.column("group").to_numpy()
+                edge = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else []
+                for a, b in zip(edge, [*edge[1:], len(g)], strict=True):
+                    yield int(g[a]), batch.column("text").slice(a, b - a)
+
+        for group, texts in groupby(pieces(), key=lambda x: x[0]):
+            yield from changes(v, common, group, (t for _, t in texts))
 
     return run
 
 
-def _combine(groups: int):
-    """Adds up the blocks of a part, row by row; parts of ``groups`` groups become one."""
+def _combine(log2: int, parts: int):
+    """Adds up the blocks of a part row by row, in the order of groups; ``parts`` families of a block become one."""
 
     def run(batches):
-        total: dict[int, list] = {}
+        have: dict[int, list] = {}
         for batch in batches:
-            for part, kind, blob in zip(batch.column("part").to_pylist(), batch.column("kind").to_pylist(), batch.column("blob"), strict=True):
-                have = total.setdefault(part, [(np.zeros(1 << FEATURES_LOG2, np.float32), np.zeros((1 << FEATURES_LOG2, CLASSES), np.float32)) for _ in range(2)])
-                r, n, x = _read_block(_unzip(blob))
-                have[kind][0][r] += n
-                have[kind][1][r] += x
-        for part, have in total.items():
-            for kind, (n, x) in enumerate(have):
-                r = np.flatnonzero(n)
-                yield _block(part // groups, kind, r, n[r], x[r])
+            for part, level, blob in zip(batch.column("part").to_pylist(), batch.column("kind").to_pylist(), batch.column("blob"), strict=True):
+                m = memoryview(blob.as_buffer())
+                have.setdefault((part, level), []).append((_read_block(_unzip(blob))[0], bytes(m)))
+        for (part, level), blocks in have.items():
+            n, x = np.zeros(1 << log2, np.float32), np.zeros((1 << log2, BRANCHES), np.float32)
+            for _, raw in sorted(blocks, key=lambda b: b[0]):
+                _, r, k, change = _read_block(_unzip(pa.scalar(raw, pa.binary())))
+                n[r] += k
+                x[r] += change
+            r = np.flatnonzero(n)
+            yield _block(part // parts, level, part % parts, r, n[r], x[r])
 
     return run
 
 
-def train(texts: DataFrame, vocab, rounds: int, rate: float) -> Weights:
-    """``rounds`` rounds of updates that deal out all ``texts`` (doc_id, text) among them, by hash of id."""
+def train(texts: DataFrame, vocab, total: int, rounds: int, rate: float) -> Weights:
+    """``rounds`` rounds of updates that deal out all ``texts`` (doc_id, text; ``total`` tokens) among them, by hash of id."""
     sc, width = texts.sparkSession.sparkContext, shuffle_width(texts.sparkSession)
-    groups = max(1, math.isqrt(width))
-    w = Weights()
+    groups = max(1, round(total / rounds / GROUP_TOKENS))
+    per = math.isqrt(groups)
+    parts = -(-groups // per)
+    log2 = rows_log2(total)
+    w = Weights(vocab.value.levels, log2)
+    spread = F.xxhash64("doc_id")
+    dealt = texts.withColumn("group", F.pmod(F.shiftright(spread, 20), F.lit(groups)).cast("int"))
     for r in range(rounds):
         common = sc.broadcast(w)
-        part = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == r).select("text")
-        # Every task's changes meet those of its group first, then groups meet: no task reads what all tasks have made.
-        made = part.mapInArrow(_train(vocab, common, rate, groups), BLOB).repartition(width, "part").mapInArrow(_combine(groups), BLOB)
-        for b in made.repartition(BLOCKS, "part").mapInArrow(_combine(1), BLOB).collect():
-            rows, n, x = _read_block(_unzip(pa.scalar(bytes(b["blob"]), pa.binary())))
-            (w.classes, w.members)[b["kind"]][rows] += x / n[:, None]
+        part = dealt.where(F.pmod(spread, F.lit(rounds)) == r).repartitionById(groups, F.col("group")).sortWithinPartitions("group", spread, "doc_id", "text").select("group", "text")
+        # Every group's changes meet those of its family first, then families meet: no task reads what all groups have made.
+        made = part.mapInArrow(_train(vocab, common, rate, per, parts), BLOB).repartition(min(width, BLOCKS * parts), "part").mapInArrow(_combine(log2, parts), BLOB)
+        for b in made.repartition(BLOCKS, "part").mapInArrow(_combine(log2, 1), BLOB).collect():
+            _, rows, n, x = _read_block(_unzip(pa.scalar(bytes(b["blob"]), pa.binary())))
+            w.tables[b["kind"]][rows] += x / n[:, None]
         common.unpersist()
     return w
 
 
 def _measure(shards: int, vocab, weights):
-    """Rare words of each text to their shards (kind 1); length, base over heavy words and what the model adds to the text's bucket (kind 2)."""
+    """Rare words of each text to their shards (kind 1); length, base over frequent words and what the model adds to the text's bucket (kind 2).
+
+    A task gathers many chunks before it sends, so that blobs are few and large.
+    """
+
+    def flush(own, far):
+        part, kind, blob = [], [], []
+        key, ids, n, known, part_sum, gain = (np.concatenate(x) for x in zip(*own, strict=True))
+        for p, k in by_group((mix(key) % U(shards)).astype(np.int64)):
+            part.append(p)
+            kind.append(2)
+            blob.append(_zip(np.array([len(k)], "<i8").tobytes(), key[k].tobytes(), ids[k].tobytes(), n[k].astype("<i8").tobytes(), known[k].astype("<i8").tobytes(), part_sum[k].tobytes(), gain[k].tobytes()))
+        rr, rh, times = (np.concatenate(x) for x in zip(*far, strict=True))
+        for p, k in by_group(shard_of(rh, shards)):
+            r = rr[k]
+            e = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
+            part.append(p)
+            kind.append(1)
+            blob.append(_zip(np.array([len(e), len(k)], "<i8").tobytes(), key[r[e]].tobytes(), np.diff(np.append(e, len(r))).astype("<i4").tobytes(), rh[k].tobytes(), times[k].astype("<i4").tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(kind, pa.int32()), pa.array(blob, pa.binary())], names=["part", "kind", "blob"])
 
     def run(batches):
         v, w = vocab.value, weights.value
         logs = np.log10(v.n + 0.1)
+        own, far, rows, size = [], [], 0, 0
         for batch in batches:
             ids = doc_ids(batch.column("doc_id"))
             for c in chunks(batch.column("text")):
-                own = ids[c.first : c.first + c.n]
+                mine = ids[c.first : c.first + c.n]
                 row, h = tokens(c)
                 place, unit = v.look_up(h)
                 add = np.zeros(len(h), np.float32)
                 f = features(row, h)
                 for a in range(0, len(h), 16384):
-                    u = unit[a : a + 16384]
-                    cls, mem = u // PER_CLASS, u % PER_CLASS
-                    fc, fm = Weights.index(f[a : a + 16384], cls)
-                    p, q = w.forward(v, fc, fm, cls)
-                    k = np.arange(len(u))
-                    add[a : a + 16384] = p[k, cls] + q[k, mem] - v.log_unit[u]
-                is_heavy = place >= 0
+                    k = slice(a, a + 16384)
+                    add[k] = w.log_prob(v, f[k], unit[k]) - v.log_unit[unit[k]]
+                frequent = place >= 0
                 n = np.bincount(row, minlength=c.n)
-                known = np.bincount(row[is_heavy], minlength=c.n)
-                part_sum = np.bincount(row[is_heavy], logs[place[is_heavy]], minlength=c.n)
+                known = np.bincount(row[frequent], minlength=c.n)
+                part_sum = np.bincount(row[frequent], logs[place[frequent]], minlength=c.n)
                 gain = np.bincount(row, add.astype(np.float64), minlength=c.n) / np.log(10)
                 # A key per row content: rows alike in id and words share it, and are divided by their number at the end.
-                key = mix(own.view(np.uint64)) ^ (np.add.reduceat(mix(h + np.arange(len(h), dtype=np.uint64) - np.repeat(np.cumsum(n) - n, n).astype(np.uint64)), np.cumsum(n) - n) if len(h) else U(0))
-                bucket = (mix(key) % U(shards)).astype(np.int64)
-                part, kind, blob = [], [], []
-                for p, k in by_group(bucket):
-                    part.append(p)
-                    kind.append(2)
-                    blob.append(_zip(np.array([len(k)], "<i8").tobytes(), key[k].tobytes(), own[k].tobytes(), n[k].astype("<i8").tobytes(), known[k].astype("<i8").tobytes(), part_sum[k].tobytes(), gain[k].tobytes()))
-                rr, rh = row[~is_heavy], h[~is_heavy]
+                key = mix(mine.view(np.uint64)) ^ (np.add.reduceat(mix(h + np.arange(len(h), dtype=np.uint64) - np.repeat(np.cumsum(n) - n, n).astype(np.uint64)), np.cumsum(n) - n) if len(h) else U(0))
+                own.append((key, mine, n, known, part_sum, gain))
+                rr, rh = row[~frequent], h[~frequent]
                 order = np.argsort(rh)
                 order = order[np.argsort(rr[order], kind="stable")]
                 rr, rh = rr[order], rh[order]
                 new = np.concatenate([[True], (rr[1:] != rr[:-1]) | (rh[1:] != rh[:-1])]) if len(rr) else np.zeros(0, bool)
                 at = np.flatnonzero(new)
-                times = np.diff(np.append(at, len(rr)))
-                rr, rh = rr[at], rh[at]
-                for p, k in by_group(shard_of(rh, shards)):
-                    r = rr[k]
-                    e = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-                    part.append(p)
-                    kind.append(1)
-                    blob.append(_zip(np.array([len(e), len(k)], "<i8").tobytes(), key[r[e]].tobytes(), np.diff(np.append(e, len(r))).astype("<i4").tobytes(), rh[k].tobytes(), times[k].astype("<i4").tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(kind, pa.int32()), pa.array(blob, pa.binary())], names=["part", "kind", "blob"])
+                far.append((rr[at] + rows, rh[at], np.diff(np.append(at, len(rr)))))
+                rows += c.n
+                size += len(at) + c.n
+                if size > GATHER:
+                    yield flush(own, far)
+                    own, far, rows, size = [], [], 0, 0
+        if own:
+            yield flush(own, far)
 
     return run
 
@@ -443,10 +510,11 @@ def score(docs: DataFrame, folds: int = 10, rounds: int = 3, rate: float = 0.15)
     every = [F.sum(F.col(x)[i]).alias(f"{x}{i}") for x in ("unit_types", "unit_tokens") for i in range(RARE)]
     s = counts.agg(F.coalesce(F.sum("types"), F.lit(0)).alias("types"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), *every).first()
     total, types = s["tokens"], s["types"]
-    heavy = counts.select("blob").mapInArrow(_heavy(max(2, -(-total // HEAVY))), "h long, n long").toPandas()
+    least = max(2, min(100, total // 8192))
+    heavy = counts.select("blob").mapInArrow(_heavy(least), "h long, n long").orderBy(F.desc("n"), "h").limit(MOST_UNITS).toPandas()
     units = [np.array([s[f"{x}{i}"] or 0 for i in range(RARE)], float) for x in ("unit_types", "unit_tokens")]
     vocab = sc.broadcast(Vocabulary(heavy["h"].to_numpy("int64").view("uint64"), heavy["n"].to_numpy("int64"), types, total, *units))
-    weights = sc.broadcast(train(texts, vocab, rounds, rate) if total else Weights())
+    weights = sc.broadcast(train(texts, vocab, total, rounds, rate) if total else Weights(vocab.value.levels, 1))
     known = counts.select("part", F.lit(0).alias("kind"), "blob")
     asked = slim.mapInArrow(_measure(shards, vocab, weights), BLOB).unionByName(known).repartitionById(shards, F.col("part"))
     found = asked.mapInArrow(_look_up(shards), BLOB).repartitionById(shards, F.col("part")).mapInArrow(_finish(total, types), "doc_id long, n_tokens long, n_known long, base_score double, score double")

@@ -250,7 +250,15 @@ def test_model_beats_its_base_on_held_out_text(spark, sf):
     assert r[0] > r[1]
 
 
-def test_every_training_text_changes_the_weights(spark, monkeypatch):
+@pytest.fixture
+def trained(monkeypatch):
+    """What ``train`` was given and has made, as the scores are computed."""
+    made, train = [], maxent.train
+    monkeypatch.setattr(maxent, "train", lambda texts, vocab, *a: made.append((vocab.value, train(texts, vocab, *a))) or made[-1][1])
+    return made
+
+
+def test_every_training_text_changes_the_weights(spark, trained):
     import zlib
 
     import numpy as np
@@ -259,24 +267,123 @@ def test_every_training_text_changes_the_weights(spark, monkeypatch):
     from ridgecast.llm.batches import chunks
 
     texts = [(i, f"left{i} right{i}") for i in range(200) if zlib.crc32(str(i).encode()) % 10]
-    trained, train = [], maxent.train
-    monkeypatch.setattr(maxent, "train", lambda *a, **k: trained.append(train(*a, **k)) or trained[-1])
-    maxent.score(spark.createDataFrame(texts, "doc_id long, text string"))
+    maxent.score(spark.createDataFrame(texts, "doc_id long, text string")).count()
     for i, text in texts:
         (c,) = chunks(pa.array([text]))
         f = maxent.features(*maxent.tokens(c))
-        rows, _ = maxent.Weights.index(f, np.zeros(len(f), np.int64))
+        rows = trained[0][1].index(f, 0, np.zeros(len(f), np.int64))
         # The context of the text's end is its own two words, which occur in no other text.
-        assert trained[0].classes[rows[2, 1]].any(), i
+        assert trained[0][1].tables[0][rows[2, 1]].any(), i
+
+
+def test_scores_do_not_depend_on_partitions(spark, sf, monkeypatch):
+    """Several groups and rounds; the table in 1, 3 and 8 partitions."""
+    monkeypatch.setattr(maxent, "GROUP_TOKENS", 5000)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    got = [{r.doc_id: r.score for r in maxent.score(docs.repartition(n)).collect()} for n in (1, 3, 8)]
+    for other in got[1:]:
+        assert other.keys() == got[0].keys()
+        assert all(other[d] == pytest.approx(got[0][d], rel=1e-9, abs=1e-6) for d in other)
 
 
-def test_units_share_the_base_mass():
+def test_scores_equal_a_plain_version(spark, docs, rows, trained):
+    """Every text's score from the trained weights, token by token in plain Python."""
+    import math
+
+    import numpy as np
+
+    got = {r.doc_id: r.score for r in maxent.score(docs).collect() if r.doc_id is not None}
+    v, w = trained[0]
+    base = brute.base_scores(known(rows))[1]
+    assert v.levels == 2 and len(v.h) > 0
+    for d, text in dict(known(rows)).items():
+        if len(text or "") > 2000:
+            continue
+        import pyarrow as pa
+
+        from ridgecast.llm.batches import chunks
+
+        hashes = [int(x) for c in chunks(pa.array([text or ""])) for x in maxent.tokens(c)[1]]
+        gain, before = 0.0, [maxent.BEGIN, maxent.BEGIN]
+        for h in hashes:
+            two, one = before
+            f = [maxent.mix(x) for x in (np.array([one * maxent.STEP[10]]), np.array([one * maxent.STEP[11] + two * maxent.STEP[12]]), np.array([two * maxent.STEP[13]]))]
+            where = np.flatnonzero(v.h == np.uint64(h))
+            unit = int(v.unit[where[0]]) if len(where) else v.first_rare + h % maxent.RARE
+            log_p, mass = 0.0, np.exp(v.log_unit.astype(float))
+            for level in range(v.levels):
+                width = maxent.BRANCHES ** (v.levels - level)
+                node, branch = unit // width, unit % width // (width // maxent.BRANCHES)
+                logits = []
+                for k in range(maxent.BRANCHES):
+                    lo = node * width + k * (width // maxent.BRANCHES)
+                    m = mass[lo : lo + width // maxent.BRANCHES].sum() / mass[node * width : (node + 1) * width].sum()
+                    x = sum(float(w.tables[level][int(maxent.mix(y + np.uint64(node) * maxent.STEP[20] + maxent.STEP[21 + level])[0]) % (1 << w.log2)][k]) for y in f)
+                    logits.append(math.log(m) + x if m > 0 else -math.inf)
+                top = max(logits)
+                log_p += logits[branch] - top - math.log(sum(math.exp(x - top) for x in logits))
+            gain += (log_p - float(v.log_unit[unit])) / math.log(10)
+            before = [one, np.uint64(h)]
+        assert got[d] == pytest.approx(base[d][3] + gain, rel=1e-4, abs=1e-3), d
+
+
+def toy_vocabulary(words):
     import numpy as np
 
-    h = np.arange(1, 400, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    n = np.arange(1, 400)[::-1].astype(np.int64)
-    unit = maxent.rare_unit(h) - (maxent.UNITS - maxent.RARE)
-    v = maxent.Vocabulary(h, n, len(h), int(n.sum()), np.bincount(unit, minlength=maxent.RARE).astype(float), np.bincount(unit, n, minlength=maxent.RARE).astype(float))
-    assert np.exp(v.log_unit.astype(float)).sum() == pytest.approx(1, abs=1e-5)
-    assert np.exp(v.class_bias.astype(float)).sum() == pytest.approx(1, abs=1e-5)
-    assert np.exp(v.member_bias.astype(float)).sum(axis=1) == pytest.approx(np.ones(maxent.CLASSES), abs=1e-4)
+    h = np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    n = np.arange(1, words + 1)[::-1].astype(np.int64)
+    unit = maxent.rare_unit(h)
+    return maxent.Vocabulary(h, n, len(h), int(n.sum()), np.bincount(unit, minlength=maxent.RARE).astype(float), np.bincount(unit, n, minlength=maxent.RARE).astype(float))
+
+
+@pytest.mark.parametrize(("words", "levels"), [(3, 2), (400, 2), (1100, 3), (20000, 4)])
+def test_units_share_the_base_mass_and_every_context_sums_to_one(words, levels):
+    import numpy as np
+
+    v = toy_vocabulary(words)
+    assert v.levels == levels and v.first_rare == min(words, 16**levels - maxent.RARE)
+    assert np.exp(v.log_unit.astype(float)).sum() == pytest.approx(1, abs=1e-4)
+    rng = np.random.default_rng(2)
+    w = maxent.Weights(levels, 12, [rng.normal(size=(1 << 12, maxent.BRANCHES)).astype(np.float32) for _ in range(levels)])
+    units = np.arange(v.first_rare + maxent.RARE)
+    for f in rng.integers(0, 2**63, (3, 1, 3), dtype=np.uint64):
+        assert np.exp(w.log_prob(v, np.repeat(f, len(units), axis=0), units).astype(float)).sum() == pytest.approx(1, abs=1e-3)
+
+
+def test_steps_go_down_the_gradient():
+    """A first step of tiny rate moves each weight against the slope that finite differences give."""
+    import numpy as np
+    import pyarrow as pa
+
+    from ridgecast.llm.batches import chunks
+
+    v = toy_vocabulary(40)
+    (c,) = chunks(pa.array(["a b a c", "b a", "a a b c a"]))
+    row, h = maxent.tokens(c)
+    f, unit = maxent.features(row, h), v.look_up(h)[1]
+    rng = np.random.default_rng(3)
+    w = maxent.Weights(2, 6, [rng.normal(size=(64, maxent.BRANCHES)) * 0.3 for _ in range(2)])
+    slope = [np.zeros((64, maxent.BRANCHES)) for _ in range(2)]
+    for level in range(2):
+        for i in range(64):
+            for k in range(maxent.BRANCHES):
+                at = w.tables[level]
+                keep = at[i, k]
+                loss = []
+                for e in (1e-3, -1e-3):
+                    at[i, k] = keep + e
+                    loss.append(-sum(float(x[np.arange(len(b)), b].astype(float).sum()) for _, b, x in w.forward(v, f, unit)))
+                at[i, k] = keep
+                slope[level][i, k] = (loss[0] - loss[1]) / 2e-3
+    moved, sums = w.copy(), [np.zeros((64, maxent.BRANCHES)) for _ in range(2)]
+    (c,) = chunks(pa.array(["a b a c", "b a", "a a b c a"]))
+    maxent.learn(v, moved, sums, c, 1.0)
+    for level in range(2):
+        assert np.allclose(np.sqrt(sums[level]), abs(slope[level]), atol=2e-2)
+        step = moved.tables[level] - w.tables[level]
+        assert np.allclose(step, -slope[level] / np.sqrt(slope[level] ** 2 + 1e-2), atol=5e-2)
+
+
+def test_the_model_grows_with_the_corpus():
+    assert [maxent.levels_for(n) for n in (0, 100, 1008, 16368, 65520)] == [2, 2, 3, 4, 4]
+    assert [maxent.rows_log2(1 << k) for k in (10, 24, 26, 28, 40)] == [15, 15, 17, 18, 18]
