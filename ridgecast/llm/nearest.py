@@ -1,14 +1,18 @@
 """Approximate nearest neighbours over balanced posting lists (after SPANN, Chen et al., 2021).
 
-Index: centroids come from recursive balanced two-means over a bounded sample (``sample`` rows of smallest hash). Every row
-is indexed: it goes to its nearest list and to each further list whose distance is within ``1 + boundary`` of the nearest, up
-to ``copies`` lists; more copies only help queries, no row is left out. A query finds its nearest centroids by best-first search in an in-memory
-neighbour graph and probes all lists within a ratio of the nearest one's distance. That ratio is set from the
-sample: it is what ``aim`` of the sample's true neighbours need.
+Candidates: of equal vectors only the ``k + 1`` smallest ids can ever be among a query's ``k`` nearest, for ties go to the smaller id; all
+others are left out before indexing, by a limit within each task and then across tasks, so a vector that a third of the table has is a few rows.
 
-Lists are dealt in blocks of about ``block`` rows, so neither a popular list nor thousands of equal vectors meet in one task; queries
-stream past a block. Centroids and graph, at most ``max_lists`` rows, are all that is broadcast. Scores are cosines of the
-original vectors in double precision, computed pair by pair.
+Index: centroids come from recursive balanced two-means over a sample of the candidates (those of smallest hash, ``sample`` or 8 for each list).
+There is a list for every ``list_size`` candidates, up to ``max_lists``: at most 16,384 centroids and their neighbour graph are broadcast; beyond 4 million
+distinct vectors lists get longer instead. Every candidate is indexed: it goes to its nearest list and to each further list whose distance is
+within ``1 + boundary`` of the nearest, up to ``copies`` lists; more copies only help queries, no row is left out. A query finds its nearest
+centroids by best-first search in an in-memory neighbour graph and probes all lists within a ratio of the nearest one's distance. That ratio is
+set from the sample: it is what ``aim`` of the sample's true neighbours need.
+
+Lists are dealt in blocks of about ``block`` rows, so a popular list does not meet in one task; queries stream past a block, which
+answers each with its ``k`` nearest. Scores are cosines of the original vectors in double precision, computed pair by pair; vectors are
+scaled by powers of two first, which is exact, so neither very large nor very small components overflow.
 
 Nulls and edges: rows with a null id, or a vector that is null, empty, zero, of another length than most, or holding a null or
 non-finite component, take no part, neither as query nor candidate. Rows that repeat an id are one candidate (its best score);
@@ -123,7 +127,7 @@ def _matrix(column: pa.Array, dtype) -> np.ndarray:
     return np.concatenate([np.frombuffer(b.as_buffer(), dtype) for b in column]).reshape(len(column), -1) if len(column) else np.zeros((0, 0), dtype)
 
 
-def search(vectors: DataFrame, every: int = 50, k: int = 5, list_size: int = 256, max_lists: int = 4096, sample: int = 20000, boundary: float = 0.15, copies: int = 8, aim: float = 0.97, block: int = 2048) -> DataFrame:
+def search(vectors: DataFrame, every: int = 50, k: int = 5, list_size: int = 256, max_lists: int = 16384, sample: int = 20000, boundary: float = 0.15, copies: int = 8, aim: float = 0.97, block: int = 2048) -> DataFrame:
     """Queries are the rows of ``vectors`` (vec_id, embedding) whose id is divisible by ``every``: query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
     sc = spark.sparkContext
@@ -134,11 +138,14 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, list_size: int = 256
     out = "query_id long, rank int, vec_id long, score double"
     if lengths is None:
         return spark.createDataFrame([], out)
-    dim, total = lengths["n"], lengths["rows"]
-    base = base.where(F.size("e") == dim)
-    got = base.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toPandas()
-    x = _unit(np.stack(got["e"].to_numpy()))
-    lists = int(np.clip(total // list_size, 1, min(max_lists, max(1, len(x) // 8))))
+    dim = lengths["n"]
+    base = materialize(base.where(F.size("e") == dim).distinct(), "vectors")
+    place = F.row_number().over(Window.partitionBy("e").orderBy("vec_id"))
+    candidates = materialize(base.withColumn("place", place).where(F.col("place") <= k + 1).drop("place"), "candidates")
+    lists = int(np.clip(candidates.count() // list_size, 1, max_lists))
+    got = candidates.orderBy(F.xxhash64("vec_id"), "vec_id").limit(max(sample, 8 * lists)).select("e").toArrow()["e"].combine_chunks()
+    x = _unit(got.flatten().to_numpy().reshape(-1, dim))
+    lists = min(lists, max(1, len(x) // 8))
     c = balanced_centroids(x, lists)
     ratio = fit_ratio(x, c, boundary, copies, k, aim) if len(x) > 1 else 1.0
     index = sc.broadcast((c, neighbour_graph(c), ratio))
@@ -168,7 +175,7 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, list_size: int = 256
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).astype(np.int32)), b.column("vec_id").take(pa.array(row)), pa.array([raw[i] for i in row], pa.binary())], names=["list", "id", "v"])
 
     posted = "list int, id long, v binary"
-    postings = materialize(base.mapInArrow(post, posted), "postings")
+    postings = materialize(candidates.mapInArrow(post, posted), "postings")
     sizes = postings.groupBy("list").agg(F.count("*").alias("rows")).select("list", F.ceil(F.col("rows") / block).cast("int").alias("blocks"))
     sizes = F.broadcast(sizes)  # a row per list, at most max_lists
     members = postings.join(sizes, "list").select("list", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("kind"), "id", "v")
@@ -203,18 +210,35 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, list_size: int = 256
     return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Each row in double precision times a power of two that brings its largest component to between a half and one."""
+    x = x.astype(np.float64)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row by row in double precision; the same two vectors give the same bits wherever they meet."""
-    a, b = a.astype(np.float64), b.astype(np.float64)
+    a, b = _scaled(a), _scaled(b)
     return np.einsum("ij,ij->i", a, b) / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
 
 
 def _best(qid, q, ids, vecs, k):
+    """Each query's ``k`` nearest ids of a block, ties to the smaller one."""
     s = _unit(q) @ _unit(vecs).T
     s[qid[:, None] == ids[None, :]] = -np.inf
-    if s.shape[1] > k:
-        edge = -np.partition(-s, k - 1, axis=1)[:, k - 1 : k] - 1e-9
+    # An id may have several vectors, of which the nearest counts.
+    most = k * int(np.unique(ids, return_counts=True)[1].max())
+    if s.shape[1] > most:
+        edge = -np.partition(-s, most - 1, axis=1)[:, most - 1 : most] - 1e-9
     else:
         edge = np.full((len(q), 1), -2.0)
     row, col = np.nonzero((s >= edge) & np.isfinite(s))
-    return pa.RecordBatch.from_arrays([pa.array(qid[row]), pa.array(ids[col]), pa.array(cosine(q[row], vecs[col]))], names=["query_id", "vec_id", "score"])
+    score = np.concatenate([np.zeros(0), *(cosine(q[row[a : a + 65536]], vecs[col[a : a + 65536]]) for a in range(0, len(row), 65536))])
+    order = np.lexsort((ids[col], -score, row))
+    row, found, score = row[order], ids[col[order]], score[order]
+    if most > k:
+        once = np.sort(np.unique(np.stack([row, found]), axis=1, return_index=True)[1])
+        row, found, score = row[once], found[once], score[once]
+    start = np.searchsorted(row, np.arange(len(q)))
+    near = np.arange(len(row)) - start[row] < k
+    return pa.RecordBatch.from_arrays([pa.array(qid[row[near]]), pa.array(found[near]), pa.array(score[near])], names=["query_id", "vec_id", "score"])

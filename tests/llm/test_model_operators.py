@@ -374,3 +374,32 @@ def test_many_equal_vectors_are_dealt_in_blocks(spark):
     assert hit / (5 * len(want)) >= 0.9
     ones = [r.vec_id for r in got.where("query_id = 1050").orderBy("rank").collect()]
     assert ones == [1000, 1001, 1002, 1003, 1004]
+
+
+def test_a_block_of_ties_answers_with_k_rows():
+    rng = np.random.default_rng(1)
+    q, ids = rng.normal(size=(512, 16)), rng.permutation(2048)
+    got = nearest._best(np.arange(5000, 5512), q, ids, np.ones((2048, 16)), 5).to_pandas()
+    assert len(got) == 5 * 512 and all(g.tolist() == [0, 1, 2, 3, 4] for _, g in got.groupby("query_id").vec_id)
+    # An id with several vectors counts once, by its nearest.
+    got = nearest._best(np.array([9]), np.array([[1.0, 0.0]]), np.array([1, 1, 2]), np.array([[1.0, 0.0], [1.0, 0.1], [0.0, 1.0]]), 2).to_pandas()
+    assert got.vec_id.tolist() == [1, 2] and got.score.tolist() == [1.0, 0.0]
+
+
+def test_very_large_and_very_small_components(spark):
+    a, b = np.array([[1e300, 2e300, -1e299]]), np.array([[3e-310, 1e-310, 0.0]])
+    assert np.isfinite(nearest.cosine(a, b)).all() and nearest.cosine(a, b)[0] == pytest.approx(nearest.cosine(a / 1e300, np.array([[3.0, 1.0, 0.0]]))[0], rel=1e-9)
+    df = spark.createDataFrame([(0, [1e200, 0.0]), (1, [1e200, 1e200]), (2, [1e-200, 0.0])], "vec_id long, embedding array<double>")
+    got = [(r.vec_id, round(r.score, 6)) for r in nearest.search(df).orderBy("rank").collect()]
+    assert got == [(2, 1.0), (1, 0.707107)]
+
+
+def test_a_vector_of_a_third_of_the_table_is_a_few_candidates(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=8).tolist(), "v") for i in range(400)] + [(1000 + i, [1.0] * 8, "v") for i in range(300)] * 2
+    kept, keep = {}, nearest.materialize
+    monkeypatch.setattr(nearest, "materialize", lambda df, name: kept.setdefault(name, keep(df, name)))
+    got = nearest.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>, e string")).collect()
+    assert kept["candidates"].count() == 406
+    ones = {q: [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] for q in (1000, 1050)}
+    assert ones == {1000: [1001, 1002, 1003, 1004, 1005], 1050: [1000, 1001, 1002, 1003, 1004]}
