@@ -128,6 +128,24 @@ def by_group(key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(key[part[0]]), part
 
 
+def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The positions start, start + 1, ... start + size - 1 of each pair, in one array."""
+    ends = np.cumsum(size)
+    index = np.arange(int(ends[-1]) if len(ends) else 0, dtype=np.int64)
+    index += np.repeat(start - (ends - size), size)
+    return index
+
+
+def pack56(x: np.ndarray) -> bytes:
+    """Unsigned integers below 2**56, seven bytes each."""
+    return x.astype("<u4").tobytes() + (x >> U(32)).astype("<u2").tobytes() + (x >> U(48)).astype(np.uint8).tobytes()
+
+
+def unpack56(b: memoryview, n: int) -> np.ndarray:
+    low, mid, high = np.frombuffer(b, "<u4", n), np.frombuffer(b, "<u2", n, 4 * n), np.frombuffer(b, np.uint8, n, 6 * n)
+    return low.astype(np.uint64) | (mid.astype(np.uint64) << U(32)) | (high.astype(np.uint64) << U(48))
+
+
 def pack40(x: np.ndarray) -> bytes:
     """Unsigned integers below 2**40, five bytes each."""
     return x.astype("<u4").tobytes() + (x >> U(32)).astype(np.uint8).tobytes()

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgecast.llm.batches import U, by_group, chunks, doc_ids, mix, pack40, span_hashes, unpack40
+from ridgecast.llm.batches import U, by_group, chunks, doc_ids, mix, pack40, ranges, span_hashes, unpack40
 from ridgecast.llm.store import materialize, shuffle_width
 
 GRAM = 16
@@ -253,14 +253,6 @@ class Segments:
         self.cut = _cuts(_shard_of(self.hash, parts), parts)
 
 
-def _index(start, size):
-    """The positions start, start + 1, ... start + size - 1 of each pair, in one array."""
-    ends = np.cumsum(size)
-    index = np.arange(int(ends[-1]) if len(ends) else 0, dtype=np.int64)
-    index += np.repeat(start - (ends - size), size)
-    return index
-
-
 def _send_segments(parts: int, span: int):
     def run(batches):
         for part, rows in _by_part(batches):
@@ -268,7 +260,7 @@ def _send_segments(parts: int, span: int):
             s = Segments(b, parts, span)
             for p in np.flatnonzero(np.diff(s.cut)):
                 i, j = s.cut[p], s.cut[p + 1]
-                text = b.data[_index(s.first[i:j], s.windows[i:j] + span - 1)]
+                text = b.data[ranges(s.first[i:j], s.windows[i:j] + span - 1)]
                 yield _rows([p], 1, [_squeeze(np.array([part, j - i], "<i8").tobytes(), s.hash[i:j].tobytes(), s.least[i:j].tobytes(), s.windows[i:j].astype("<i4").tobytes(), text.tobytes())])
 
     return run
@@ -335,16 +327,16 @@ def _answer_segments(span: int):
             k = order[edges[at] : edges[to]]
             at = to
             # Equal segments of different buckets are sorted once.
-            block = text[_index(start[k], size[k])]
+            block = text[ranges(start[k], size[k])]
             ends = np.cumsum(size[k])
             f = span_hashes(block, ends - size[k], ends) ^ mix(h[k])
             u, first, inv = np.unique(f, return_index=True, return_inverse=True)
             low = np.full(len(u), TOP, np.int64)
             np.minimum.at(low, inv, least[k])
             uw = windows[k][first]
-            ublock = block[_index((ends - size[k])[first], size[k][first])]
+            ublock = block[ranges((ends - size[k])[first], size[k][first])]
             uend = np.cumsum(uw + span - 1)
-            places = _index(uend - (uw + span - 1), uw)
+            places = ranges(uend - (uw + span - 1), uw)
             rank = refine(ublock, span)[places]
             o = np.argsort(rank)
             new = np.concatenate([[True], rank[o][1:] != rank[o][:-1]])
@@ -352,8 +344,8 @@ def _answer_segments(span: int):
             smallest = np.empty(len(rank), np.int64)
             smallest[o] = lowest[np.cumsum(new) - 1]
             uslot = np.concatenate([[0], np.cumsum(uw)])
-            mine = smallest[_index(uslot[inv], windows[k])]
-            there = _index(slot[k], windows[k])
+            mine = smallest[ranges(uslot[inv], windows[k])]
+            there = ranges(slot[k], windows[k])
             bits[there] = mine < np.repeat(least[k], windows[k])
         at, blobs = 0, []
         for _, n in sender:
@@ -380,8 +372,8 @@ def _cut_texts(parts: int, span: int):
             i, j = slot[s.cut[p]], slot[s.cut[p + 1]]
             bits[i:j] = np.unpackbits(got, count=int(j - i))
         n = s.z - s.a + 1
-        gone = bits[_index(slot[s.of], n)] | np.repeat(b.ids[s.doc] > s.least[s.of], n)
-        place = _index(s.a, n)[gone]
+        gone = bits[ranges(slot[s.of], n)] | np.repeat(b.ids[s.doc] > s.least[s.of], n)
+        place = ranges(s.a, n)[gone]
         doc = np.repeat(s.doc, n)[gone]
         new = np.concatenate([[True], (place[1:] > place[:-1] + span) | (doc[1:] != doc[:-1])]) if len(place) else np.zeros(0, bool)
         at = np.flatnonzero(new)

@@ -44,6 +44,42 @@ def test_jaccard_of_many_near_copies_and_chains(spark):
     assert got == brute.jaccard(rows)
 
 
+def test_an_outsider_among_many_near_copies_makes_no_pairs_of_copies(spark, monkeypatch):
+    """Open lists: copies share rare prefix tokens with a document of another component."""
+    rnd = random.Random(6)
+    base = [f"t{i}" for i in range(100)]
+    rows = [(i, " ".join(base[:97] + [f"u{i}", f"v{i}", f"w{i}"])) for i in range(300)]
+    # Outsiders share a part of the copies only: too little to link.
+    rows += [(1000 + i, " ".join(base[i * 7 : i * 7 + 60] + [f"o{i}{j}" for j in range(20)])) for i in range(5)]
+    rows += [(2000 + i, " ".join(base[:88] + [f"p{i}{rnd.random()}" for _ in range(6)])) for i in range(5)]
+    counts, linked = [], ngram_join._linked
+
+    def counted(pairs, *rest):
+        counts.append(pairs.count())
+        return linked(pairs, *rest)
+
+    monkeypatch.setattr(ngram_join, "_linked", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute.jaccard(rows)
+    assert sum(counts) < 20 * len(rows)
+
+
+def test_classes_that_share_half_a_fingerprint_are_told_apart(docs, rows, monkeypatch):
+    """The first salt makes all first halves alike."""
+    salts, fingerprints = [], ngram_join.fingerprints
+
+    def poor(row, token, size, salt=0):
+        a, b = fingerprints(row, token, size, salt)
+        return (a % 3 if salt == 0 else a), b
+
+    monkeypatch.setattr(ngram_join, "fingerprints", poor)
+    monkeypatch.setattr(ngram_join, "_profile", lambda width, salt, f=ngram_join._profile: salts.append(salt) or f(width, salt))
+    got = ngram_join.jaccard_components(docs).collect()
+    want = brute.jaccard(known(rows))
+    assert salts == [0, 1]
+    assert all((r.n_shingles, r.component_id) == want[r.doc_id] for r in got if r.doc_id is not None)
+
+
 def test_jaccard_empty(empty):
     assert ngram_join.jaccard_components(empty).count() == 0
     assert ngram_join.keep_one_per_component(empty).columns == empty.columns
