@@ -4,18 +4,21 @@ Removes every byte covered by a ``span``-byte string (50) that also starts in a
 UTF-8 bytes, strings are judged on the input, and none crosses documents.
 
 How it runs
-1. Texts are dealt to buckets by id as compressed blobs. Every window of ``span`` bytes has an anchor: its 16-byte gram with the
-   least hash, leftmost on ties. Equal windows have equal anchors. Consecutive windows with one anchor form a segment.
-2. A bucket sends its distinct anchors' fingerprints to shards; a shard answers with one bit each: do two documents hold it?
-   Text without shared anchors, most of it, takes no further part.
-3. A bucket sends its distinct segments with a shared anchor, each with the smallest id that holds it. The shard
-   sorts their suffixes: initial buckets by 8-byte grams, then refinement by the bucket pointers of the suffixes 8, 16 and 18
+1. Texts are dealt to buckets by id as compressed blobs; a task takes its buckets one after another. Every window of ``span`` bytes has an
+   anchor: its 16-byte gram with the least hash, leftmost on ties. Equal windows have equal anchors. Consecutive windows with one anchor
+   form a segment.
+2. A task sends its buckets' distinct anchors' fingerprints and how often they occur to shards; a shard answers with two bits each: do two
+   documents hold it, and does it occur ``HOT`` times or more? Text without shared anchors, most of it, takes no further part.
+3. A task sends its buckets' distinct segments with a shared anchor, each with the smallest id that holds it. A hot anchor's segments are cut
+   into their windows, which have shards of their own: a gram that a third of all documents have in varied surroundings is spread over all
+   shards. The shard sorts suffixes: initial buckets by 8-byte grams, then refinement by the bucket pointers of the suffixes 8, 16 and 18
    bytes on, each round reusing the pointers that the last one updated, on suffixes in buckets of two or more only. After 50 bytes,
    suffixes in one bucket are equal windows. The answer has one bit per window: does a smaller id hold it?
 4. A bucket removes a window from a document if its bit is set or the segment's smallest id is below the document's.
 
 Only distinct segments of a bucket travel, so a passage in a third of all documents costs a shard one segment per
-bucket; no group is collected. Memory is bounded by a bucket's or shard's share (spark.sql.shuffle.partitions) and texts travel thrice.
+bucket; no group is collected. A task gathers what it sends over its buckets, so there are as many blobs as an exchange between tasks has
+blocks, not as pairs of buckets. Memory is bounded by a bucket's or shard's share, whatever the number of partitions, and texts travel thrice.
 Fingerprints of 40 bits only decide what is looked at; a window counts as equal by its bytes. Within a bucket, a segment is
 told from another by 128 bits of hash.
 
@@ -37,6 +40,10 @@ from ridgecast.llm.store import materialize, shuffle_width
 GRAM = 16
 BLOB = "part int, kind int, blob binary"
 TOP = 2**63 - 1
+#: An anchor that occurs so often is hot: its distinct segments may be more than a block of 2 MB.
+HOT = 16384
+#: Anchors, or bytes of segments, that a task gathers before it sends them.
+GATHER_ANCHORS, GATHER_BYTES = 3_000_000, 32 << 20
 
 
 def _squeeze(*parts: bytes) -> bytes:
@@ -59,7 +66,7 @@ def _texts(parts: int):
     def run(batches):
         for batch in batches:
             ids = doc_ids(batch.column("doc_id"))
-            for c in chunks(batch.column("text"), 8 << 20):
+            for c in chunks(batch.column("text"), 32 << 20):
                 own = ids[c.first : c.first + c.n]
                 size = np.diff(c.bounds)
                 part, blob = [], []
@@ -73,34 +80,63 @@ def _texts(parts: int):
 
 
 def _by_part(batches):
-    """(part, its (kind, blob) rows) for each part of a partition; blobs stay compressed until a part's turn."""
-    parts: dict[int, list] = {}
+    """(part, its texts' blobs, the shards' answers to it) for each bucket of a partition; blobs stay compressed until a bucket's turn."""
+    texts: dict[int, list] = {}
+    answers: dict[int, dict[int, dict]] = {}
     for batch in batches:
         for part, kind, blob in zip(batch.column("part").to_pylist(), batch.column("kind").to_pylist(), batch.column("blob"), strict=True):
-            parts.setdefault(part, []).append((kind, blob))
-    for part in sorted(parts):
-        yield part, parts.pop(part)
+            if kind == 0:
+                texts.setdefault(part, []).append(blob)
+                continue
+            shard, to, count, m = _sections(_expand(blob))
+            bits = np.frombuffer(m, np.uint8)
+            size = (count + 7) // 8
+            for k in range(1 if kind == 2 else 2):
+                ends = np.cumsum(size) + k * size.sum()
+                for p, n, e, z in zip(to.tolist(), count.tolist(), ends.tolist(), size.tolist(), strict=True):
+                    answers.setdefault(p, {}).setdefault(kind + 2 * k, {})[shard] = (n, bits[e - z : e])
+    for part in sorted(texts):
+        yield part, texts.pop(part), answers.pop(part, {})
+
+
+def _head(address: int, parts: np.ndarray, count: np.ndarray) -> bytes:
+    return np.array([address, len(parts)], "<i8").tobytes() + parts.astype("<i8").tobytes() + count.astype("<i8").tobytes()
+
+
+def _sections(m: memoryview):
+    """(address, buckets, how many each has, the rest) of a blob that concerns several buckets."""
+    address, n = (int(x) for x in np.frombuffer(m, "<i8", 2))
+    return address, np.frombuffer(m, "<i8", n, 16), np.frombuffer(m, "<i8", n, 16 + 8 * n), m[16 + 16 * n :]
+
+
+def _bits(flags: np.ndarray, count: np.ndarray) -> bytes:
+    """Flags of consecutive sections, each from a byte of its own."""
+    return b"".join(np.packbits(x).tobytes() for x in np.split(flags, np.cumsum(count)[:-1]))
 
 
 class Bucket:
-    """The texts of a bucket (kind 0), as one array, and the shards' answers to it about anchors (1) and windows (2)."""
+    """The texts of a bucket as one array, and the shards' answers about anchors (1: shared, 3: hot) and windows (2)."""
 
-    def __init__(self, part, rows):
+    def __init__(self, part, blobs, answers):
         ids, sizes, texts = [], [], []
-        self.part, self.answers = part, {1: {}, 2: {}}
-        for kind, blob in rows:
+        self.part, self.answers = part, answers
+        for blob in blobs:
             m = _expand(blob)
             n = int(np.frombuffer(m, "<i8", 1)[0])
-            if kind == 0:
-                ids.append(np.frombuffer(m, "<i8", n, 8))
-                sizes.append(np.frombuffer(m, "<i8", n, 8 + 8 * n))
-                texts.append(np.frombuffer(m, np.uint8, offset=8 + 16 * n))
-            else:
-                self.answers[kind][n] = np.frombuffer(m, np.uint8, offset=8)
+            ids.append(np.frombuffer(m, "<i8", n, 8))
+            sizes.append(np.frombuffer(m, "<i8", n, 8 + 8 * n))
+            texts.append(np.frombuffer(m, np.uint8, offset=8 + 16 * n))
         self.ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
         self.bounds = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64) if ids else np.zeros(1, np.int64)
         self.data = np.concatenate(texts) if ids else np.zeros(0, np.uint8)
 
+    def answered(self, kind: int, cut: np.ndarray) -> np.ndarray:
+        """All answers of a kind; those of shard p belong from ``cut[p]`` on."""
+        out = np.zeros(int(cut[-1]), bool)
+        for p, (n, bits) in self.answers.get(kind, {}).items():
+            out[cut[p] : cut[p] + n] = np.unpackbits(bits, count=n)
+        return out
+
     def runs(self, span: int):
         """Segments of consecutive windows with one anchor: first and last window, document, anchor's hash."""
         out = []
@@ -177,69 +213,112 @@ def _cuts(shard: np.ndarray, parts: int) -> np.ndarray:
     return np.searchsorted(shard, np.arange(parts + 1))
 
 
-def _send_anchors(parts: int, span: int):
+def _send_anchors(shards: int, span: int):
+    def flush(kept):
+        parts = np.array([k[0] for k in kept])
+        u, multi, times = (np.concatenate([k[i] for k in kept]) for i in (1, 2, 3))
+        owner = np.repeat(np.arange(len(kept)), [len(k[1]) for k in kept])
+        shard = _shard_of(u, shards)
+        order = np.argsort(shard, kind="stable")
+        cut = _cuts(shard[order], shards)
+        to, blobs = np.flatnonzero(np.diff(cut)), []
+        for p in to:
+            k = order[cut[p] : cut[p + 1]]
+            section, n = np.unique(owner[k], return_counts=True)
+            blobs.append(_squeeze(_head(parts[0], parts[section], n), pack40(u[k] & U((1 << 40) - 1)), times[k].astype("<u2").tobytes(), np.packbits(multi[k]).tobytes()))
+        return _rows(to, 1, blobs)
+
     def run(batches):
-        for part, rows in _by_part(batches):
-            b = Bucket(part, rows)
+        kept, have = [], 0
+        for part, blobs, answers in _by_part(batches):
+            b = Bucket(part, blobs, answers)
             _, _, doc, h = b.runs(span)
-            u, multi = _distinct_anchors(h, b.ids[doc])
-            cut = _cuts(_shard_of(u, parts), parts)
-            to = np.flatnonzero(np.diff(cut))
-            yield _rows(to, 1, [_squeeze(np.array([b.part, cut[p + 1] - cut[p]], "<i8").tobytes(), pack40(u[cut[p] : cut[p + 1]] & U((1 << 40) - 1)), np.packbits(multi[cut[p] : cut[p + 1]]).tobytes()) for p in to])
+            kept.append((part, *_distinct_anchors(h, b.ids[doc])))
+            have += len(kept[-1][1])
+            if have > GATHER_ANCHORS:
+                yield flush(kept)
+                kept, have = [], 0
+        if have:
+            yield flush(kept)
 
     return run
 
 
 def _distinct_anchors(h, ids):
+    """Sorted anchors, whether two documents hold each, and how often it occurs (65,535 at most)."""
     order = np.argsort(h)
     hs, ds = h[order], ids[order]
     at = np.flatnonzero(np.concatenate([[True], hs[1:] != hs[:-1]])) if len(hs) else np.zeros(0, np.int64)
     if not len(at):
-        return hs, np.zeros(0, bool)
-    return hs[at], np.minimum.reduceat(ds, at) != np.maximum.reduceat(ds, at)
+        return hs, np.zeros(0, bool), np.zeros(0, np.int64)
+    return hs[at], np.minimum.reduceat(ds, at) != np.maximum.reduceat(ds, at), np.minimum(np.diff(np.append(at, len(hs))), 65535)
 
 
-def _answer_anchors(batches):
-    for own, rows in _by_part(batches):
-        sender, prints, multi = [], [], []
-        for _, blob in rows:
-            m = _expand(blob)
-            p, n = (int(x) for x in np.frombuffer(m, "<i8", 2))
-            sender.append((p, n))
-            prints.append(unpack40(m[16:], n))
-            multi.append(np.unpackbits(np.frombuffer(m, np.uint8, offset=16 + 5 * n), count=n).astype(bool))
-        x = np.concatenate(prints)
-        order = np.argsort(x)
-        xs = x[order]
-        at = np.flatnonzero(np.concatenate([[True], xs[1:] != xs[:-1]]))
-        times = np.diff(np.append(at, len(x)))
-        shared = np.empty(len(x), bool)
-        shared[order] = np.repeat(times > 1, times)
-        shared |= np.concatenate(multi)
-        at, blobs = 0, []
-        for _, n in sender:
-            blobs.append(_squeeze(np.array([own], "<i8").tobytes(), np.packbits(shared[at : at + n]).tobytes()))
-            at += n
-        yield _rows([p for p, _ in sender], 1, blobs)
+def _by_shard(batches):
+    """(shard, its blobs) for each shard of a partition."""
+    shards: dict[int, list] = {}
+    for batch in batches:
+        for part, blob in zip(batch.column("part").to_pylist(), batch.column("blob"), strict=True):
+            shards.setdefault(part, []).append(blob)
+    for shard in sorted(shards):
+        yield shard, shards.pop(shard)
+
+
+def _answer_anchors(hot: int):
+    def run(batches):
+        for own, rows in _by_shard(batches):
+            sender, prints, multi, times = [], [], [], []
+            for blob in rows:
+                address, parts, count, m = _sections(_expand(blob))
+                n = int(count.sum())
+                sender.append((address, parts, count))
+                prints.append(unpack40(m, n))
+                times.append(np.frombuffer(m, "<u2", n, 5 * n))
+                multi.append(np.unpackbits(np.frombuffer(m, np.uint8, offset=7 * n), count=n).astype(bool))
+            x = np.concatenate(prints)
+            order = np.argsort(x)
+            xs = x[order]
+            at = np.flatnonzero(np.concatenate([[True], xs[1:] != xs[:-1]]))
+            size = np.diff(np.append(at, len(x)))
+            shared, many = np.empty(len(x), bool), np.empty(len(x), bool)
+            shared[order] = np.repeat(size > 1, size)
+            shared |= np.concatenate(multi)
+            many[order] = np.repeat(np.add.reduceat(np.concatenate(times).astype(np.int64)[order], at) >= hot, size)
+            at, blobs = 0, []
+            for _, parts, count in sender:
+                k = slice(at, at + int(count.sum()))
+                blobs.append(_squeeze(_head(own, parts, count), _bits(shared[k], count), _bits(many[k], count)))
+                at = k.stop
+            yield _rows([a for a, _, _ in sender], 1, blobs)
+
+    return run
 
 
 class Segments:
     """Distinct segments of a bucket whose anchor is shared, in an order that the texts alone fix."""
 
-    def __init__(self, b: Bucket, parts: int, span: int):
+    def __init__(self, b: Bucket, shards: int, span: int):
         a, z, doc, h = b.runs(span)
-        u, _ = _distinct_anchors(h, b.ids[doc])
-        cut = _cuts(_shard_of(u, parts), parts)
-        shared = np.zeros(len(u), bool)
-        for p, bits in b.answers[1].items():
-            shared[cut[p] : cut[p + 1]] = np.unpackbits(bits, count=cut[p + 1] - cut[p])
-        take = shared[np.searchsorted(u, h)] if len(u) else np.zeros(0, bool)
+        u, _, _ = _distinct_anchors(h, b.ids[doc])
+        cut = _cuts(_shard_of(u, shards), shards)
+        shared, hot = b.answered(1, cut), b.answered(3, cut)
+        at = np.searchsorted(u, h)
+        take = shared[at] if len(u) else np.zeros(0, bool)
         self.a, self.z, self.doc, h = a[take], z[take], doc[take], h[take]
+        hot = hot[at][take] if len(u) else take
+        if hot.any():
+            # Windows of hot anchors are segments of their own, told apart by all their bytes.
+            n = np.where(hot, self.z - self.a + 1, 1)
+            first = ranges(self.a, n)
+            self.z = np.where(np.repeat(hot, n), first, np.repeat(self.z, n))
+            self.doc, h, hot = np.repeat(self.doc, n), np.repeat(h, n), np.repeat(hot, n)
+            self.a = first
         f = np.empty(len(h), np.uint64)
         for lo, hi in _slices(b.bounds, 2 << 20):
             i, j = np.searchsorted(self.doc, [lo, hi])
             at = b.bounds[lo]
             f[i:j] = span_hashes(b.data[at : b.bounds[hi]], self.a[i:j] - at, self.z[i:j] + span - at)
+        h = np.where(hot, mix(h ^ f), h)
         order = np.lexsort((f, h))
         hs, fs = h[order], f[order]
         new = np.concatenate([[True], (hs[1:] != hs[:-1]) | (fs[1:] != fs[:-1])]) if len(hs) else np.zeros(0, bool)
@@ -250,18 +329,35 @@ class Segments:
         self.hash = hs[at]
         self.first = self.a[order[at]]
         self.windows = (self.z - self.a + 1)[order[at]]
-        self.cut = _cuts(_shard_of(self.hash, parts), parts)
+        self.cut = _cuts(_shard_of(self.hash, shards), shards)
+
 
+def _send_segments(shards: int, span: int):
+    def flush(kept):
+        for p in range(shards):
+            mine = [(part, s, slice(s.cut[p], s.cut[p + 1]), text, ends) for part, s, text, ends in kept if s.cut[p + 1] > s.cut[p]]
+            if not mine:
+                continue
+            get = lambda name, kind: b"".join(getattr(s, name)[k].astype(kind).tobytes() for _, s, k, _, _ in mine)  # noqa: B023, E731
+            texts = b"".join(text[ends[k.start] : ends[k.stop]].tobytes() for _, _, k, text, ends in mine)
+            head = _head(kept[0][0], np.array([part for part, *_ in mine]), np.array([k.stop - k.start for _, _, k, _, _ in mine]))
+            yield _rows([p], 1, [_squeeze(head, get("hash", "<u8"), get("least", "<i8"), get("windows", "<i4"), texts)])
 
-def _send_segments(parts: int, span: int):
     def run(batches):
-        for part, rows in _by_part(batches):
-            b = Bucket(part, rows)
-            s = Segments(b, parts, span)
-            for p in np.flatnonzero(np.diff(s.cut)):
-                i, j = s.cut[p], s.cut[p + 1]
-                text = b.data[ranges(s.first[i:j], s.windows[i:j] + span - 1)]
-                yield _rows([p], 1, [_squeeze(np.array([part, j - i], "<i8").tobytes(), s.hash[i:j].tobytes(), s.least[i:j].tobytes(), s.windows[i:j].astype("<i4").tobytes(), text.tobytes())])
+        kept, have = [], 0
+        for part, blobs, answers in _by_part(batches):
+            b = Bucket(part, blobs, answers)
+            s = Segments(b, shards, span)
+            size = s.windows + span - 1
+            kept.append((part, s, b.data[ranges(s.first, size)], np.concatenate([[0], np.cumsum(size)])))
+            # What only the bucket itself needs is not kept.
+            s.a = s.z = s.doc = s.of = s.first = None
+            have += len(kept[-1][2])
+            if have > GATHER_BYTES:
+                yield from flush(kept)
+                kept, have = [], 0
+        if have:
+            yield from flush(kept)
 
     return run
 
@@ -304,14 +400,14 @@ def refine(data: np.ndarray, depth: int = 50) -> np.ndarray:
 def _answer_segments(span: int):
     def shard(own, rows):
         sender, h, least, windows, text = [], [], [], [], []
-        for _, blob in rows:
-            m = _expand(blob)
-            p, n = (int(x) for x in np.frombuffer(m, "<i8", 2))
-            sender.append((p, n))
-            h.append(np.frombuffer(m, "<u8", n, 16))
-            least.append(np.frombuffer(m, "<i8", n, 16 + 8 * n))
-            windows.append(np.frombuffer(m, "<i4", n, 16 + 16 * n))
-            text.append(np.frombuffer(m, np.uint8, offset=16 + 20 * n))
+        for blob in rows:
+            address, parts, count, m = _sections(_expand(blob))
+            n = int(count.sum())
+            sender.append((address, parts, count))
+            h.append(np.frombuffer(m, "<u8", n))
+            least.append(np.frombuffer(m, "<i8", n, 8 * n))
+            windows.append(np.frombuffer(m, "<i4", n, 16 * n))
+            text.append(np.frombuffer(m, np.uint8, offset=20 * n))
         h, least, windows, text = np.concatenate(h), np.concatenate(least), np.concatenate(windows).astype(np.int64), np.concatenate(text)
         size = windows + span - 1
         start = np.concatenate([[0], np.cumsum(size)])[:-1]
@@ -348,13 +444,14 @@ def _answer_segments(span: int):
             there = ranges(slot[k], windows[k])
             bits[there] = mine < np.repeat(least[k], windows[k])
         at, blobs = 0, []
-        for _, n in sender:
-            blobs.append(_squeeze(np.array([own], "<i8").tobytes(), np.packbits(bits[slot[at] : slot[at + n]]).tobytes()))
-            at += n
-        return _rows([p for p, _ in sender], 2, blobs)
+        for _, parts, count in sender:
+            ends = slot[at + np.concatenate([[0], np.cumsum(count)])]
+            blobs.append(_squeeze(_head(own, parts, np.diff(ends)), _bits(bits[ends[0] : ends[-1]], np.diff(ends))))
+            at += int(count.sum())
+        return _rows([a for a, _, _ in sender], 2, blobs)
 
     def run(batches):
-        for own, rows in _by_part(batches):
+        for own, rows in _by_shard(batches):
             yield shard(own, rows)
 
     return run
@@ -363,14 +460,11 @@ def _answer_segments(span: int):
 OUT = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
 
 
-def _cut_texts(parts: int, span: int):
+def _cut_texts(shards: int, span: int):
     def bucket(b):
-        s = Segments(b, parts, span)
+        s = Segments(b, shards, span)
         slot = np.concatenate([[0], np.cumsum(s.windows)])
-        bits = np.zeros(int(slot[-1]), bool)
-        for p, got in b.answers[2].items():
-            i, j = slot[s.cut[p]], slot[s.cut[p + 1]]
-            bits[i:j] = np.unpackbits(got, count=int(j - i))
+        bits = b.answered(2, slot[s.cut])
         n = s.z - s.a + 1
         gone = bits[ranges(slot[s.of], n)] | np.repeat(b.ids[s.doc] > s.least[s.of], n)
         place = ranges(s.a, n)[gone]
@@ -398,32 +492,33 @@ def _cut_texts(parts: int, span: int):
             yield pa.RecordBatch.from_arrays([pa.array(ids, mask=ids == TOP), pa.array(np.diff(b.bounds[lo : hi + 1])), spans, pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
 
     def run(batches):
-        for part, rows in _by_part(batches):
-            yield from bucket(Bucket(part, rows))
+        for part, blobs, answers in _by_part(batches):
+            yield from bucket(Bucket(part, blobs, answers))
 
     return run
 
 
-def remove_repeats(docs: DataFrame, span: int = 50, part_bytes: int = 4 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, span: int = 50, part_bytes: int = 4 << 20, shard_bytes: int = 32 << 20, hot: int = HOT) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_bytes, spans removed [start, end) in bytes, kept bytes.
 
-    There are as many buckets and shards as parts of ``part_bytes``, and at least one per partition if texts suffice; a
-    task takes its parts one after another.
+    There are as many buckets as parts of ``part_bytes`` and as many shards as parts of ``shard_bytes``, and at least one per partition if
+    texts suffice; a task takes its buckets or shards one after another.
     """
     assert GRAM < span <= 64
     width = shuffle_width(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = slim.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    parts = min(65535, max(1, min(width, size >> 18), -(-size // part_bytes)))
+    spread = min(width, size >> 18)
+    parts, shards = max(1, spread, -(-size // part_bytes)), max(1, spread, -(-size // shard_bytes))
     texts = slim.mapInArrow(_texts(parts), BLOB)
 
-    def deal(df):
-        return df.repartitionById(width, (F.col("part").cast("long") * width / parts).cast("int"))
+    def deal(df, of):
+        return df.repartitionById(width, (F.col("part").cast("long") * width / of).cast("int"))
 
-    anchors = deal(deal(texts).mapInArrow(_send_anchors(parts, span), BLOB)).mapInArrow(_answer_anchors, BLOB)
+    anchors = deal(deal(texts, parts).mapInArrow(_send_anchors(shards, span), BLOB), shards).mapInArrow(_answer_anchors(hot), BLOB)
     anchors = materialize(anchors, "anchors")
-    segments = deal(deal(texts.unionByName(anchors)).mapInArrow(_send_segments(parts, span), BLOB)).mapInArrow(_answer_segments(span), BLOB)
-    return deal(texts.unionByName(anchors).unionByName(segments)).mapInArrow(_cut_texts(parts, span), OUT)
+    segments = deal(deal(texts.unionByName(anchors), parts).mapInArrow(_send_segments(shards, span), BLOB), shards).mapInArrow(_answer_segments(span), BLOB)
+    return deal(texts.unionByName(anchors).unionByName(segments), parts).mapInArrow(_cut_texts(shards, span), OUT)
 
 
 def digest(cut: DataFrame) -> DataFrame:

@@ -229,12 +229,30 @@ def test_repeats(docs, rows):
             assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id], r
 
 
-def test_repeats_in_many_parts(docs, rows):
-    got = suffix_dedup.digest(suffix_dedup.remove_repeats(docs, part_bytes=3000)).collect()
+@pytest.mark.parametrize(("part_bytes", "shard_bytes", "hot"), [(3000, 3000, 1 << 30), (3000, 20000, 3), (100000, 1000, 0)])
+def test_repeats_in_many_parts(docs, rows, part_bytes, shard_bytes, hot, monkeypatch):
+    """Many buckets and shards, several sendings of a task, and none, many or all anchors hot."""
+    monkeypatch.setattr(suffix_dedup, "GATHER_ANCHORS", 50)
+    monkeypatch.setattr(suffix_dedup, "GATHER_BYTES", 5000)
+    got = suffix_dedup.digest(suffix_dedup.remove_repeats(docs, part_bytes=part_bytes, shard_bytes=shard_bytes, hot=hot)).collect()
     want = brute.repeats(list(dict(known(rows)).items()))
     assert all((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id] for r in got if r.doc_id is not None)
 
 
+def test_a_common_gram_in_varied_surroundings(spark):
+    """Two thirds of the documents hold one line of 40 bytes; some repeat its neighbourhood too."""
+    rnd = random.Random(9)
+    line = "x" * 4 + "common boilerplate line of forty by" + "x"
+    around = lambda: "".join(rnd.choice("abcdefgh ") for _ in range(rnd.randint(0, 30)))
+    rows = [(i, around() + (line if i % 3 else "") + around()) for i in range(900)]
+    rows += [(2000 + i, rows[i * 7][1] + around()) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    want = brute.repeats(rows)
+    for hot in (1 << 30, 100):
+        got = suffix_dedup.digest(suffix_dedup.remove_repeats(df, part_bytes=4000, hot=hot)).collect()
+        assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
+
+
 def test_repeats_empty(empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
