@@ -55,6 +55,9 @@ select doc_id, coalesce(a, 0)::bigint as n_assign, coalesce(b, 0)::bigint as n_a
 from docs left join named using (k)
 """
 
+# A document whose text has a span is new to all rules once it is redacted, any other is known; nothing is left in either.
+RESCAN = f"select doc_id, (case when spans = '' then 0 else {len(RULES)} end)::bigint as n_unseen, 0::bigint as n_spans from ({SECRETS})"
+
 JACCARD = f"""
 with recursive docs as (select doc_id, {SPACE_WORDS} as w from documents),
 sets as (select distinct doc_id, array_to_string(w[i+1:i+5], ' ') as s from docs, lateral (select unnest(range(greatest(1, len(w)-4))) as i) where len(w) > 0),
@@ -73,4 +76,5 @@ ORACLES = {
     "op2_benchmark_decontamination": DECONTAMINATION,
     "op5_secret_scans": SECRETS,
     "op8_ngram_jaccard_join": JACCARD,
+    "secret_rescan": RESCAN,
 }

@@ -203,6 +203,30 @@ def test_ledger_scans_only_what_is_new(spark):
     assert {r.doc_id: len(r.spans) for r in secrets.findings(v2, again).collect()} == {"a": 1, "b": 0, "c": 1, "d": 0}
 
 
+def test_a_ledger_that_stays(spark, tmp_path):
+    """Three runs at one path: the second scans what is new, a failed one changes nothing, the third reads the second's."""
+    df = lambda *rows: spark.createDataFrame(rows, "doc_id string, text string")
+    book = secrets.Ledger(spark, f"file://{tmp_path}/ledger")
+    assert book.read() is None
+    first = book.update(df(("a", "token=aaaaaaaaaa"), ("b", "nothing")))
+    assert first.count() == 2 and book.versions() == [0]
+    new = df(("a", "token=aaaaaaaaaa"), ("c", "token=cccccccccc"))
+    assert {r.doc_id: r.n_unseen for r in secrets.unseen(new, first).collect()} == {"a": 0, "c": len(secrets.RULES)}
+    (tmp_path / "ledger" / "v7").mkdir()  # a version that was not completed
+    second = secrets.Ledger(spark, f"file://{tmp_path}/ledger").update(new)
+    assert book.versions() == [0, 1] and second.count() == 3
+    assert {r.doc_id: len(r.spans) for r in secrets.findings(new, book.read()).collect()} == {"a": 1, "c": 1}
+    book.update(df(("d", None)))
+    assert book.versions() == [1, 2] and book.read().count() == 4
+
+
+def test_a_text_of_very_many_matches(spark):
+    text = "é " + "token=aaaaaaaa" * 30 + " " + "secret: bbbbbbbbb, " * 40000 + "0123456789abcdef" * 2
+    (got,) = secrets.digest(secrets.findings(df := spark.createDataFrame([(1, text)], "doc_id long, text string"), secrets.scan(df))).collect()
+    *n, base = brute.secrets(text)
+    assert [got.n_assign, got.n_access, got.n_hex, got.base_sha256] == [*n, SHA(base)] and n[0] > 40000
+
+
 def test_redaction(docs, rows, empty):
     out = secrets.redact(docs)
     assert out.columns == docs.columns and secrets.redact(empty).count() == 0
