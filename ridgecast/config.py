@@ -8,7 +8,6 @@ from pathlib import Path
 
 # Path loss by land-cover class, in dB; classes not listed lose nothing.
 CLUTTER_DB = {10: 12.0, 20: 5.0, 30: 0.0, 40: 0.0, 50: 15.0, 60: 0.0, 70: 0.0, 80: 0.0, 90: 2.0, 95: 2.0, 100: 0.0}
-POI_WEIGHTS = {"ski_resort": 5.0, "national_park": 4.0, "state_park": 2.0, "campground": 2.0, "hiking_trail": 2.0, "attractions_and_activities": 1.0}
 
 
 @dataclass(frozen=True)

@@ -28,8 +28,15 @@ class ArrayTerrain:
     cell_m: float = 90.0
     buildings: np.ndarray | None = None
 
+    def _rasters(self):
+        return [a for a in (self.elevation, self.land, self.buildings) if a is not None]
+
+    @property
+    def nbytes(self) -> int:
+        return sum(a.nbytes for a in self._rasters())
+
     def __post_init__(self):
-        shapes = {a.shape for a in (self.elevation, self.land, self.buildings) if a is not None}
+        shapes = {a.shape for a in self._rasters()}
         if len(shapes) > 1:
             raise ValueError(f"rasters differ in shape: {sorted(shapes)}")
 
@@ -151,8 +158,11 @@ def link_budget(terrain, tx_x, tx_y, tx_h, rx_x, rx_y, radio: Radio = Radio()) -
     }
 
 
-def links(pairs: DataFrame, terrain, tx: str, rx: str, radio: Radio = Radio(), floor_dbm: float | None = None, step: int = 2000) -> DataFrame:
+def links(pairs: DataFrame, terrain, tx: str, rx: str, radio: Radio = Radio(), floor_dbm: float | None = None, step: int = 250, most_bytes: int = 4 << 30) -> DataFrame:
     """Links of pairs (tx, rx, tx_x, tx_y, tx_height_m, rx_x, rx_y): ids, signal and losses, at ``floor_dbm`` or more."""
+    # Slices of 250 profiles stay in cache.
+    if getattr(terrain, "nbytes", 0) > most_bytes:
+        raise ValueError(f"a terrain of {terrain.nbytes} bytes is too large to broadcast: cut it by region")
     spark = pairs.sparkSession
     shared = spark.sparkContext.broadcast(terrain)
     kinds = dict(pairs.dtypes)

@@ -54,7 +54,8 @@ def greedy(cover: DataFrame, gaps: DataFrame, sites: int, demand: Column | str =
     """
     spark = cover.sparkSession
     d = F.col(demand) if isinstance(demand, str) else demand
-    open_ = cover.select("cand_id", "gap_id").distinct().join(gaps.select("gap_id", d.cast("double").alias("d")), "gap_id").cache()
+    # Kept by gap, so that what a winner covers goes without an exchange.
+    open_ = cover.select("cand_id", "gap_id").distinct().join(gaps.select("gap_id", d.cast("double").alias("d")), "gap_id").repartition("gap_id").cache()
     kind = dict(cover.dtypes)["cand_id"]
     picks, total = [], 0.0
     taken = []
@@ -146,7 +147,7 @@ def exact(cover: dict, demand: dict, sites: int, nodes: int = 200_000) -> tuple[
     return sorted(best[0]), best[1], proven
 
 
-def exact_sites(cover: DataFrame, gaps: DataFrame, sites: int, most_pairs: int = 2_000_000) -> DataFrame:
+def exact_sites(cover: DataFrame, gaps: DataFrame, sites: int, most_pairs: int = 2_000_000, nodes: int = 200_000) -> DataFrame:
     """(cand_id, total_demand, proven): the exact solver works on the driver, so the cover's size is checked first."""
     pairs = cover.select("cand_id", "gap_id").distinct()
     n = pairs.count()
@@ -156,6 +157,6 @@ def exact_sites(cover: DataFrame, gaps: DataFrame, sites: int, most_pairs: int =
     for r in pairs.join(gaps.select("gap_id"), "gap_id", "left_semi").toLocalIterator():
         sets.setdefault(r["cand_id"], []).append(r["gap_id"])
     demand = {r["gap_id"]: float(r["demand"]) for r in gaps.join(pairs.select("gap_id").distinct(), "gap_id", "left_semi").select("gap_id", "demand").toLocalIterator()}
-    chosen, value, proven = exact(sets, demand, sites)
+    chosen, value, proven = exact(sets, demand, sites, nodes)
     kind = dict(cover.dtypes)["cand_id"]
     return cover.sparkSession.createDataFrame([(c, value, proven) for c in chosen], f"cand_id {kind}, total_demand double, proven boolean")

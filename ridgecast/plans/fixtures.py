@@ -22,10 +22,10 @@ SQL = {
     "places": """select p_partkey as place_id, p_name as name, p_type as category, cast(((p_partkey+13)*86028121)%400009 as double)+0.29e0 as x,
         cast(((p_partkey+13)*104395301)%400033 as double)+0.29e0 as y,
         case when p_partkey%5=0 then null else p_size*1.5e0 end as height from {part}""",
-    "speedtests": """select event_id, user_id, ts, -82.6e0+cast((event_id*7919)%4900 as double)/1000e0 as lon,
+    "speedtests": """select event_id, user_id, ts, -82.6e0+cast((event_id*7919)%4900 as double)/1000e0 as lon, cast((event_id*7919)%4900 as double)/4900e0*400000e0 as x, cast((event_id*104729)%3400 as double)/3400e0*400000e0 as y,
         37.2e0+cast((event_id*104729)%3400 as double)/1000e0 as lat, 1+event_id%9 as tests, 1+event_id%3 as devices, value*100e0 as d_kbps from {events}""",
-    "cover_sets": "select distinct l_suppkey as cand_id, l_orderkey%200 as gap_id from {lineitem} where l_partkey%40=0",
-    "cover_gaps": "select distinct l_orderkey%200 as gap_id, cast(1+(l_orderkey%200)%7 as double) as demand, cast((l_orderkey%200)%3 as double) as poi from {lineitem}",
+    "cover_sets": "select distinct l_suppkey as cand_id, l_orderkey as gap_id from {lineitem}",
+    "cover_gaps": "select distinct l_orderkey as gap_id, cast(1+l_orderkey%7 as double) as demand, cast(l_orderkey%3 as double) as poi from {lineitem}",
 }
 TABLES = ("supplier", "customer", "nation", "orders", "part", "events", "lineitem")
 PARENT_M = 20_000.0
@@ -41,10 +41,11 @@ def ctes(*names: str) -> str:
     return ", ".join(f"{n} as ({SQL[n].format(**{t: t for t in TABLES})})" for n in names)
 
 
-def coarse_pixels(spark: SparkSession) -> DataFrame:
-    """Every tenth pixel of the test terrain: row, col, x, y, z."""
-    p = spark.range(445 * 445).select(F.expr("id div 445").alias("row"), F.expr("id % 445").alias("col"))
-    return p.select("row", "col", (45.0 + F.col("col") * 900.0).alias("x"), (400455.0 - F.col("row") * 900.0).alias("y"), (200 + F.abs((F.col("col") * 70 + F.col("row") * 30) % 200 - 100)).alias("z"))
+#: Pixels of the test terrain on a side, and their width in metres.
+SIDE, PIXEL_M = 4450, 90.0
 
 
-PIXELS_SQL = "select id//445 as row, id%445 as col, 45e0+(id%445)*900e0 as x, 400455e0-(id//445)*900e0 as y, 200+abs(((id%445)*70+(id//445)*30)%200-100) as z from range(445*445) t(id)"
+def pixels(spark: SparkSession) -> DataFrame:
+    """Every pixel of the test terrain: row, col, x, y, z."""
+    p = spark.range(SIDE * SIDE).select(F.expr(f"id div {SIDE}").alias("row"), F.expr(f"id % {SIDE}").alias("col"))
+    return p.select("row", "col", (45.0 + F.col("col") * PIXEL_M).alias("x"), (400455.0 - F.col("row") * PIXEL_M).alias("y"), (200 + F.abs((F.col("col") * 7 + F.col("row") * 3) % 200 - 100)).alias("z"))

@@ -15,8 +15,13 @@ from ridgecast.sources.text import bbox_scan
 
 
 def in_counties(df: DataFrame, code: str, prefixes: list[str] | None) -> DataFrame:
-    """Rows whose code begins with one of ``prefixes``; None: all."""
-    return df if prefixes is None else df.where(F.substring(code, 1, len(prefixes[0])).isin(prefixes))
+    """Rows whose code begins with one of ``prefixes``, of any lengths; None: all."""
+    if prefixes is None:
+        return df
+    some = F.lit(False)
+    for n in sorted({len(p) for p in prefixes}):
+        some |= F.substring(code, 1, n).isin([p for p in prefixes if len(p) == n])
+    return df.where(some)
 
 
 @query(f"with {ctes('receivers')} select cell_id, lpad(county::varchar, 2, '0') as code from receivers where substr(lpad(county::varchar, 2, '0'), 1, 1) in ('0', '2')")
@@ -31,14 +36,14 @@ def growth_stats(spark, d):
     return g.agg(F.round(F.median("growth"), 6).alias("median_growth"), F.round(F.min("growth"), 6).alias("min_growth"), F.round(F.max("growth"), 6).alias("max_growth"))
 
 
-@query(f"""with {ctes('counties', 'receivers', 'county_vintages')}, people as (select county, sum(pop) as pop from receivers where county%4 <> 0 group by county),
-    grown as (select a.county, case when a.pop > 0 then (b.pop-a.pop)/a.pop::double else 0e0 end as growth from county_vintages a join county_vintages b using (county) where a.vintage=1995 and b.vintage=2000 and a.county%3 <> 0)
+@query(f"""with {ctes('counties', 'receivers', 'county_vintages')}, people as (select county, sum(pop) as pop from receivers group by county),
+    grown as (select a.county, case when a.pop > 0 then (b.pop-a.pop)/a.pop::double else 0e0 end as growth from county_vintages a join county_vintages b using (county) where a.vintage=1995 and b.vintage=2000)
     select county, state, round(coalesce(pop, 0e0), 4) as pop, round(coalesce(growth, 0e0), 6) as growth from counties left join people using (county) left join grown using (county)""")
 def block_features(spark, d):
     """Areas with people and growth: both are left joins, what is missing is zero. One column of the source is left out by name."""
     c = frame(spark, d, "counties").drop("xmin", "xmax", "ymin", "ymax")
-    people = frame(spark, d, "receivers").where("county % 4 <> 0").groupBy("county").agg(F.sum("pop").alias("pop"))
-    g = demand.growth(frame(spark, d, "county_vintages"), "county", 1995, 2000).where("county % 3 <> 0")
+    people = frame(spark, d, "receivers").groupBy("county").agg(F.sum("pop").alias("pop"))
+    g = demand.growth(frame(spark, d, "county_vintages"), "county", 1995, 2000)
     out = c.join(people, "county", "left").join(g, "county", "left").fillna(0.0, ["pop", "growth"])
     return out.select("county", "state", F.round("pop", 4).alias("pop"), F.round("growth", 6).alias("growth"))
 
@@ -70,12 +75,12 @@ def coverage_features(spark, d):
     return require_complete(c, "elev_mean_m").join(t, "best_asr_id", "left").select("cell_id", F.round("elev_mean_m", 4).alias("elev_mean_m"), F.round("tree_frac", 6).alias("tree_frac"), "best_asr_id", "server_height_m")
 
 
-@query(f"""with {r.SETS}, {r.greedy_ctes('demand', 3, 'g')}, picks as ({' union all '.join(f'select {k}::bigint as greedy_rank, cand_id, gain as marginal_demand from g{k}' for k in range(1, 4))})
+@query(f"""with {r.SETS}, {r.greedy_ctes('demand', r.SITES, 'g')}, picks as ({' union all '.join(f'select {k}::bigint as greedy_rank, cand_id, gain as marginal_demand from g{k}' for k in range(1, r.SITES + 1))})
     select cand_id, count(*) as gap_cells_served, p.cand_id is not null as selected_greedy, any_value(greedy_rank) as greedy_rank, any_value(marginal_demand) as marginal_demand from cover_sets left join picks p using (cand_id) group by cand_id, p.cand_id""")
 def site_table(spark, d):
     """Every candidate with what it serves and, where it was picked, its rank (null elsewhere)."""
     sets, gaps = frame(spark, d, "cover_sets"), frame(spark, d, "cover_gaps")
-    picks = siting.greedy(sets, gaps, 3).drop("cumulative_demand")
+    picks = siting.greedy(sets, gaps, r.SITES).drop("cumulative_demand")
     served = sets.groupBy("cand_id").agg(F.count("*").alias("gap_cells_served"))
     return served.join(picks, "cand_id", "left").select("cand_id", "gap_cells_served", F.col("greedy_rank").isNotNull().alias("selected_greedy"), "greedy_rank", "marginal_demand")
 
@@ -119,10 +124,10 @@ def surface_burn(spark, d):
     return rounded(t.select("pix", F.when(F.col("inside"), F.greatest("value", F.lit(-125.0))).otherwise(-9999.0).alias("value")))
 
 
-@query(f"with {o.COVERAGE}, {ctes('speedtests')}, per as (select event_id%1500 as cell_id, sum(tests)::bigint as tests, sum(devices)::bigint as devices from speedtests where event_id%3=0 group by 1) select cell_id, is_covered, coalesce(tests, 0) as tests, coalesce(devices, 0) as devices from coverage left join per using (cell_id)")
+@query(f"with {o.COVERAGE}, {ctes('speedtests')}, {r.TESTED} select cell_id, is_covered, tests, devices from tested")
 def coverage_speedtests(spark, d):
-    t = frame(spark, d, "speedtests").where("event_id % 3 = 0").groupBy((F.col("event_id") % 1500).alias("cell_id")).agg(F.sum("tests").alias("tests"), F.sum("devices").alias("devices"))
-    return r.coverage_of(spark, d).select("cell_id", "is_covered").join(t, "cell_id", "left").fillna(0, ["tests", "devices"])
+    c = r.coverage_of(spark, d).select("cell_id", "is_covered")
+    return c.join(r.tests_of(spark, d, frame(spark, d, "receivers")), "cell_id", "left").fillna(0, ["tests", "devices"])
 
 
 H3 = "(613237248420216831 + event_id*8)"

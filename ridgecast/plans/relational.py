@@ -12,7 +12,7 @@ from ridgecast.config import Config, Gate, Radio
 from ridgecast.functions import cells, formulas, polygon
 from ridgecast.operators import coverage, demand, kernel, publish, raster, siting, spatial
 from ridgecast.plans import oracle as o
-from ridgecast.plans.fixtures import PARENT_M, PIXELS_SQL, coarse_pixels, ctes, frame
+from ridgecast.plans.fixtures import PARENT_M, PIXEL_M, SIDE, ctes, frame, pixels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -102,14 +102,15 @@ def coverage_summary(spark, d):
     union all select 7, 'coverage_rows', case when (select count(*) from coverage) = (select count(*) from receivers) then 'PASS' else 'FAIL' end, (select count(*) from coverage)::double
     union all select 8, 'covered_share', case when count(*) filter (is_covered) between 1 and count(*)-1 then 'PASS' else 'FAIL' end, (count(*) filter (is_covered))::double from coverage""")
 def dq_gate(spark, d):
-    links, receivers = links_of(spark, d), frame(spark, d, "receivers")
+    # Four checks read the links; they are computed once.
+    links, receivers = links_of(spark, d).select("cell_id", "asr_id", "rsrp_dbm", "is_los", "distance_m").cache(), frame(spark, d, "receivers")
     got = coverage.best_server(links, receivers, "cell_id", "asr_id")
     return coverage.quality_gate(frame(spark, d, "towers"), receivers, links, got, "cell_id", Config(gate=Gate(), scope="demo"))
 
 
-@query(f"with {o.LINKS} select distinct cell_id from links where not exists (select 1 from receivers r where r.cell_id = links.cell_id and r.cell_id % 3 <> 0)")
+@query(f"with {o.LINKS} select distinct cell_id from links where not exists (select 1 from receivers r where r.cell_id = links.cell_id)")
 def orphan_links(spark, d):
-    return coverage.orphans(links_of(spark, d), frame(spark, d, "receivers").where("cell_id % 3 <> 0"), "cell_id")
+    return coverage.orphans(links_of(spark, d), frame(spark, d, "receivers"), "cell_id")
 
 
 @query("""select count(*) filter (abs(total/3600e0 - abs(deg)) > 0.1e0/3600e0) as drifted, round(median(abs(ground + agl - amsl)), 4) as median_residual_m from
@@ -162,7 +163,7 @@ def areal_population(spark, d):
 
 
 # The categories of the provided data with weights of our own.
-WEIGHTS = {"ECONOMY": 5.0, "LARGE": 4.0, "MEDIUM": 2.0, "PROMO": 2.0, "SMALL": 1.0}
+WEIGHTS = {"ECONOMY": 3.5, "LARGE": 3.0, "MEDIUM": 2.5, "PROMO": 1.5, "SMALL": 0.5}
 STEPS_SQL = "(select a, b from range(-2, 3) s(a), range(-2, 3) t(b) where abs(a+b) <= 2)"
 WEIGHT_SQL = "case category " + " ".join(f"when '{k}' then {v!r}" for k, v in WEIGHTS.items()) + " end"
 
@@ -310,7 +311,7 @@ def zonal_stats(spark, d):
 
 @query(f"with {o.COVERAGE}, {ZONAL} select is_covered, round(avg(elev_mean_m), 3) as elev_mean_m, round(avg(relief_m), 3) as relief_m, round(avg(tree_frac), 5) as tree_frac, round(avg(bldg_mean_m), 3) as bldg_mean_m from coverage join feats using (county) group by is_covered")
 def gap_vs_covered_means(spark, d):
-    c = coverage_of(spark, d).select("county", "is_covered").join(F.broadcast(zonal_of(spark, d)), "county")
+    c = coverage_of(spark, d).select("county", "is_covered").join(zonal_of(spark, d), "county")
     return c.groupBy("is_covered").agg(F.round(F.avg("elev_mean_m"), 3).alias("elev_mean_m"), F.round(F.avg("relief_m"), 3).alias("relief_m"), F.round(F.avg("tree_frac"), 5).alias("tree_frac"), F.round(F.avg("bldg_mean_m"), 3).alias("bldg_mean_m"))
 
 
@@ -372,23 +373,25 @@ def colocation_candidates(spark, d):
 
 
 def parents_of(gaps: DataFrame) -> DataFrame:
-    """Blocks that hold a gap, and the coarse pixels of their boxes, a kilometre wider on each side."""
+    """Blocks that hold a gap, and the pixels of their boxes, a kilometre wider on each side."""
     bx, by = F.floor(F.col("x") / PARENT_M), F.floor(F.col("y") / PARENT_M)
     p = gaps.select(bx.alias("bx"), by.alias("by")).distinct()
     x0, x1, y0, y1 = (F.col(c) * PARENT_M + o for c, o in (("bx", -1000.0), ("bx", PARENT_M + 1000.0), ("by", -1000.0), ("by", PARENT_M + 1000.0)))
-    clip = lambda v: F.least(F.lit(445), F.greatest(F.lit(0), v)).cast("long")
-    return p.select((F.col("bx") * 1000 + F.col("by")).alias("parent"), clip(F.floor((400455.0 - y1) / 900.0)).alias("row0"), clip(F.ceil((400455.0 - y0) / 900.0)).alias("row1"), clip(F.floor((x0 - 45.0) / 900.0)).alias("col0"), clip(F.ceil((x1 - 45.0) / 900.0)).alias("col1"))
+    clip = lambda v: F.least(F.lit(SIDE), F.greatest(F.lit(0), v)).cast("long")
+    return p.select((F.col("bx") * 1000 + F.col("by")).alias("parent"), clip(F.floor((400455.0 - y1) / PIXEL_M)).alias("row0"), clip(F.ceil((400455.0 - y0) / PIXEL_M)).alias("row1"), clip(F.floor((x0 - 45.0) / PIXEL_M)).alias("col0"), clip(F.ceil((x1 - 45.0) / PIXEL_M)).alias("col1"))
 
 
-CLIP = lambda v: f"least(445, greatest(0, {v}))::bigint"
+CLIP = lambda v: f"least({SIDE}, greatest(0, {v}))::bigint"
 GREEN = f"""blocks as (select distinct floor(x/20000e0) as bx, floor(y/20000e0) as "by" from gaps),
-    parents as (select (bx*1000+"by")::bigint as parent, {CLIP('floor((400455e0-("by"*20000e0+21000e0))/900e0)')} as row0, {CLIP('ceil((400455e0-("by"*20000e0-1000e0))/900e0)')} as row1, {CLIP('floor((bx*20000e0-1000e0-45e0)/900e0)')} as col0, {CLIP('ceil((bx*20000e0+21000e0-45e0)/900e0)')} as col1 from blocks),
-    pixels as ({PIXELS_SQL}), tops as (select parent, row, col, x, y from parents join pixels on row >= row0 and row < row1 and col >= col0 and col < col1 qualify row_number() over (partition by parent order by z desc, row, col) = 1),
-    green as (select concat('green:', parent) as cand_id, 'greenfield' as kind, x, y, 60e0 as tx_height_m from tops qualify row_number() over (partition by row, col order by parent) = 1)"""
+    parents as (select (bx*1000+"by")::bigint as parent, {CLIP('floor((400455e0-("by"*20000e0+21000e0))/90e0)')} as row0, {CLIP('ceil((400455e0-("by"*20000e0-1000e0))/90e0)')} as row1, {CLIP('floor((bx*20000e0-1000e0-45e0)/90e0)')} as col0, {CLIP('ceil((bx*20000e0+21000e0-45e0)/90e0)')} as col1 from blocks),
+    boxes as (select parent, row, unnest(range(col0, col1)) as col from (select parent, unnest(range(row0, row1)) as row, col0, col1 from parents)),
+    tops as (select parent, max(200+abs((col*7+row*3)%200-100))::bigint as top from boxes group by parent),
+    peaks as (select parent, min(row*{SIDE}+col) as pix from boxes join tops using (parent) where 200+abs((col*7+row*3)%200-100) = top group by parent),
+    green as (select concat('green:', parent) as cand_id, 'greenfield' as kind, 45e0+(pix%{SIDE})*90e0 as x, 400455e0-(pix//{SIDE})*90e0 as y, 60e0 as tx_height_m from peaks qualify row_number() over (partition by pix order by parent) = 1)"""
 
 
 def greenfield_of(spark, gaps) -> DataFrame:
-    return siting.greenfield(parents_of(gaps), coarse_pixels(spark), 900.0)
+    return siting.greenfield(parents_of(gaps), pixels(spark), PIXEL_M)
 
 
 @query(f"with {GAPS}, {GREEN} select * from green")
@@ -418,6 +421,7 @@ def cover_pairs(spark, d):
 
 
 SETS = ctes("cover_sets", "cover_gaps")
+SITES = Config().siting.sites
 
 
 @query(f"with {SETS} select count(*) as gaps, sum(demand) as demand from cover_gaps where gap_id in (select gap_id from cover_sets)")
@@ -426,25 +430,25 @@ def reachable_ceiling(spark, d):
 
 
 def greedy_ctes(weight: str, n: int, p: str) -> str:
-    """``n`` greedy picks, one after another: CTEs ``p``1 ... ``p``n of (cand_id, gain)."""
-    out = [f"{p}d as (select cand_id, gap_id, {weight} as d from cover_sets join cover_gaps using (gap_id))"]
+    """``n`` greedy picks, one after another, each computed once: CTEs ``p``1 ... ``p``n of (cand_id, gain)."""
+    out = [f"{p}d as materialized (select cand_id, gap_id, {weight} as d from cover_sets join cover_gaps using (gap_id))"]
     for k in range(1, n + 1):
         taken = " union all ".join(f"select cand_id from {p}{j}" for j in range(1, k))
         open_ = f"{p}d" if k == 1 else f"(select * from {p}d where gap_id not in (select gap_id from {p}d where cand_id in ({taken})))"
-        out.append(f"{p}{k} as (select cand_id, sum(d) as gain from {open_} group by cand_id having sum(d) > 0 order by gain desc, cand_id limit 1)")
+        out.append(f"{p}{k} as materialized (select cand_id, sum(d) as gain from {open_} group by cand_id having sum(d) > 0 order by gain desc, cand_id limit 1)")
     return ", ".join(out)
 
 
-@query(f"""with {SETS}, {greedy_ctes('demand', 4, 'g')}, picks as ({' union all '.join(f'select {k}::bigint as greedy_rank, cand_id, gain as marginal_demand from g{k}' for k in range(1, 5))})
+@query(f"""with {SETS}, {greedy_ctes('demand', SITES, 'g')}, picks as ({' union all '.join(f'select {k}::bigint as greedy_rank, cand_id, gain as marginal_demand from g{k}' for k in range(1, SITES + 1))})
     select *, sum(marginal_demand) over (order by greedy_rank) as cumulative_demand from picks""")
 def greedy_sites(spark, d):
-    return siting.greedy(frame(spark, d, "cover_sets"), frame(spark, d, "cover_gaps"), 4)
+    return siting.greedy(frame(spark, d, "cover_sets"), frame(spark, d, "cover_gaps"), SITES)
 
 
 WEIGHTS_TRIED = (0.0, 1000.0, 3000.0)
 
 
-def sensitivity_sql(n: int = 3) -> str:
+def sensitivity_sql(n: int = SITES) -> str:
     parts = [greedy_ctes(f"demand+{w!r}*poi", n, f"w{i}_") for i, w in enumerate(WEIGHTS_TRIED)]
     picks = lambda i: "(" + " union all ".join(f"select cand_id from w{i}_{k}" for k in range(1, n + 1)) + ")"
     rows = " union all ".join(f"select {w!r}::double as weight, (select count(*) from {picks(i)}) as sites, (select count(*) from {picks(i)} a where cand_id in {picks(1)}) as shared" for i, w in enumerate(WEIGHTS_TRIED))
@@ -455,7 +459,7 @@ def sensitivity_sql(n: int = 3) -> str:
 def tourism_sensitivity(spark, d):
     """How many sites each tourism weight shares with the configured weight's plan."""
     sets, gaps = frame(spark, d, "cover_sets"), frame(spark, d, "cover_gaps")
-    plans = [(w, siting.greedy(sets, gaps, 3, F.col("demand") + w * F.col("poi")).select("cand_id")) for w in WEIGHTS_TRIED]
+    plans = [(w, siting.greedy(sets, gaps, SITES, F.col("demand") + w * F.col("poi")).select("cand_id")) for w in WEIGHTS_TRIED]
     base = plans[1][1]
     out = None
     for w, p in plans:
@@ -464,10 +468,12 @@ def tourism_sensitivity(spark, d):
     return out
 
 
-@query(f"""with {SETS}, worth as (select cand_id, sum(demand) as d from cover_sets join cover_gaps using (gap_id) group by cand_id), joint as (select a.cand_id as a, b.cand_id as b, sum(demand) as d from cover_sets a join cover_sets b using (gap_id) join cover_gaps using (gap_id) where a.cand_id < b.cand_id group by 1, 2)
-    select max(x.d + y.d - coalesce(joint.d, 0)) as total_demand, true as proven from worth x join worth y on x.cand_id < y.cand_id left join joint on joint.a = x.cand_id and joint.b = y.cand_id""")
+@query()
 def exact_sites(spark, d):
-    return siting.exact_sites(frame(spark, d, "cover_sets"), frame(spark, d, "cover_gaps"), 2).select("total_demand", "proven").distinct()
+    """The configured number of sites over the kernel's cover, and whether they are proven best; branch and bound has no SQL form."""
+    gaps = gaps_of(spark, d).select(F.col("cell_id").alias("gap_id"), "x", "y", "demand").cache()
+    cover = cover_of(spark, d, gaps.withColumnRenamed("gap_id", "cell_id"))
+    return siting.exact_sites(cover, gaps, SITES, nodes=100).agg(F.coalesce(F.max("total_demand"), F.lit(0.0)).alias("total_demand"), F.coalesce(F.bool_and("proven"), F.lit(True)).alias("proven"), F.count("*").alias("sites"))
 
 
 RING = [(120_000.0, 120_000.0), (280_000.0, 140_000.0), (260_000.0, 290_000.0), (110_000.0, 260_000.0)]
@@ -506,8 +512,11 @@ def quadkey(spark, d):
     return frame(spark, d, "speedtests").select("event_id", x.alias("tile_x"), y.alias("tile_y"), formulas.quadkey(x, y, 16).alias("quadkey"))
 
 
-@query(f"""with {ctes('speedtests')}, edges as (select * from (values (-82.6e0, 40.6e0), (-77.7e0, 37.2e0)) t(lon, lat)), {qk_sql(8).replace('from speedtests', 'from edges')}, span as (select min(tx) as x0, max(tx) as x1, min(ty) as y0, max(ty) as y1 from keyed),
-    tiles as (select tx, ty from span, range(256) s(tx), range(256) t(ty) where tx between x0 and x1 and ty between y0 and y1) select {"||".join(f"cast(((tx>>{i})&1)+2*((ty>>{i})&1) as varchar)" for i in range(7, -1, -1))} as prefix from tiles""")
+PREFIXES = f"""edges as (select * from (values (-82.6e0, 40.6e0), (-77.7e0, 37.2e0)) t(lon, lat)), {qk_sql(8).replace('keyed as', 'corner as').replace('from speedtests', 'from edges')}, span as (select min(tx) as x0, max(tx) as x1, min(ty) as y0, max(ty) as y1 from corner),
+    tiles as (select tx, ty from span, range(256) s(tx), range(256) t(ty) where tx between x0 and x1 and ty between y0 and y1), prefixes as (select {"||".join(f"cast(((tx>>{i})&1)+2*((ty>>{i})&1) as varchar)" for i in range(7, -1, -1))} as prefix from tiles)"""
+
+
+@query(f"with {PREFIXES} select prefix from prefixes")
 def quadkey_prefixes(spark, d):
     """Keys at zoom 8 that cover a box: its north edge has the smallest y."""
     x0, y0 = formulas.tile_xy(F.lit(-82.6), F.lit(40.6), 8)
@@ -516,17 +525,29 @@ def quadkey_prefixes(spark, d):
     return t.select(formulas.quadkey(F.col("x"), F.col("y"), 8).alias("prefix"))
 
 
-@query(f"with {ctes('speedtests')}, {qk_sql(16)} select quadkey, count(*) as tiles, sum(tests)::bigint as tests, sum(devices)::bigint as devices, round(sum(d_kbps*tests)/sum(tests), 3) as d_kbps from keyed where substr(quadkey, 1, 8) in ('03200121', '03200123', '03200130', '03200131', '03200132', '03200133', '03200112', '03200103') group by 1")
+@query(f"with {ctes('speedtests')}, {PREFIXES}, {qk_sql(16)} select quadkey, count(*) as tiles, sum(tests)::bigint as tests, sum(devices)::bigint as devices, round(sum(d_kbps*tests)/sum(tests), 3) as d_kbps from keyed where substr(quadkey, 1, 8) in (select prefix from prefixes) group by 1")
 def speedtest_cells(spark, d):
-    return rounded(demand.speedtest_cells(frame(spark, d, "speedtests"), prefixes=["03200121", "03200123", "03200130", "03200131", "03200132", "03200133", "03200112", "03200103"]), 3)
+    """Tiles under all prefixes of the box."""
+    prefixes = [r["prefix"] for r in quadkey_prefixes(spark, d).collect()]
+    return rounded(demand.speedtest_cells(frame(spark, d, "speedtests"), prefixes=prefixes), 3)
+
+
+TESTED = f"""{o.axial_ctes('speedtests', 5000.0, 'placed', 'tests, devices')}, {o.axial_ctes('coverage', 5000.0, 'celled', 'cell_id, is_covered')},
+    per as (select q, r, sum(tests)::bigint as tests, sum(devices)::bigint as devices from placed group by q, r), tested as (select cell_id, is_covered, coalesce(tests, 0) as tests, coalesce(devices, 0) as devices from celled left join per using (q, r))"""
+
+
+def tests_of(spark, d, receivers) -> DataFrame:
+    """(cell_id, tests, devices): all speed tests in the hexagon of each receiver."""
+    cell = cells.cell_id(*cells.point_to_axial(F.col("x"), F.col("y"), 5000.0), 8).alias("cell")
+    per = frame(spark, d, "speedtests").groupBy(cell).agg(F.sum("tests").alias("tests"), F.sum("devices").alias("devices"))
+    return receivers.select("cell_id", cell).join(per, "cell").drop("cell")
 
 
-@query(f"""with {o.COVERAGE}, {ctes('speedtests')}, per as (select event_id%1500 as cell_id, sum(tests) as tests, sum(devices) as devices from speedtests where event_id%3=0 group by 1), m as (select is_covered, coalesce(tests, 0) as tests, coalesce(devices, 0) as devices, n from coverage left join per using (cell_id), (values (1), (5), (20)) t(n)),
+@query(f"""with {o.COVERAGE}, {ctes('speedtests')}, {TESTED}, m as (select is_covered, tests, devices, n from tested, (values (1), (5), (20)) t(n)),
     a as (select n as min_tests, count(*) filter (not is_covered and tests>=n and devices>=2) as gap_hit, count(*) filter (not is_covered) as gap_cells, count(*) filter (is_covered and tests>=n and devices>=2) as control_hit, count(*) filter (is_covered) as control_cells from m group by n)
     select *, round(gap_hit/greatest(1, gap_cells)::double, 4) as gap_rate, round(control_hit/greatest(1, control_cells)::double, 4) as control_rate, case when control_hit/greatest(1, control_cells)::double < 0.1 then 'not usable' else 'lower bound' end as verdict from a""")
 def false_negative_rate(spark, d):
-    t = frame(spark, d, "speedtests").where("event_id % 3 = 0").groupBy((F.col("event_id") % 1500).alias("cell_id")).agg(F.sum("tests").alias("tests"), F.sum("devices").alias("devices"))
-    return rounded(demand.false_negatives(coverage_of(spark, d), t, "cell_id"))
+    return rounded(demand.false_negatives(coverage_of(spark, d), tests_of(spark, d, frame(spark, d, "receivers")), "cell_id"))
 
 
 # Publishing
@@ -606,4 +627,5 @@ def geojson_features(spark, d):
 
 @query(f"with {ctes('places')} select name, place_id, x, y from places where x between 100000e0 and 300000e0 and y between 100000e0 and 300000e0")
 def gazetteer(spark, d):
-    return publish.gazetteer(frame(spark, d, "places"), "name", "x", "y", (100_000.0, 100_000.0, 300_000.0, 300_000.0)).select("name", "place_id", "x", "y")
+    places = publish.gazetteer(frame(spark, d, "places"), "name", "x", "y", (100_000.0, 100_000.0, 300_000.0, 300_000.0))
+    return publish.require_rows(places, "gazetteer").select("name", "place_id", "x", "y")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ridgecast import config
 from ridgecast.functions import cells, formulas, polygon
-from ridgecast.operators import coverage, demand, publish, raster, siting, spatial
+from ridgecast.operators import coverage, demand, kernel, publish, raster, siting, spatial
 from ridgecast.sources import geo, text, tiff
 
 
@@ -66,22 +66,47 @@ def test_roll_up_conserves(spark):
     assert sum(r[f"pop_{b}"].sum() for b in coverage.BANDS) == sum(range(50))
 
 
-TRAP = {"A": [0, 1, 2, 3], "B": [0, 1, 4], "C": [2, 3, 5]}
+#: The widest set spoils the two that together cover most.
+MISLED = {"wide": [10, 11, 12, 13, 14], "north": [10, 11, 12, 15, 16], "south": [13, 14, 17, 18, 19]}
+GAPS = range(10, 20)
 
 
 @pytest.mark.parametrize("p", [1, 2, 3, 10])
 def test_greedy_forms_agree(spark, p):
-    cover = spark.createDataFrame([(c, g) for c, gs in TRAP.items() for g in gs], "cand_id string, gap_id int")
-    gaps = spark.createDataFrame([(g, 1.0) for g in range(6)], "gap_id int, demand double")
+    cover = spark.createDataFrame([(c, g) for c, gs in MISLED.items() for g in gs], "cand_id string, gap_id int")
+    weight = {g: 2.0 if g == 12 else 1.0 for g in GAPS}
+    gaps = spark.createDataFrame(list(weight.items()), "gap_id int, demand double")
     got = [(r.cand_id, r.marginal_demand) for r in siting.greedy(cover, gaps, p).orderBy("greedy_rank").collect()]
-    assert got == siting.greedy_local(TRAP, dict.fromkeys(range(6), 1.0), p)
-    assert sum(g for _, g in got) == {1: 4, 2: 5, 3: 6, 10: 6}[p]
+    assert got == siting.greedy_local(MISLED, weight, p)
+    assert sum(g for _, g in got) == {1: 6, 2: 11, 3: 11, 10: 11}[p]
 
 
-def test_exact_beats_greedy_on_the_trap():
-    assert siting.exact(TRAP, dict.fromkeys(range(6), 1.0), 2) == (["B", "C"], 6.0, True)
-    heavy = dict.fromkeys(range(6), 1.0) | {4: 50.0}
-    assert siting.greedy_local(TRAP, heavy, 1)[0][0] == "B"
+def test_exact_beats_a_misled_greedy():
+    weight = dict.fromkeys(GAPS, 1.0) | {10: 1.5, 14: 1.5}
+    assert siting.greedy_local(MISLED, weight, 2)[0][0] == "wide"
+    assert siting.exact(MISLED, weight, 2) == (["north", "south"], 11.0, True)
+
+
+def test_orphans_are_links_of_unknown_receivers(spark):
+    links = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (9, "b")], "cell_id int, asr_id string")
+    got = coverage.orphans(links, spark.createDataFrame([(1,), (3,)], "cell_id int"), "cell_id")
+    assert sorted(r.cell_id for r in got.collect()) == [2, 9]
+
+
+def test_prefixes_of_any_lengths(spark):
+    from ridgecast.plans.joins import in_counties
+
+    df = spark.createDataFrame([("12",), ("13",), ("204",), ("3",)], "code string")
+    assert sorted(r.code for r in in_counties(df, "code", ["1", "20"]).collect()) == ["12", "13", "204"]
+    assert in_counties(df, "code", None).count() == 4 and in_counties(df, "code", []).count() == 0
+
+
+def test_a_terrain_too_large_is_refused(spark):
+    terrain = kernel.ArrayTerrain(np.zeros((20, 20), np.int16), np.zeros((20, 20), np.uint8), 0.0, 0.0)
+    pairs = spark.createDataFrame([("t", 1, 0.0, 0.0, 10.0, 90.0, 0.0)], "tx string, rx int, tx_x double, tx_y double, tx_height_m double, rx_x double, rx_y double")
+    with pytest.raises(ValueError, match="too large"):
+        kernel.links(pairs, terrain, "tx", "rx", most_bytes=100)
+    assert kernel.links(pairs, terrain, "tx", "rx").count() == 1
 
 
 def test_exact_equals_enumeration():
@@ -191,7 +216,7 @@ def test_tiff_round_trip(spark, tmp_path):
 
 
 def test_packing_rounds_clips_and_comes_back(spark):
-    got = publish.unpack(publish.pack([1, 2, 3], [-94.5, -104.5, -200.0], [0.0, 400.0, 2.5], [15.0, 0.0, 1.0], [True, False, True]))
+    got = publish.records(publish.pack([1, 2, 3], [-94.5, -104.5, -200.0], [0.0, 400.0, 2.5], [15.0, 0.0, 1.0], [True, False, True]))
     assert got["rsrp"].tolist() == [-94, -104, -128] and got["diff"].tolist() == [0, 255, 2] and got.nbytes == 36
 
 
