@@ -9,7 +9,8 @@ the remaining histogram allows is simulated, and the size with the least cost pe
 the end each bin is downsized to the smallest permitted size that holds its contents.
 
 Pieces find their place by rank among pieces of the same length. Ranks come from counts per (length, slice of ids), so
-a length that a third of all pieces have is never ranked in one task. Segments of the plan (rank ranges)
+a length that a third of all pieces have is never ranked in one task: the window over a length's slices has a row per slice, eight for each
+shuffle partition at most, not per piece. Segments of the plan (rank ranges)
 are broadcast; their number is bounded by lengths and bin patterns, not by documents.
 
 The length unit is words (runs of non-space characters), one extra token per document closing it.

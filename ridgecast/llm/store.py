@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one only where that is unset, as in tests."""
+    """The folder named in ``spark.checkpoint.dir``. Where that is unset, a temporary one on a single machine, and an error on a cluster."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         named = "file://" + tempfile.mkdtemp(prefix="ridgecast-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")

@@ -37,6 +37,48 @@ def test_plan_on_counts_equals_best_fit_piece_by_piece():
         assert sum(g.count for g in groups) == best_fit([n for n, c in h.items() for _ in range(c)], 64)
 
 
+def best_fit_of_several(lengths, sizes, cost):
+    """Best fit decreasing, piece by piece: [(size, pieces)] after downsizing.
+
+    Where no open bin fits, the size is chosen whose price per token is least if it were filled from what is left, longest first; equal
+    pieces go on to open bins of that size while they fill them.
+    """
+    left = sorted(lengths, reverse=True)
+    bins, run = [], (None, None, 0)
+    while left:
+        n = left[0]
+        fits = [b for b in bins if b[0] - sum(b[1]) >= n]
+        if fits:
+            min(fits, key=lambda b: b[0] - sum(b[1]))[1].append(left.pop(0))
+            continue
+        if run[0] != n or not run[2]:
+            priced = []
+            for size in sorted(s for s in sizes if s >= n):
+                used = 0
+                for m in left:
+                    used += m if used + m <= size else 0
+                priced.append((cost(size) / used, size))
+            size = min(priced)[1]
+            run = (n, size, max(1, left.count(n) // (size // n)))
+        bins.append((run[1], [left.pop(0)]))
+        run = (n, run[1], run[2] - 1)
+    return [(min(s for s in sizes if s >= sum(p)), p) for _, p in bins]
+
+
+def test_plan_equals_joint_best_fit_piece_by_piece():
+    """As many bins, at the same cost but for bins with equal room, of which either may take a piece."""
+    sizes, cost = (16, 32, 64), packing.default_cost
+    dear = lambda s: s**1.2
+    for seed in range(80):
+        rnd = random.Random(seed)
+        price = dear if seed % 2 else cost
+        h = {rnd.randint(1, 64): rnd.randint(1, 12) for _ in range(rnd.randint(1, 12))}
+        groups = packing.plan(h, sizes, price)
+        want = best_fit_of_several([n for n, c in h.items() for _ in range(c)], sizes, price)
+        assert sum(g.count for g in groups) == len(want), seed
+        assert sum(price(g.size) * g.count for g in groups) == pytest.approx(sum(price(s) for s, _ in want), rel=0.1), seed
+
+
 def test_plan_places_every_piece_once_and_downsizes():
     for seed in range(100):
         rnd = random.Random(seed)

@@ -63,6 +63,36 @@ def test_run_equals_stages(spark, sf, stages):
     assert corpus_pipeline.run(spark, sf).count() == stages["packing"].count()
 
 
+def test_stages_on_awkward_rows(spark, sf, docs, rows, empty):
+    """Nulls, null ids, repeated ids and rows, empty and very long texts, columns with clashing names: each stage on all that the last one kept."""
+    items = pairs(spark.read.parquet(f"{sf}/benchmark.parquet"), "item_id")
+    extra = spark.createDataFrame([(25, "another text " * 9), (700, items[0][1]), (None, items[0][1]), (701, "token=" + "q" * 20)], "doc_id long, text string")
+    at = docs.unionByName(extra, allowMissingColumns=True)
+    before = [(r.doc_id, r.text) for r in at.collect()]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, at, sf).cache()
+        after = [(r.doc_id, r.text) for r in out.collect()]
+        assert out.columns == docs.columns, name
+        if name == "near_duplicates":
+            ids = {d for d, (_, c) in brute.jaccard([x for x in before if x[0] is not None and x[0] != 25]).items() if c == d}
+            assert {d for d, _ in after} - {25, None} == ids and [d for d, _ in after].count(None) == [d for d, _ in before].count(None)
+        elif name == "decontamination":
+            bad = brute.decontaminate(list(enumerate(t for _, t in before)), items)
+            assert sorted(map(str, after)) == sorted(str(x) for i, x in enumerate(before) if not bad[i][4])
+            assert (700, items[0][1]) not in after and (None, items[0][1]) not in after
+        elif name == "secrets":
+            assert sorted(str(d) for d, _ in after) == sorted(str(d) for d, _ in before) and all(brute.secrets(t)[:3] == (0, 0, 0) for _, t in after)
+        else:
+            assert set(after) <= set(before)
+        at, before = out, after
+    packed = corpus_pipeline.STAGES[-1][1](spark, at, sf)
+    assert packed.agg(F.sum("n_tokens")).first()[0] == sum(len(brute.space_words(t)) + 1 for _, t in before if brute.space_words(t))
+    at = empty
+    for _, stage in corpus_pipeline.STAGES:
+        at = stage(spark, at, sf)
+        assert at.count() == 0
+
+
 def test_every_operator_is_registered():
     assert [f.__name__.split("_")[0] for f in QUERIES] == [*(f"op{n}" for n in range(1, 11)), "pipeline"]
     assert set(llm_oracle_sql()) <= set(llm_queries())
