@@ -69,6 +69,11 @@ def load(path: str | Path | None = None) -> Config:
     return Config(**made, **{k: v for k, v in raw.items() if k in rest})
 
 
+def reader_path(uri: str) -> str:
+    """The path under which a raster library opens an object: ``s3a://`` becomes its virtual file system, all else stays."""
+    return "/vsis3/" + uri.removeprefix("s3a://") if uri.startswith("s3a://") else uri
+
+
 def layer_path(layer: str, *parts: str, root: str | None = None) -> str:
     """Where a table of a layer lives: under ``root``, by default the environment's DATA_ROOT or ./data."""
     return "/".join([(root or os.environ.get("DATA_ROOT", "data")).rstrip("/"), layer, *parts])

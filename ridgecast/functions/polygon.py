@@ -28,6 +28,12 @@ def distance(ring: list[tuple[float, float]], x: Column, y: Column) -> Column:
     return F.when(contains(ring, x, y), 0.0).otherwise(F.least(*best))
 
 
+def box_distance(x: Column, y: Column, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
+    """Distance to a rectangle: 0 inside."""
+    away = lambda v, lo, hi: F.greatest(lo - v, v - hi, F.lit(0.0))
+    return F.hypot(away(x, xmin, xmax), away(y, ymin, ymax))
+
+
 def densify(ring: list[tuple[float, float]], step: float) -> list[tuple[float, float]]:
     """Points along every edge, at most ``step`` apart, corners kept."""
     out = []

@@ -43,6 +43,16 @@ def map_algebra(tiles: DataFrame, dtype: str, function, out_dtype: str, layer: s
     return tiles.mapInArrow(run, TILES)
 
 
+def to_int16(tiles: DataFrame, dtype: str, layer: str, nodata: float | None = None) -> DataFrame:
+    """Tiles of whole numbers: gaps (NaN or ``nodata``) become 0, all else is rounded half to even and clipped to 16 bits."""
+
+    def fill(a):
+        gap = np.isnan(a) if nodata is None else np.isnan(a) | (a == nodata)
+        return np.clip(np.rint(np.where(gap, 0.0, a)), -32768, 32767)
+
+    return map_algebra(tiles, dtype, fill, "int16", layer)
+
+
 def pixels(tiles: DataFrame, dtype: str, sql_type: str, tile: int = TILE) -> DataFrame:
     """(row, col, value) of every pixel."""
 

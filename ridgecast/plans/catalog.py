@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ridgecast.plans import joins, relational  # noqa: F401  (joins registers its queries)
+from ridgecast.plans import joins, relational, surfaces  # noqa: F401  (joins and surfaces register their queries)
 
 
 def queries() -> dict:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ridgecast.config import Config, Gate, Radio
 from ridgecast.functions import cells, formulas, polygon
-from ridgecast.operators import coverage, demand, kernel, publish, raster, siting, spatial
+from ridgecast.operators import checks, coverage, demand, kernel, publish, raster, siting, spatial
 from ridgecast.plans import oracle as o
 from ridgecast.plans.fixtures import PARENT_M, PIXEL_M, SIDE, ctes, frame, pixels
 
@@ -121,8 +121,8 @@ def asr_identity_checks(spark, d):
     k = F.col("s_suppkey") * 37
     deg = formulas.dms_to_degrees(F.floor(k % 324000 / 3600.0), F.floor(k % 3600 / 60.0), (k % 60).cast("double"), F.when(F.col("s_suppkey") % 2 == 0, "S").otherwise("N"), "S")
     s = spark.read.parquet(f"{d}/supplier.parquet").select((k % 324000).cast("double").alias("total"), deg.alias("deg"), (100 + F.col("s_suppkey") % 300).cast("double").alias("ground"), F.when(F.col("s_suppkey") % 7 != 0, (30 + F.col("s_suppkey") % 90).cast("double")).alias("agl"), (130 + F.col("s_suppkey") % 300 + F.col("s_suppkey") % 90 + F.col("s_suppkey") % 3).cast("double").alias("amsl"))
-    drift = F.abs(F.col("total") / 3600.0 - F.abs("deg"))
-    return s.agg(F.count_if(drift > 0.1 / 3600).alias("drifted"), F.round(F.median(F.abs(F.col("ground") + F.col("agl") - F.col("amsl"))), 4).alias("median_residual_m"))
+    got = checks.identities(s, F.col("deg"), F.col("total"), F.col("ground"), F.col("agl"), F.col("amsl"))
+    return rounded(checks.require(got, drifted=0, median_residual_m=1.0))
 
 
 def unique(df: DataFrame, key: str) -> DataFrame:
@@ -159,7 +159,8 @@ def areal_population(spark, d):
     squares = k.select("square_id", (F.col("a") * 50000.0).alias("xmin"), ((F.col("a") + 1) * 50000.0).alias("xmax"), (F.col("b") * 50000.0).alias("ymin"), ((F.col("b") + 1) * 50000.0).alias("ymax"))
     people = frame(spark, d, "receivers").groupBy("county").agg(F.sum("pop").alias("pop"), F.max("growth").alias("growth"))
     met = spatial.rectangle_overlap(squares, frame(spark, d, "counties"), 80_000.0).join(people, F.col("r_county") == F.col("county"))
-    return rounded(spatial.interpolate(met, "square_id", F.col("pop"), F.lit(6.4e9), F.col("growth")), 3)
+    out = spatial.interpolate(met, "square_id", F.col("pop"), F.lit(6.4e9), F.col("growth"))
+    return rounded(checks.conserved(people, out, "pop"), 3)
 
 
 # The categories of the provided data with weights of our own.
@@ -578,15 +579,36 @@ for _up in (1, 2, 3):
     _lod(_up)
 
 
-@query(f"""with {o.COVERAGE}, per as (select asr_id, count(*) as n, count(*) filter (rsrp_dbm >= -105) as n_served, cast(round_even(coalesce(sum(pop) filter (rsrp_dbm >= -105), 0), 0) as bigint) as pop_served from links join receivers using (cell_id) group by asr_id)
+#: Footprints keep links down to here.
+FOOTPRINT_FLOOR = -115.0
+
+
+def footprint_links(spark, d) -> DataFrame:
+    """Links of existing and new transmitters that footprints show."""
+    links = links_of(spark, d)
+    new = F.substring("asr_id", 2, 20).cast("long") % 10 == 0
+    return links.where(F.col("rsrp_dbm") >= FOOTPRINT_FLOOR).withColumn("asr_id", F.when(new, F.concat(F.lit("NEW:"), "asr_id")).otherwise(F.col("asr_id")))
+
+
+FOOTPRINTS = "foot as (select * replace (case when cast(substr(asr_id, 2) as bigint)%10=0 then concat('NEW:', asr_id) else asr_id end as asr_id) from links where rsrp_dbm >= -115e0)"
+
+
+@query(f"""with {o.COVERAGE}, {FOOTPRINTS}, per as (select asr_id, count(*) as n, count(*) filter (rsrp_dbm >= -105) as n_served, cast(round_even(coalesce(sum(pop) filter (rsrp_dbm >= -105), 0), 0) as bigint) as pop_served from foot join receivers using (cell_id) group by asr_id)
     select asr_id, (coalesce(sum(n) over (order by asr_id rows between unbounded preceding and 1 preceding), 0)*12)::bigint as "offset", n, n_served, pop_served from per""")
 def footprint_index(spark, d):
-    return publish.footprint_index(links_of(spark, d), frame(spark, d, "receivers"), "asr_id", "cell_id", RADIO.threshold_dbm)
+    return publish.footprint_index(footprint_links(spark, d), frame(spark, d, "receivers"), "asr_id", "cell_id", RADIO.threshold_dbm)
 
 
 @query()
 def footprint_blob(spark, d):
-    return publish.footprint_blobs(links_of(spark, d), "asr_id", "cell_id")
+    return publish.footprint_blobs(footprint_links(spark, d), "asr_id", "cell_id")
+
+
+@query(f"""with {o.LINKS}, {FOOTPRINTS} select asr_id, row_number() over (partition by asr_id order by rsrp_dbm desc, cell_id) - 1 as place, cell_id, greatest(-128, least(127, round_even(rsrp_dbm, 0)))::bigint as rsrp,
+    least(255, round_even(diffraction_db, 0))::bigint as diff, least(255, round_even(clutter_db, 0))::bigint as clut, is_los as los from foot""")
+def footprint_records(spark, d):
+    """What the published blobs hold, record by record in their order."""
+    return publish.unpacked(footprint_blob(spark, d), "asr_id")
 
 
 @query(f"with {o.LINKS}, per as (select asr_id, count(*) as n from links group by asr_id) select count(*) as transmitters, cast(median(n) as double) as median_n, quantile_cont(n, 0.95) as p95_n, max(n) as max_n from per")

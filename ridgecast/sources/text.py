@@ -39,6 +39,26 @@ def read_ragged(spark: SparkSession, path: str, columns: dict[str, int], delimit
     return lines.where(F.size("p") > max(columns.values())).select(*[F.col("p")[i].alias(c) for c, i in columns.items()])
 
 
+def read_register(spark: SparkSession, archive: str, folder: str, parts: dict[str, tuple[dict[str, int], dict[str, str]]], key: str) -> DataFrame:
+    """A zipped register whose files are joined on ``key``: for each file its columns by position and the values that rows must have.
+
+    ``folder`` is one that all machines share; the archive is unpacked there.
+    """
+    out = None
+    for path, (columns, wanted) in zip(unzip(archive, folder, list(parts)), parts.values(), strict=True):
+        t = read_ragged(spark, str(path), columns)
+        for column, value in wanted.items():
+            t = t.where(F.col(column) == value)
+        t = t.drop(*wanted)
+        out = t if out is None else out.join(t, key)
+    return out
+
+
+def write_layer(df: DataFrame, path: str) -> None:
+    """The table at ``path``, whole: what was there goes."""
+    df.write.mode("overwrite").parquet(path)
+
+
 def header_rows(text: str, content_type: str = "application/json") -> tuple[list[str], list[list]]:
     """A JSON answer ``[header, *rows]``; any other content type is an error message, not data."""
     if "json" not in content_type:

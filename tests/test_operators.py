@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ridgecast import config
 from ridgecast.functions import cells, formulas, polygon
-from ridgecast.operators import coverage, demand, kernel, publish, raster, siting, spatial
+from ridgecast.operators import checks, coverage, demand, kernel, publish, raster, siting, spatial
 from ridgecast.sources import geo, text, tiff
 
 
@@ -294,3 +294,66 @@ def test_config_file(tmp_path):
     c = config.load(p)
     assert c.radio.freq_mhz == 800 and c.tourism_weight == 5 and config.load().siting.sites == 20
     assert config.layer_path("gold", "coverage", root="/d/") == "/d/gold/coverage"
+
+
+# Checks that stop a run
+
+
+def test_identities_and_limits(spark):
+    rows = [(36000.0, 10.0, 100.0, 30.0, 130.0), (36000.0, -10.0, 100.0, 31.0, 130.5), (None, 1.0, 1.0, None, 5.0)]
+    df = spark.createDataFrame(rows, "s double, d double, g double, h double, t double")
+    got = checks.identities(df, F.col("d"), F.col("s"), F.col("g"), F.col("h"), F.col("t"))
+    assert tuple(got.first()) == (0, 0.25)
+    assert checks.require(got, drifted=0, median_residual_m=1.0) is got
+    drifted = checks.identities(df.withColumn("d", F.col("d") + 0.001), F.col("d"), F.col("s"), F.col("g"), F.col("h"), F.col("t"))
+    with pytest.raises(checks.CheckFailed, match="drifted is 2"):
+        checks.require(drifted, drifted=0)
+    with pytest.raises(checks.CheckFailed, match="median_residual_m"):
+        checks.require(got, median_residual_m=0.1)
+    nothing = checks.identities(df.limit(0), F.col("d"), F.col("s"), F.col("g"), F.col("h"), F.col("t"))
+    assert checks.require(nothing, drifted=0, median_residual_m=1.0) is nothing
+
+
+def test_conservation_repetition_and_recomputation(spark):
+    a = spark.createDataFrame([(1, 100.0), (2, 50.0), (3, None)], "k int, v double")
+    b = a.withColumn("v", F.col("v") * 1.01)
+    assert checks.conserved(a, b, "v") is b and checks.same_rows(a, a, "plan") is a
+    assert checks.recomputed(a, b.where("k < 3"), "k", ["v"]) is a
+    for broken in (lambda: checks.conserved(a, a.limit(1), "v"), lambda: checks.same_rows(a, b, "plan"), lambda: checks.recomputed(a, b.withColumn("v", F.lit(7.0)), "k", ["v"]), lambda: checks.recomputed(a.where("k > 1"), b, "k", ["v"])):
+        with pytest.raises(checks.CheckFailed):
+            broken()
+
+
+def test_register_of_two_files(spark, tmp_path):
+    import zipfile
+
+    with zipfile.ZipFile(tmp_path / "r.zip", "w") as z:
+        z.writestr("places.dat", "1|T|x\n2|X|y\n3|T|z\nshort\n")
+        z.writestr("states.dat", "1|a|C\n2|b|C\n3|c|D\n")
+    parts = {"places.dat": ({"id": 0, "kind": 1, "name": 2}, {"kind": "T"}), "states.dat": ({"id": 0, "status": 2}, {"status": "C"})}
+    got = text.read_register(spark, str(tmp_path / "r.zip"), str(tmp_path / "out"), parts, "id")
+    assert [tuple(r) for r in got.collect()] == [("1", "x")]
+    text.write_layer(got, str(tmp_path / "layer"))
+    text.write_layer(got, str(tmp_path / "layer"))
+    assert spark.read.parquet(str(tmp_path / "layer")).count() == 1
+
+
+def test_paths_of_readers():
+    assert config.reader_path("s3a://bucket/a/b.tif") == "/vsis3/bucket/a/b.tif"
+    assert config.reader_path("/data/b.tif") == "/data/b.tif" and config.reader_path("file:///x") == "file:///x"
+
+
+def test_gaps_and_whole_numbers(spark):
+    a = np.array([[1.5, np.nan], [-9999.0, 40000.0]])
+    tiles = spark.createDataFrame([("z", 0, 0, 2, 2, bytearray(a.tobytes()))], raster.TILES)
+    got = raster.to_int16(tiles, "float64", "filled", nodata=-9999.0).first()
+    assert got.layer == "filled" and np.frombuffer(got.data, "int16").tolist() == [2, 0, 0, 32767]
+
+
+def test_unpacked_blobs_and_runs_of_records(spark):
+    links = spark.createDataFrame([("a", 7, -90.4, 300.0, 2.0, True), ("a", 8, -80.0, 0.0, 2.5, False), ("b", 9, -200.0, 1.0, 0.0, True)], "tx string, rx long, rsrp_dbm double, diffraction_db double, clutter_db double, is_los boolean")
+    blobs = publish.footprint_blobs(links, "tx", "rx")
+    got = sorted(tuple(r) for r in publish.unpacked(blobs, "tx").collect())
+    assert got == [("a", 0, 8, -80, 0, 2, False), ("a", 1, 7, -90, 255, 2, True), ("b", 0, 9, -128, 1, 0, True)]
+    blob = next(r.blob for r in blobs.collect() if r.tx == "a")
+    assert publish.records(bytes(blob), slice(1, 2))["cell"].tolist() == [7] and len(publish.records(bytes(blob), slice(5, 9))) == 0
