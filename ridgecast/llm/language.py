@@ -1,6 +1,7 @@
 """Language identification by rank-order profiles (Cavnar and Trenkle, 1994).
 
-A text's letters (A-Z in lower case, and all non-ASCII bytes) give byte n-grams of one to three, words padded by a blank. A language's
+A text's letters (A-Z in lower case, and all non-ASCII bytes) give byte n-grams of one to three, words padded by a blank (the paper has one to
+five; three tell the languages of the tables apart and keep the table of counts small). A language's
 profile is its ``size`` most frequent n-grams over all its training texts; a document's profile is the same of its whole text. The distance to
 a language is the sum over the document's n-grams of how far out of place they are, or ``size`` where the profile lacks
 them. The least distance wins, the smaller label on ties. The score is 1 minus the mean distance over ``size``.
