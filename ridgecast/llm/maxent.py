@@ -14,7 +14,7 @@ where growth ends; counts and the base have no bound.
 Counts are combined per task, then summed in shards by word; a text's rare words are sent to the shards with their
 number in the text, and sums per text come back, so no table of all words is ever broadcast. Weights are trained by rounds of distributed
 updates. Every round takes a share of the training texts by hash of id, so each is in exactly one, and deals it by hash of id to groups of about
-4 million tokens; every group takes gradient steps (Adagrad) from the common weights over its texts in the order of their ids, and the
+4 million tokens; every group takes gradient steps (Adagrad, a rate per row) from the common weights over its texts in the order of their ids, and the
 changes are averaged, weight by weight over the groups that made them, in the order of groups. So the result does not depend on how the table is
 partitioned. Scoring runs over numpy batches of feature indices.
 
@@ -215,7 +215,7 @@ def features(row: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def rows_log2(tokens: int) -> int:
-    return int(np.clip(max(1, tokens).bit_length() - 10, 15, 18))
+    return int(np.clip(max(1, tokens).bit_length() - 11, 15, 18))
 
 
 class Weights:
@@ -234,44 +234,76 @@ class Weights:
         return (own & U((1 << self.log2) - 1)).astype(np.int64)
 
     def forward(self, v: Vocabulary, f: np.ndarray, unit: np.ndarray):
-        """Per level: rows, branch taken, and log probabilities of all branches of the node."""
+        """Per level: rows, branch taken, scores of all branches of the node, their exponentials and the sum of these."""
         for k, (node, branch) in enumerate(v.path(unit)):
             at = self.index(f, k, node)
             t = self.tables[k]
-            x = t[at[:, 0]] + t[at[:, 1]] + t[at[:, 2]] + v.bias[k][node]
-            x -= x.max(axis=1, keepdims=True)
-            x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-            yield at, branch, x
+            x = np.take(t, at[:, 0], axis=0)
+            x += np.take(t, at[:, 1], axis=0)
+            x += np.take(t, at[:, 2], axis=0)
+            x += np.take(v.bias[k], node, axis=0)
+            x -= _top(x)
+            e = np.exp(x)
+            yield at, branch, x, e, e @ _ONES
 
     def log_prob(self, v: Vocabulary, f: np.ndarray, unit: np.ndarray) -> np.ndarray:
         out = np.zeros(len(unit), np.float32)
-        for _, branch, x in self.forward(v, f, unit):
-            out += x[np.arange(len(unit)), branch]
+        for _, branch, x, _, total in self.forward(v, f, unit):
+            out += x[np.arange(len(unit)), branch] - np.log(total)
         return out
 
 
+_ONES = np.ones(BRANCHES, np.float32)
+
+
+def _top(x: np.ndarray) -> np.ndarray:
+    """The largest of every row, by halves: quicker than a reduction over so short an axis."""
+    while x.shape[1] > 1:
+        half = x.shape[1] // 2
+        x = np.maximum(x[:, :half], x[:, half:])
+    return x
+
+
 def _step(weights, total, index, grad, rate):
-    """An Adagrad step on the rows of ``index`` (tokens x features), each with its token's gradient."""
+    """An Adagrad step on the rows of ``index`` (tokens x features), each with its token's gradient; a row has one rate, by its mean square."""
     flat = index.ravel()
-    order = np.argsort(flat, kind="stable")
+    # Sixteen bits at a time, for which numpy has a radix sort.
+    order = np.argsort(flat.astype(np.uint16), kind="stable")
+    if len(weights) > 65536:
+        order = order[np.argsort((flat[order] >> 16).astype(np.uint16), kind="stable")]
     f = flat[order]
     at = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]]))
-    g = np.add.reduceat(grad[order // index.shape[1]], at, axis=0)
-    r = f[at]
-    total[r] += g * g
-    weights[r] -= rate * g / np.sqrt(total[r] + 1e-2)
+    r, size, token = f[at], np.diff(np.append(at, len(f))), order // index.shape[1]
+    g = np.take(grad, token[at], axis=0)
+    # Most rows occur once in a batch; only the others need sums.
+    again = np.flatnonzero(size > 1)
+    if len(again):
+        ends = np.cumsum(size[again])
+        g[again] = np.add.reduceat(np.take(grad, token[np.repeat(size > 1, size)], axis=0), ends - size[again], axis=0)
+    now = np.take(total, r) + np.einsum("ij,ij->i", g, g) / BRANCHES
+    total[r] = now
+    g *= (-rate / np.sqrt(now + 1e-2))[:, None].astype(g.dtype)
+    g += np.take(weights, r, axis=0)
+    weights[r] = g
 
 
 BLOCKS = 8
 
 
-def _block(part: int, level: int, group: int, rows: np.ndarray, count: np.ndarray, total: np.ndarray):
-    return _rows([part], level, [_zip(np.array([group, len(rows)], "<i8").tobytes(), rows.astype("<i8").tobytes(), count.astype("<f4").tobytes(), total.astype("<f4").tobytes())])
+def _block(part: int, level: int, group: int, used: np.ndarray, count: np.ndarray, total: np.ndarray):
+    """Rows of a block: which are used, by how many groups (nothing: one, and changes in 16 bits), and changes."""
+    one = not len(count)
+    return _rows([part], level, [_zip(np.array([group, len(used), one], "<i8").tobytes(), np.packbits(used).tobytes(), count.astype("<f4").tobytes(), total.astype("<f2" if one else "<f4").tobytes())])
 
 
 def _read_block(m):
-    group, n = (int(x) for x in np.frombuffer(m, "<i8", 2))
-    return group, np.frombuffer(m, "<i8", n, 16), np.frombuffer(m, "<f4", n, 16 + 8 * n), np.frombuffer(m, "<f4", offset=16 + 12 * n).reshape(n, BRANCHES)
+    """(group, rows of the block that are used, counts, changes)"""
+    group, n, one = (int(x) for x in np.frombuffer(m, "<i8", 3))
+    rows = np.flatnonzero(np.unpackbits(np.frombuffer(m, np.uint8, -(-n // 8), 24), count=n))
+    m = m[24 + -(-n // 8) :]
+    if one:
+        return group, rows, np.ones(len(rows), np.float32), np.frombuffer(m, "<f2").reshape(-1, BRANCHES).astype(np.float32)
+    return group, rows, np.frombuffer(m, "<f4", len(rows)), np.frombuffer(m, "<f4", offset=4 * len(rows)).reshape(-1, BRANCHES)
 
 
 def learn(v: Vocabulary, w: Weights, sums: list[np.ndarray], c, rate: float, batch_size: int = 2048) -> None:
@@ -281,8 +313,8 @@ def learn(v: Vocabulary, w: Weights, sums: list[np.ndarray], c, rate: float, bat
     f = features(row, h)
     for a in range(0, len(h), batch_size):
         k = slice(a, a + batch_size)
-        for level, (at, branch, x) in enumerate(w.forward(v, f[k], unit[k])):
-            p = np.exp(x)
+        for level, (at, branch, _, p, total) in enumerate(w.forward(v, f[k], unit[k])):
+            p /= total[:, None]
             p[np.arange(len(branch)), branch] -= 1
             _step(w.tables[level], sums[level], at, p, rate)
 
@@ -292,15 +324,15 @@ def _train(vocab, weights, rate: float, per: int, parts: int):
 
     def changes(v, common, group, batches):
         w = common.copy()
-        sums = [np.zeros_like(t) for t in w.tables]
+        sums = [np.zeros(len(t)) for t in w.tables]
         for texts in batches:
             for c in chunks(texts):
                 learn(v, w, sums, c, rate)
-        for level, s in enumerate(sums):
-            used = np.flatnonzero(s.any(axis=1))
+        # Block p has every row r with r % BLOCKS == p.
+        for level, (new, old) in enumerate(zip(w.tables, common.tables, strict=True)):
             for p in range(BLOCKS):
-                r = used[used % BLOCKS == p]
-                yield _block(p * parts + group // per, level, group, r, np.ones(len(r)), w.tables[level][r] - common.tables[level][r])
+                used = sums[level][p::BLOCKS] > 0
+                yield _block(p * parts + group // per, level, group, used, np.zeros(0), (new[p::BLOCKS] - old[p::BLOCKS])[used])
 
     def run(batches):
         v, common = vocab.value, weights.value
@@ -328,13 +360,13 @@ def _combine(log2: int, parts: int):
                 m = memoryview(blob.as_buffer())
                 have.setdefault((part, level), []).append((_read_block(_unzip(blob))[0], bytes(m)))
         for (part, level), blocks in have.items():
-            n, x = np.zeros(1 << log2, np.float32), np.zeros((1 << log2, BRANCHES), np.float32)
+            n, x = np.zeros((1 << log2) // BLOCKS, np.float32), np.zeros(((1 << log2) // BLOCKS, BRANCHES), np.float32)
             for _, raw in sorted(blocks, key=lambda b: b[0]):
                 _, r, k, change = _read_block(_unzip(pa.scalar(raw, pa.binary())))
                 n[r] += k
                 x[r] += change
-            r = np.flatnonzero(n)
-            yield _block(part // parts, level, part % parts, r, n[r], x[r])
+            used = n > 0
+            yield _block(part // parts, level, part % parts, used, n[used], x[used])
 
     return run
 
@@ -356,7 +388,7 @@ def train(texts: DataFrame, vocab, total: int, rounds: int, rate: float) -> Weig
         made = part.mapInArrow(_train(vocab, common, rate, per, parts), BLOB).repartition(min(width, BLOCKS * parts), "part").mapInArrow(_combine(log2, parts), BLOB)
         for b in made.repartition(BLOCKS, "part").mapInArrow(_combine(log2, 1), BLOB).collect():
             _, rows, n, x = _read_block(_unzip(pa.scalar(bytes(b["blob"]), pa.binary())))
-            w.tables[b["kind"]][rows] += x / n[:, None]
+            w.tables[b["kind"]][b["part"] + BLOCKS * rows] += x / n[:, None]
         common.unpersist()
     return w
 
