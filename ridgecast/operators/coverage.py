@@ -18,6 +18,11 @@ def best_server(links: DataFrame, receivers: DataFrame, rx: str, tx: str, thresh
         F.count("*").alias("n_links"),
         F.count_if(F.col("rsrp_dbm") >= threshold).alias("n_servers"),
     )
+    return with_receivers(best, receivers, rx, threshold)
+
+
+def with_receivers(best: DataFrame, receivers: DataFrame, rx: str, threshold: float = Radio().threshold_dbm) -> DataFrame:
+    """Every receiver with what ``best`` has for it; without a link it is uncovered."""
     out = receivers.join(best, rx, "left")
     for c in ("n_links", "n_servers"):
         out = out.withColumn(c, F.coalesce(c, F.lit(0)))

@@ -33,9 +33,10 @@ def footprint_blobs(links: DataFrame, tx: str, rx: str) -> DataFrame:
     kind = dict(links.dtypes)[tx]
 
     def run(t: pa.Table) -> pa.Table:
-        p = t.to_pandas().sort_values(["rsrp_dbm", rx], ascending=[False, True])
-        blob = pack(p[rx], p["rsrp_dbm"], p["diffraction_db"], p["clutter_db"], p["is_los"])
-        return pa.table({tx: t.column(tx).slice(0, 1), "n": pa.array([len(p)], pa.int64()), "blob": pa.array([blob], pa.binary())})
+        p = [t.column(c).to_numpy() for c in (rx, "rsrp_dbm", "diffraction_db", "clutter_db", "is_los")]
+        order = np.lexsort((p[0], -p[1]))
+        blob = pack(*(c[order] for c in p))
+        return pa.table({tx: t.column(tx).slice(0, 1), "n": pa.array([len(order)], pa.int64()), "blob": pa.array([blob], pa.binary())})
 
     return links.select(tx, rx, "rsrp_dbm", "diffraction_db", "clutter_db", "is_los").groupBy(tx).applyInArrow(run, f"{tx} {kind}, n long, blob binary")
 
@@ -64,6 +65,11 @@ def footprint_index(links: DataFrame, coverage: DataFrame, tx: str, rx: str, thr
     served = F.col("rsrp_dbm") >= threshold
     pop = F.coalesce("pop", F.lit(0.0))
     per = links.join(coverage.select(rx, "pop"), rx, "left").groupBy(tx).agg(F.count("*").alias("n"), F.count_if(served).alias("n_served"), F.rint(F.sum(F.when(served, pop).otherwise(0.0))).cast("long").alias("pop_served"))
+    return offsets(per, tx)
+
+
+def offsets(per: DataFrame, tx: str) -> DataFrame:
+    """(tx, offset, n, n_served, pop_served) of a row per transmitter."""
     before = F.sum("n").over(Window.orderBy(tx).rowsBetween(Window.unboundedPreceding, -1))
     return per.select(tx, (F.coalesce(before, F.lit(0)) * RECORD.itemsize).alias("offset"), "n", "n_served", "pop_served")
 

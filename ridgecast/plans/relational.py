@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ridgecast.config import Config, Gate, Radio
 from ridgecast.functions import cells, formulas, polygon
-from ridgecast.operators import checks, coverage, demand, kernel, publish, raster, siting, spatial
+from ridgecast.operators import blocks, checks, coverage, demand, kernel, publish, raster, siting, spatial
 from ridgecast.plans import oracle as o
 from ridgecast.plans.fixtures import PARENT_M, PIXEL_M, SIDE, ctes, frame, pixels
 
@@ -46,19 +46,22 @@ def towers_clean(spark, d):
     return frame(spark, d, "towers").where(F.col("x").isNotNull() & F.col("y").isNotNull() & inside).select("asr_id", "x", "y", h.alias("height_agl_m"), F.coalesce(h, F.lit(RADIO.default_tx_height_m)).alias("tx_height_m"))
 
 
-def pairs_of(spark, d, receivers=None) -> DataFrame:
-    t = frame(spark, d, "towers").select("asr_id", "x", "y", F.coalesce("height_agl_m", F.lit(RADIO.default_tx_height_m)).alias("tx_height_m"))
-    r = (frame(spark, d, "receivers") if receivers is None else receivers).select("cell_id", "x", "y")
-    return spatial.distance_join(t, r, RADIO.max_link_m).select("asr_id", F.col("r_cell_id").alias("cell_id"), F.col("x").alias("tx_x"), F.col("y").alias("tx_y"), "tx_height_m", F.col("r_x").alias("rx_x"), F.col("r_y").alias("rx_y"), "distance_m")
+def transmitters_of(spark, d) -> DataFrame:
+    return frame(spark, d, "towers").select("asr_id", "x", "y", F.coalesce("height_agl_m", F.lit(RADIO.default_tx_height_m)).alias("tx_height_m"))
 
 
 @query(f"with {o.BASE} select tx as asr_id, rx as cell_id, round(sqrt((rx_x-tx_x)*(rx_x-tx_x)+(rx_y-tx_y)*(rx_y-tx_y)), 4) as distance_m from pairs")
 def dwithin_pairs(spark, d):
-    return pairs_of(spark, d).select("asr_id", "cell_id", F.round("distance_m", 4).alias("distance_m"))
+    return rounded(blocks.pairs(transmitters_of(spark, d), frame(spark, d, "receivers"), "asr_id", "cell_id", RADIO.max_link_m))
 
 
-def links_of(spark, d) -> DataFrame:
-    return kernel.links(pairs_of(spark, d), kernel.FormulaTerrain(), "asr_id", "cell_id", RADIO)
+def links_of(spark, d, floor_dbm: float | None = None) -> DataFrame:
+    return blocks.links(transmitters_of(spark, d), frame(spark, d, "receivers"), kernel.FormulaTerrain(), "asr_id", "cell_id", RADIO, floor_dbm)
+
+
+def best_of(spark, d, towers=None) -> DataFrame:
+    """A row per receiver with a link."""
+    return blocks.per_receiver(transmitters_of(spark, d) if towers is None else towers, frame(spark, d, "receivers"), kernel.FormulaTerrain(), "asr_id", "cell_id", RADIO)
 
 
 ROUND_LINKS = "asr_id, cell_id, round(rsrp_dbm, 4) as rsrp_dbm, round(path_loss_db, 4) as path_loss_db, round(diffraction_db, 4) as diffraction_db, round(clutter_db, 4) as clutter_db, round(distance_m, 4) as distance_m, is_los"
@@ -70,7 +73,8 @@ def link_rsrp(spark, d):
 
 
 def coverage_of(spark, d) -> DataFrame:
-    return coverage.best_server(links_of(spark, d), frame(spark, d, "receivers"), "cell_id", "asr_id")
+    best = best_of(spark, d).drop("low_rsrp_dbm", "old_rsrp_dbm")
+    return coverage.with_receivers(best, frame(spark, d, "receivers"), "cell_id")
 
 
 COVERAGE_COLUMNS = "cell_id, pop, demand, x, y, best_rsrp_dbm, best_asr_id, best_is_los, best_distance_m, n_links, n_servers, is_covered"
@@ -102,15 +106,16 @@ def coverage_summary(spark, d):
     union all select 7, 'coverage_rows', case when (select count(*) from coverage) = (select count(*) from receivers) then 'PASS' else 'FAIL' end, (select count(*) from coverage)::double
     union all select 8, 'covered_share', case when count(*) filter (is_covered) between 1 and count(*)-1 then 'PASS' else 'FAIL' end, (count(*) filter (is_covered))::double from coverage""")
 def dq_gate(spark, d):
-    # Four checks read the links; they are computed once.
-    links, receivers = links_of(spark, d).select("cell_id", "asr_id", "rsrp_dbm", "is_los", "distance_m").cache(), frame(spark, d, "receivers")
-    got = coverage.best_server(links, receivers, "cell_id", "asr_id")
+    # Four checks read the links; the weakest and the strongest of each receiver answer them, and are computed once.
+    best, receivers = best_of(spark, d).cache(), frame(spark, d, "receivers")
+    links = best.select("cell_id", F.explode(F.array("low_rsrp_dbm", "best_rsrp_dbm")).alias("rsrp_dbm"))
+    got = coverage.with_receivers(best, receivers, "cell_id")
     return coverage.quality_gate(frame(spark, d, "towers"), receivers, links, got, "cell_id", Config(gate=Gate(), scope="demo"))
 
 
 @query(f"with {o.LINKS} select distinct cell_id from links where not exists (select 1 from receivers r where r.cell_id = links.cell_id)")
 def orphan_links(spark, d):
-    return coverage.orphans(links_of(spark, d), frame(spark, d, "receivers"), "cell_id")
+    return coverage.orphans(best_of(spark, d), frame(spark, d, "receivers"), "cell_id")
 
 
 @query("""select count(*) filter (abs(total/3600e0 - abs(deg)) > 0.1e0/3600e0) as drifted, round(median(abs(ground + agl - amsl)), 4) as median_residual_m from
@@ -411,9 +416,8 @@ CPAIRS = "cpairs as (select c.cand_id as tx, g.cell_id as rx, c.x as tx_x, c.y a
 
 def cover_of(spark, d, gaps) -> DataFrame:
     c = siting.colocation(frame(spark, d, "towers"), gaps)
-    p = spatial.distance_join(c, gaps.select("cell_id", "x", "y"), RADIO.max_link_m)
-    p = p.select("cand_id", F.col("r_cell_id").alias("gap_id"), F.col("x").alias("tx_x"), F.col("y").alias("tx_y"), "tx_height_m", F.col("r_x").alias("rx_x"), F.col("r_y").alias("rx_y"))
-    return kernel.links(p, kernel.FormulaTerrain(), "cand_id", "gap_id", RADIO, RADIO.threshold_dbm)
+    g = gaps.select(F.col("cell_id").alias("gap_id"), "x", "y")
+    return blocks.links(c, g, kernel.FormulaTerrain(), "cand_id", "gap_id", RADIO, RADIO.threshold_dbm)
 
 
 @query(f"with {GAPS}, {COLO}, {CPAIRS}, {o.kernel_ctes('cpairs', 'cover')} select asr_id as cand_id, cell_id as gap_id, round(rsrp_dbm, 4) as rsrp_dbm from cover where rsrp_dbm >= -105e0")
@@ -583,11 +587,15 @@ for _up in (1, 2, 3):
 FOOTPRINT_FLOOR = -115.0
 
 
+def named():
+    """Every tenth transmitter is a new one."""
+    new = F.substring("asr_id", 2, 20).cast("long") % 10 == 0
+    return F.when(new, F.concat(F.lit("NEW:"), "asr_id")).otherwise(F.col("asr_id"))
+
+
 def footprint_links(spark, d) -> DataFrame:
     """Links of existing and new transmitters that footprints show."""
-    links = links_of(spark, d)
-    new = F.substring("asr_id", 2, 20).cast("long") % 10 == 0
-    return links.where(F.col("rsrp_dbm") >= FOOTPRINT_FLOOR).withColumn("asr_id", F.when(new, F.concat(F.lit("NEW:"), "asr_id")).otherwise(F.col("asr_id")))
+    return links_of(spark, d, FOOTPRINT_FLOOR).withColumn("asr_id", named())
 
 
 FOOTPRINTS = "foot as (select * replace (case when cast(substr(asr_id, 2) as bigint)%10=0 then concat('NEW:', asr_id) else asr_id end as asr_id) from links where rsrp_dbm >= -115e0)"
@@ -596,7 +604,9 @@ FOOTPRINTS = "foot as (select * replace (case when cast(substr(asr_id, 2) as big
 @query(f"""with {o.COVERAGE}, {FOOTPRINTS}, per as (select asr_id, count(*) as n, count(*) filter (rsrp_dbm >= -105) as n_served, cast(round_even(coalesce(sum(pop) filter (rsrp_dbm >= -105), 0), 0) as bigint) as pop_served from foot join receivers using (cell_id) group by asr_id)
     select asr_id, (coalesce(sum(n) over (order by asr_id rows between unbounded preceding and 1 preceding), 0)*12)::bigint as "offset", n, n_served, pop_served from per""")
 def footprint_index(spark, d):
-    return publish.footprint_index(footprint_links(spark, d), frame(spark, d, "receivers"), "asr_id", "cell_id", RADIO.threshold_dbm)
+    t = transmitters_of(spark, d).withColumn("asr_id", named())
+    per = blocks.per_transmitter(t, frame(spark, d, "receivers"), kernel.FormulaTerrain(), "asr_id", "cell_id", RADIO, FOOTPRINT_FLOOR)
+    return publish.offsets(per.withColumn("pop_served", F.rint("served").cast("long")), "asr_id")
 
 
 @query()
@@ -613,25 +623,26 @@ def footprint_records(spark, d):
 
 @query(f"with {o.LINKS}, per as (select asr_id, count(*) as n from links group by asr_id) select count(*) as transmitters, cast(median(n) as double) as median_n, quantile_cont(n, 0.95) as p95_n, max(n) as max_n from per")
 def footprint_sizes(spark, d):
-    per = links_of(spark, d).groupBy("asr_id").agg(F.count("*").alias("n"))
+    per = blocks.per_transmitter(transmitters_of(spark, d), frame(spark, d, "receivers"), kernel.FormulaTerrain(), "asr_id", "cell_id", RADIO)
     return per.agg(F.count("*").alias("transmitters"), F.median("n").alias("median_n"), F.percentile("n", F.lit(0.95)).alias("p95_n"), F.max("n").alias("max_n"))
 
 
 NEW = "select case when cast(substr(asr_id, 2) as bigint)%10=0 then concat('NEW:', asr_id) else asr_id end as asr_id, cell_id, rsrp_dbm from links"
 
 
-def renamed(spark, d) -> DataFrame:
-    return links_of(spark, d).select(F.when(F.substring("asr_id", 2, 20).cast("long") % 10 == 0, F.concat(F.lit("NEW:"), "asr_id")).otherwise(F.col("asr_id")).alias("asr_id"), "cell_id", "rsrp_dbm")
+def surfaces_of(spark, d) -> DataFrame:
+    best = best_of(spark, d, transmitters_of(spark, d).withColumn("asr_id", named()))
+    return best.select("cell_id", F.col("best_rsrp_dbm").alias("rsrp_all"), F.col("old_rsrp_dbm").alias("rsrp_cur"))
 
 
 @query(f"with {o.LINKS}, named as ({NEW}) select cell_id, round(max(rsrp_dbm), 4) as rsrp_all, round(max(rsrp_dbm) filter (asr_id not like 'NEW:%'), 4) as rsrp_cur from named group by cell_id")
 def surface_two_in_one(spark, d):
-    return rounded(coverage.two_surfaces(renamed(spark, d), "cell_id", "asr_id"))
+    return rounded(surfaces_of(spark, d))
 
 
 @query(f"with {o.LINKS}, named as ({NEW}), s as (select max(rsrp_dbm) as a, max(rsrp_dbm) filter (asr_id not like 'NEW:%') as c from named group by cell_id) select count(*) as pixels, round(avg((coalesce(c, -125e0) >= -105)::int), 4) as cov_current, round(avg((coalesce(a, -125e0) >= -105)::int), 4) as cov_upgraded, count(*) filter (coalesce(c, -125e0) < -105 and a >= -105) as newly from s")
 def newly_covered(spark, d):
-    return rounded(coverage.newly_covered(coverage.two_surfaces(renamed(spark, d), "cell_id", "asr_id")))
+    return rounded(coverage.newly_covered(surfaces_of(spark, d)))
 
 
 @query(f"with {GAPS}, {COLO} select asr_id as tx_id, x, y, coalesce(height_agl_m, 45e0) as tx_height_m from towers union all select concat('NEW:', cand_id), x, y, tx_height_m from colo")
