@@ -138,7 +138,7 @@ def _bare(weights):
 
 @functools.cache
 def _shares(n: int):
-    """Of ``n`` samples, at shares f of the way: rows (1, f) and f * f, the weight of each sample on the whole way, and on its side of each edge.
+    """Of ``n`` samples, at shares f of the way: f and f * f, the weight of each sample on the whole way, and on its side of each edge.
 
     With ``rise`` over a ray and ``s = sqrt(2 / (wavelength * length))``, v is ``rise * s * weight``; a sample that may not count weighs zero.
     """
@@ -149,12 +149,14 @@ def _shares(n: int):
         whole = _bare(1.0 / np.sqrt(f * (1.0 - f)))
         left = np.where(inner & (i < p), _bare(np.sqrt(p / (i * (p - i)))), 0.0)
         right = np.where(inner & (i > p), _bare(np.sqrt((1.0 - p) / ((i - p) * (1.0 - i)))), 0.0)
-    return f, np.stack([np.ones(n), f]), f * f, whole, left, right
+    return f, f * f, whole, left, right
 
 
-def _over(bent, line, a, b):
+def _over(bent, f, a, b):
     """How far bent profiles rise above lines of ``a + b * f``."""
-    rise = np.array([a, b]).T @ line
+    # No matrix product: its library would start threads beside those of the tasks.
+    rise = np.multiply.outer(b, f)
+    rise += a[:, None]
     return np.subtract(bent, rise, out=rise)
 
 
@@ -169,7 +171,7 @@ def edges(elev, length, z_tx, z_rx, freq_mhz, k, most=None):
 
     A profile is bent by the earth's curve once, after which every ray is a straight line ``a + b * f``. Sides of edges above ``most`` are not looked at.
     """
-    f, line, square, whole, left, right = _shares(elev.shape[1])
+    f, square, whole, left, right = _shares(elev.shape[1])
     curve = length * length / (2.0 * k * EARTH_M)
     with np.errstate(divide="ignore", invalid="ignore"):
         scale = np.sqrt(2.0 * freq_mhz * 1e6 / (LIGHT_M_S * length))
@@ -177,7 +179,7 @@ def edges(elev, length, z_tx, z_rx, freq_mhz, k, most=None):
     np.subtract(elev, bent, out=bent)
     if not np.isfinite(bent.sum()):
         bent[~np.isfinite(bent)] = -1e30  # unknown ground is no edge
-    v = _over(bent, line, z_tx, z_rx - z_tx - curve)
+    v = _over(bent, f, z_tx, z_rx - z_tx - curve)
     v *= whole
     at, top = _top(v)
     blocked = (top > 0.0) & np.isfinite(scale)
@@ -191,7 +193,7 @@ def edges(elev, length, z_tx, z_rx, freq_mhz, k, most=None):
         zp = bent[np.arange(len(at)), at] + curve * p * p
         slope = (z_rx - zp) / (1.0 - p)
         for o, a, b, weight in ((out[1], z_tx, (zp - z_tx) / p - curve * p, left), (out[2], zp - slope * p + curve * p, slope - curve * (1.0 + p), right)):
-            v = _over(bent, line, a, b)
+            v = _over(bent, f, a, b)
             v *= weight[at]
             o[go] = np.maximum(_top(v)[1], 0.0) * scale
     return out
@@ -215,7 +217,7 @@ def _clutter_table():
     return table
 
 
-def link_budget(terrain, tx_x, tx_y, tx_h, rx_x, rx_y, radio: Radio = Radio(), floor_dbm: float = -np.inf, step: int = 250) -> dict[str, np.ndarray]:
+def link_budget(terrain, tx_x, tx_y, tx_h, rx_x, rx_y, radio: Radio = Radio(), floor_dbm: float = -np.inf, step: int = 400) -> dict[str, np.ndarray]:
     """Signal and losses of links, by slices of ``step`` profiles, which stay in cache. Below ``floor_dbm`` the losses of a link may lack some, so that its signal is only known to be below."""
     tx_x, tx_y, tx_h, rx_x, rx_y = (np.asarray(a, float) for a in (tx_x, tx_y, tx_h, rx_x, rx_y))
     length = np.hypot(rx_x - tx_x, rx_y - tx_y)
