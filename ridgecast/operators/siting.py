@@ -149,7 +149,7 @@ def exact(cover: dict, demand: dict, sites: int, nodes: int = 200_000) -> tuple[
 
 def exact_sites(cover: DataFrame, gaps: DataFrame, sites: int, most_pairs: int = 2_000_000, nodes: int = 200_000) -> DataFrame:
     """(cand_id, total_demand, proven): the exact solver works on the driver, so the cover's size is checked first."""
-    pairs = cover.select("cand_id", "gap_id").distinct()
+    pairs = cover.select("cand_id", "gap_id").distinct().cache()
     n = pairs.count()
     if n > most_pairs:
         raise ValueError(f"{n} cover pairs exceed {most_pairs}: prune the candidates first")
@@ -157,6 +157,7 @@ def exact_sites(cover: DataFrame, gaps: DataFrame, sites: int, most_pairs: int =
     for r in pairs.join(gaps.select("gap_id"), "gap_id", "left_semi").toLocalIterator():
         sets.setdefault(r["cand_id"], []).append(r["gap_id"])
     demand = {r["gap_id"]: float(r["demand"]) for r in gaps.join(pairs.select("gap_id").distinct(), "gap_id", "left_semi").select("gap_id", "demand").toLocalIterator()}
+    pairs.unpersist()
     chosen, value, proven = exact(sets, demand, sites, nodes)
     kind = dict(cover.dtypes)["cand_id"]
     return cover.sparkSession.createDataFrame([(c, value, proven) for c in chosen], f"cand_id {kind}, total_demand double, proven boolean")

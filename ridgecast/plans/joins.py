@@ -70,7 +70,8 @@ def require_complete(df: DataFrame, column: str) -> DataFrame:
 @query(f"with {o.COVERAGE}, {r.ZONAL} select cell_id, round(elev_mean_m, 4) as elev_mean_m, round(tree_frac, 6) as tree_frac, best_asr_id, coalesce(t.height_agl_m, 45e0) as server_height_m from coverage c left join feats using (county) left join towers t on t.asr_id = c.best_asr_id where best_asr_id is not null and elev_mean_m is not null")
 def coverage_features(spark, d):
     """Coverage with its zone's features, which none may lack, and the height of the serving tower."""
-    c = r.coverage_of(spark, d).where("best_asr_id is not null").join(r.zonal_of(spark, d), "county", "left")
+    # The check reads the table once more.
+    c = r.coverage_of(spark, d).where("best_asr_id is not null").join(r.zonal_of(spark, d), "county", "left").cache()
     t = frame(spark, d, "towers").select(F.col("asr_id").alias("best_asr_id"), F.coalesce("height_agl_m", F.lit(45.0)).alias("server_height_m"))
     return require_complete(c, "elev_mean_m").join(t, "best_asr_id", "left").select("cell_id", F.round("elev_mean_m", 4).alias("elev_mean_m"), F.round("tree_frac", 6).alias("tree_frac"), "best_asr_id", "server_height_m")
 

@@ -365,7 +365,8 @@ def terrain_residuals(spark, d):
 
 
 def gaps_of(spark, d) -> DataFrame:
-    return coverage_of(spark, d).where("not is_covered").select("cell_id", "x", "y", "demand")
+    """Receivers without service; they are read several times, the kernel's links behind them are computed once."""
+    return coverage_of(spark, d).where("not is_covered").select("cell_id", "x", "y", "demand").cache()
 
 
 GAPS = o.COVERAGE + ", gaps as (select cell_id, x, y, demand from coverage where not is_covered)"
@@ -476,7 +477,7 @@ def tourism_sensitivity(spark, d):
 @query()
 def exact_sites(spark, d):
     """The configured number of sites over the kernel's cover, and whether they are proven best; branch and bound has no SQL form."""
-    gaps = gaps_of(spark, d).select(F.col("cell_id").alias("gap_id"), "x", "y", "demand").cache()
+    gaps = gaps_of(spark, d).select(F.col("cell_id").alias("gap_id"), "x", "y", "demand")
     cover = cover_of(spark, d, gaps.withColumnRenamed("gap_id", "cell_id"))
     return siting.exact_sites(cover, gaps, SITES, nodes=100).agg(F.coalesce(F.max("total_demand"), F.lit(0.0)).alias("total_demand"), F.coalesce(F.bool_and("proven"), F.lit(True)).alias("proven"), F.count("*").alias("sites"))
 

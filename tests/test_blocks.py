@@ -103,3 +103,11 @@ def test_best_link_of_packed_rows(points):
 def test_no_row_per_pair_is_exchanged(spark, sf, name):
     plan = catalog.queries()[name](spark, sf)._jdf.queryExecution().analyzed().toString()
     assert "r_no" in plan and "tx_x" not in plan
+
+
+@pytest.mark.parametrize("name", ["naive_demand_topk", "exact_sites", "cover_pairs", "candidate_kinds", "colocation_candidates", "greenfield_candidates"])
+def test_gaps_are_computed_once(spark, sf, name, monkeypatch):
+    made = []
+    monkeypatch.setattr(catalog.relational, "coverage_of", lambda *a, f=catalog.relational.coverage_of: made.append(f(*a)) or made[-1])
+    catalog.queries()[name](spark, sf)
+    assert len(made) == 1 and made[0].where("not is_covered").select("cell_id", "x", "y", "demand").storageLevel.useMemory
