@@ -1,13 +1,12 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-Training takes the whole texts of a bounded sample of trusted labelled documents (``sample`` ids of smallest hash). Trigrams are counted
-in Spark; continuation counts, context totals and discounts D1, D2, D3+ per order follow by aggregations and joins on
+Training takes the whole texts of all trusted labelled documents. Trigrams are counted in Spark; continuation counts, context totals and discounts D1, D2, D3+ per order follow by aggregations and joins on
 n-gram keys, which are exact. Words seen once in training fall into classes by shape, each spread evenly over its words, so unseen words cost what
 a rare word costs.
 
 A model's cost of a word is ``c1(w) + r1(b)``, corrected by what the bigram (b, w), the context (a, b) and the trigram (a, b, w) add where
 the model has them. So a text's cost is a sum of one weight per n-gram occurrence, and scoring is a sharded count join: a
-document's n-grams are sent to the shard that holds their weights, and sums per document come back. Words (bounded by the sample) and
+document's n-grams are sent to the shard that holds their weights, and sums per document come back. Words (the ``MOST_WORDS`` most frequent that occur twice) and
 the ``head`` most frequent n-grams, which would make hot shards, are looked up where the text is; n-grams that a bit table of the model's
 keys does not have are never sent. Shards have a fixed number of n-grams and are repeated for groups of chunks, so blobs grow in
 proportion to the texts.
@@ -49,6 +48,8 @@ MOST_WORDS = (1 << BITS) - 32
 GROUP_BYTES = 64 << 20
 #: N-grams of a shard, and the most rejected rows that are broadcast; beyond that texts are joined by exchange.
 SHARD_LOG2 = 18
+#: Bits of the table that tells which n-grams are worth asking for: 16 for each n-gram, 2 ** 27 at most. A fuller table lets more through, to no other result.
+MOST_BITS_LOG2 = 27
 BROADCAST_ROWS = 1_000_000
 
 
@@ -167,38 +168,37 @@ def shard_of(key: np.ndarray, shards: int) -> np.ndarray:
     return (mix(key.view(np.uint64) ^ U(0x632BE59BD9B4E019)) % U(shards)).astype(np.int64)
 
 
-def trusted_ids(labels: DataFrame, sample: int) -> tuple[DataFrame, DataFrame]:
-    """(ids that thresholds are taken from, at most ``sample`` ids to train on, a local table): quality 1 and toxic not 1."""
+def trusted_ids(labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(ids that thresholds are taken from, ids to train on): quality 1 and toxic not 1."""
     ok = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.coalesce("quality", F.lit(0))).alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t")).where("q = 1 and t = 0").select(F.col("doc_id").cast("long").alias("doc_id"))
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(10))
-    chosen = ok.where(fold >= 3).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()
-    return ok.where(fold.isin(1, 2)), labels.sparkSession.createDataFrame([(r["doc_id"],) for r in chosen], "doc_id long")
+    return ok.where(fold.isin(1, 2)), ok.where(fold >= 3)
 
 
 def train(docs: DataFrame, ids: DataFrame, head: int) -> tuple[Model, DataFrame] | None:
-    """(model, table (key, weight) of the n-grams in shards) of the texts of ``ids`` (a bounded list, hence broadcast); None if they have fewer than 100 words."""
+    """(model, table (key, weight) of the n-grams in shards) of the texts of ``ids``; None if they have fewer than 100 words."""
     sc = docs.sparkSession.sparkContext
-    text = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id", "left_semi").select("text")
+    text = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).join(ids, "doc_id", "left_semi").select("text")
     text = materialize(text, "trusted")
     vocab = text.mapInArrow(_vocabulary, "h long, s long, n long").groupBy("h").agg(F.first("s").alias("s"), F.sum("n").alias("n"))
-    # A row per word of the sample. Words seen once are not kept: only their number per shape is.
-    vocab = vocab.toArrow()
-    h, shapes, n = (vocab[x].to_numpy() for x in ("h", "s", "n"))
-    if n.sum() < 100:
+    vocab = materialize(vocab, "vocabulary")
+    # Of words seen once, and of those beyond the most that units have room for, only their number per shape is kept.
+    by_shape = vocab.groupBy("s").agg(F.count("*").alias("words"), F.sum("n").alias("times")).collect()
+    if sum(r["times"] for r in by_shape) < 100:
         return None
-    often = np.flatnonzero(n > 1)
-    often = often[np.lexsort((h[often], -n[often]))[:MOST_WORDS]]
-    known = np.sort(h[often].view("uint64"))
-    rare = np.ones(len(h), bool)
-    rare[often] = False
-    spread = np.log10(np.bincount(shapes[rare], minlength=SHAPES) + 1.0)
+    often = vocab.where("n > 1").orderBy(F.desc("n"), "h").limit(MOST_WORDS).select("h", "s").toArrow()
+    known = np.sort(often["h"].to_numpy().view("uint64"))
+    rare = -np.bincount(often["s"].to_numpy(), minlength=SHAPES)
+    for r in by_shape:
+        rare[r["s"]] += r["words"]
+    spread = np.log10(rare + 1.0)
     units, bos = len(known) + SHAPES + 1, len(known) + SHAPES
     shared = sc.broadcast(known)
     tri = materialize(text.mapInArrow(_trigrams(shared), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")), "trigrams")
     # What a bigram or a word was seen after, once each: continuation counts.
     bi = materialize(tri.groupBy(F.col("k").bitwiseAND(F.lit(PAIR)).alias("k")).agg(F.count("*").alias("n"), F.sum("n").alias("times")), "bigrams")
 
-    # A row per word of the sample. What discounts free goes to all words and one unseen one alike.
+    # A row per unit. What discounts free goes to all words and one unseen one alike.
     one = _discounted(bi.groupBy(F.col("k").bitwiseAND(F.lit(UNIT)).alias("w")).agg(F.count("*").alias("n"))).toArrow()
     n1, d1 = one["n"].to_numpy().astype(float), one["d"].to_numpy()
     unseen = d1.sum() / n1.sum() / (len(n1) + 1)
@@ -226,9 +226,9 @@ def train(docs: DataFrame, ids: DataFrame, head: int) -> tuple[Model, DataFrame]
     if top.num_rows:
         edge, edge_key = top["times"][-1].as_py(), top["key"][-1].as_py()
         table = table.where((F.col("times") < edge) | ((F.col("times") == edge) & (F.col("key") > edge_key)))
-    far = table.select("key").toArrow()["key"].to_numpy()
+    far = table.count()
     head_key, head_weight = with_last(*(top[x].to_numpy() for x in ("key", "weight", "next")))
-    model = Model(known, cost, rest, -math.log10(start["rest3"]) if start else 0.0, head_key, head_weight, bit_table(far), max(1, len(far) >> SHARD_LOG2))
+    model = Model(known, cost, rest, -math.log10(start["rest3"]) if start else 0.0, head_key, head_weight, bit_table(table.select("key")), max(1, far >> SHARD_LOG2))
     return model, table.select("key", "weight", "next")
 
 
@@ -254,15 +254,28 @@ def with_last(key: np.ndarray, weight: np.ndarray, after: np.ndarray) -> tuple[n
     return key[order], weight[order]
 
 
-def bit_table(keys: np.ndarray) -> np.ndarray:
-    """Two bits for each key among 16 or more; keys are as many as the sample has n-grams."""
-    pair = keys[keys >= INNER]
-    x = mix(np.concatenate([keys, pair & PAIR | LAST]).view(np.uint64))
-    log2 = max(10, math.ceil(math.log2(16 * max(1, len(x)))))
+def bit_table(table: DataFrame) -> np.ndarray:
+    """Two bits for each key of ``table`` (key), both of a bigram's, among 16 or more as long as ``MOST_BITS_LOG2`` allows; no more than the table's own words reach the driver."""
+    n = table.select(F.count("*") + F.count_if(F.col("key") >= INNER)).first()[0]
+    log2 = min(MOST_BITS_LOG2, max(10, math.ceil(math.log2(16 * max(1, n)))))
     mask = U((1 << log2) - 1)
-    bits = np.zeros(1 << log2, bool)
-    bits[(x & mask).astype(np.int64)] = bits[(x >> U(32) & mask).astype(np.int64)] = True
-    return np.packbits(bits, bitorder="little").view("<u8")
+
+    def run(batches):
+        for batch in batches:
+            key = batch.column("key").to_numpy()
+            if not len(key):
+                continue
+            x = mix(np.concatenate([key, key[key >= INNER] & PAIR | LAST]).view(np.uint64))
+            at = np.sort(np.concatenate([x & mask, x >> U(32) & mask]))
+            word = at >> U(6)
+            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            bits = np.bitwise_or.reduceat(U(1) << (at & U(63)), first)
+            yield pa.RecordBatch.from_arrays([pa.array(word[first].astype(np.int64)), pa.array(bits.view(np.int64))], names=["word", "bits"])
+
+    got = table.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bits = np.zeros((1 << log2) >> 6, np.uint64)
+    bits[got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
+    return bits
 
 
 ASKED = "part int, kind int, doc_id array<long>, content array<long>, lang array<string>, n array<long>, cost array<double>, size array<int>, keys binary, weights binary"
@@ -286,7 +299,7 @@ def _ask(shared, groups: int):
         m = shared.value
         for batch in batches:
             ids, contents, langs = batch.column("doc_id"), batch.column("content"), batch.column("lang")
-            for c in chunks(batch.column("text")):
+            for c in chunks(batch.column("text"), 1 << 20):
                 w, u = _units(c, m.known)
                 b, two, three = keys(w, u, len(m.known) + SHAPES)
                 cost = m.cost[u] + m.rest[b]
@@ -391,9 +404,9 @@ def content_of() -> Column:
     return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")), F.col("lang").cast("string"))
 
 
-def quality(docs: DataFrame, labels: DataFrame, sample: int = 3000, head: int = 1 << 17, q: float = 0.995, spread: float = 150.0, least: int = 200) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, head: int = 1 << 17, q: float = 0.995, spread: float = 150.0, least: int = 200) -> DataFrame:
     """Per row of ``docs``: doc_id, lang, content, n_words, score, perplexity, threshold, keep."""
-    fold, chosen = trusted_ids(labels, sample)
+    fold, chosen = trusted_ids(labels)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), content_of().alias("content"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     trained = train(docs.withColumn("doc_id", F.col("doc_id").cast("long")), chosen, head)
     out = ["doc_id", "lang", "content", "n_words", "score", F.pow(F.lit(10.0), F.col("score")).alias("perplexity"), "threshold", F.coalesce(F.col("score") <= F.col("threshold"), F.lit(True)).alias("keep")]

@@ -309,6 +309,29 @@ def test_costs_equal_a_plain_kneser_ney(spark, docs, rows, head, monkeypatch):
     assert [g[3] for g in got] == pytest.approx([w[3] for w in want], abs=2e-6)
 
 
+def test_all_trusted_documents_are_trained_on(spark):
+    """More than any bound on a sample; what the driver and each task hold is bounded by words and bits instead."""
+    labels = spark.range(9000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    _, ids = quality.trusted_ids(labels)
+    assert {r.doc_id for r in ids.collect()} == {i for i in range(9000) if fold(i) >= 3}
+    keys = [(k,) for k in range(5000)] + [(quality.INNER | k,) for k in range(5000)]
+    table = spark.createDataFrame(keys, "key long").repartition(3)
+    model = quality.Model(None, None, None, 0.0, None, None, quality.bit_table(table), 1)
+    some = np.array([k for (k,) in keys] + [quality.LAST | k for k in range(5000)])
+    assert model.has(some).all() and model.has(some + (1 << 30)).mean() < 0.05
+
+
+def test_a_full_bit_table_changes_no_cost(spark, docs, rows, monkeypatch):
+    ids = spark.createDataFrame([(d,) for d, _ in rows if d in (8, 9, 14, 17, 25) or (d or 0) > 120], "doc_id long")
+    texts = docs.select("doc_id", quality.content_of().alias("content"), "lang", "text")
+    found = []
+    for log2 in (27, 6):
+        monkeypatch.setattr(quality, "MOST_BITS_LOG2", log2)
+        model, table = quality.train(docs.dropDuplicates(["doc_id"]), ids, 50)
+        found.append(sorted((str(r.doc_id), r.content, r.n_words, r.nll) for r in quality.perplexities(texts, model, table).collect()))
+    assert len(model.bits) == 1 and found[0] == found[1]
+
+
 def test_rejected_rows_alone_go(spark, docs, rows):
     """Rows of one id, or none, with different texts are judged each on its own."""
     text = dict((d, t) for d, t in rows if d is not None)
