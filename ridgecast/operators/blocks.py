@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridgecast.config import Radio
-from ridgecast.operators import kernel
+from ridgecast.operators import kernel, native
 
 RECEIVERS, TRANSMITTERS = 512, 256
 
@@ -127,11 +127,29 @@ def _sides(towers, receivers, tx, rx, *more):
     return towers.select(tx, "x", "y", F.col("tx_height_m").cast("double").alias("tx_height_m")), receivers.select(rx, "x", "y", *more)
 
 
+def _native(towers, receivers, terrain, tx, rx, radio, floor, schema, mode, *more, weight="", prefix=""):
+    """Links inside the JVM; what depends on the receiver alone is computed before."""
+    shared = kernel.shared(towers.sparkSession, terrain)
+    t, r = _sides(towers, receivers, tx, rx, *more)
+    names, kinds = [*r.columns, "__clutter"], ", ".join(f"{c} {k}" for c, k in r.dtypes)
+
+    def run(batches):
+        for b in batches:
+            x, y = b.column("x").to_numpy(), b.column("y").to_numpy()
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(kernel.clutter(shared.value, x, y, radio))], names=names)
+
+    r = r.where("x is not null and y is not null").mapInArrow(run, kinds + ", __clutter double")
+    return native.run(meeting(t, r, tx, rx, radio.max_link_m), schema, mode, terrain, tx, rx, radio, floor, weight, prefix)
+
+
 def links(towers: DataFrame, receivers: DataFrame, terrain, tx: str, rx: str, radio: Radio = Radio(), floor_dbm: float | None = None) -> DataFrame:
     """Links of towers (tx, x, y, tx_height_m) and receivers (rx, x, y) within range: ids, signal and losses, at ``floor_dbm`` or more."""
     floor = radio.keep_floor_dbm if floor_dbm is None else floor_dbm
     kinds = dict(towers.dtypes)[tx], dict(receivers.dtypes)[rx]
     names = ["rsrp_dbm", "path_loss_db", "diffraction_db", "clutter_db", "distance_m", "is_los"]
+    schema = f"{tx} {kinds[0]}, {rx} {kinds[1]}, rsrp_dbm double, path_loss_db double, diffraction_db double, clutter_db double, distance_m double, is_los boolean"
+    if native.knows(terrain):
+        return _native(towers, receivers, terrain, tx, rx, radio, floor, schema, native.LINKS)
     shared = kernel.shared(towers.sparkSession, terrain)
 
     def run(batches):
@@ -139,7 +157,6 @@ def links(towers: DataFrame, receivers: DataFrame, terrain, tx: str, rx: str, ra
             got = u.links(shared.value, radio, floor)
             yield from _batches([u.t_id.take(pa.array(u.t)), u.r_id.take(pa.array(u.r)), *(pa.array(got[n]) for n in names)], [tx, rx, *names])
 
-    schema = f"{tx} {kinds[0]}, {rx} {kinds[1]}, rsrp_dbm double, path_loss_db double, diffraction_db double, clutter_db double, distance_m double, is_los boolean"
     return meeting(*_sides(towers, receivers, tx, rx), tx, rx, radio.max_link_m).mapInArrow(run, schema)
 
 
@@ -193,7 +210,7 @@ def per_receiver(towers: DataFrame, receivers: DataFrame, terrain, tx: str, rx:
     """Every receiver with a link: its strongest one (ties: smallest transmitter) and its counts, its weakest signal, the strongest of transmitters without ``new_prefix``."""
     kinds = dict(towers.dtypes)[tx], dict(receivers.dtypes)[rx]
     names = [rx, "best_rsrp_dbm", f"best_{tx}", "best_is_los", "best_distance_m", "n_links", "n_servers", "low_rsrp_dbm", "old_rsrp_dbm"]
-    shared = kernel.shared(towers.sparkSession, terrain)
+    schema = f"{rx} {kinds[1]}, best_rsrp_dbm double, best_{tx} {kinds[0]}, best_is_los boolean, best_distance_m double, n_links long, n_servers long, low_rsrp_dbm double, old_rsrp_dbm double"
 
     def run(batches):
         best = None
@@ -206,8 +223,11 @@ def per_receiver(towers: DataFrame, receivers: DataFrame, terrain, tx: str, rx:
         if best is not None:
             yield best.batch(names, kind)
 
-    schema = f"{rx} {kinds[1]}, best_rsrp_dbm double, best_{tx} {kinds[0]}, best_is_los boolean, best_distance_m double, n_links long, n_servers long, low_rsrp_dbm double, old_rsrp_dbm double"
-    got = meeting(*_sides(towers, receivers, tx, rx), tx, rx, radio.max_link_m).mapInArrow(run, schema)
+    if native.knows(terrain):
+        got = _native(towers, receivers, terrain, tx, rx, radio, radio.keep_floor_dbm, schema, native.RECEIVERS, prefix=new_prefix)
+    else:
+        shared = kernel.shared(towers.sparkSession, terrain)
+        got = meeting(*_sides(towers, receivers, tx, rx), tx, rx, radio.max_link_m).mapInArrow(run, schema)
     # A receiver's id may repeat.
     order = F.struct(-F.col("best_rsrp_dbm"), F.col(f"best_{tx}"))
     most = {c: F.max(c).alias(c) for c in ("best_rsrp_dbm", "old_rsrp_dbm")}
@@ -218,7 +238,7 @@ def per_transmitter(towers: DataFrame, receivers: DataFrame, terrain, tx: str, r
     """Every transmitter with a link of ``floor_dbm`` or more: n, n_served and the sum of ``weight`` over receivers that it serves."""
     floor = radio.keep_floor_dbm if floor_dbm is None else floor_dbm
     kind = dict(towers.dtypes)[tx]
-    shared = kernel.shared(towers.sparkSession, terrain)
+    schema = f"{tx} {kind}, n long, n_served long, served double"
 
     def run(batches):
         for u in _units(batches, tx, rx, radio.max_link_m):
@@ -229,5 +249,10 @@ def per_transmitter(towers: DataFrame, receivers: DataFrame, terrain, tx: str, r
             w = np.bincount(u.t[served], np.nan_to_num(w[served]), minlength=k).astype(float)  # whole numbers, if none is served
             yield pa.RecordBatch.from_arrays([u.t_id.take(pa.array(on)), pa.array(n[on]), pa.array(np.bincount(u.t[served], minlength=k)[on]), pa.array(w[on])], names=[tx, "n", "n_served", "served"])
 
-    got = meeting(*_sides(towers, receivers, tx, rx, F.col(weight).cast("double").alias(weight)), tx, rx, radio.max_link_m)
-    return got.mapInArrow(run, f"{tx} {kind}, n long, n_served long, served double").groupBy(tx).agg(*[F.sum(c).alias(c) for c in ("n", "n_served", "served")])
+    w = F.col(weight).cast("double").alias(weight)
+    if native.knows(terrain):
+        got = _native(towers, receivers, terrain, tx, rx, radio, floor, schema, native.TRANSMITTERS, w, weight=weight)
+    else:
+        shared = kernel.shared(towers.sparkSession, terrain)
+        got = meeting(*_sides(towers, receivers, tx, rx, w), tx, rx, radio.max_link_m).mapInArrow(run, schema)
+    return got.groupBy(tx).agg(*[F.sum(c).alias(c) for c in ("n", "n_served", "served")])

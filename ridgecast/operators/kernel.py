@@ -217,16 +217,22 @@ def _clutter_table():
     return table
 
 
+def clutter(terrain, x, y, radio: Radio = Radio()) -> np.ndarray:
+    """What land cover or buildings at receivers take, in dB."""
+    return np.maximum(_clutter_table()[terrain.land_class(x, y)], building_loss(terrain.building(x, y), radio))
+
+
 def link_budget(terrain, tx_x, tx_y, tx_h, rx_x, rx_y, radio: Radio = Radio(), floor_dbm: float = -np.inf, step: int = 400) -> dict[str, np.ndarray]:
     """Signal and losses of links, by slices of ``step`` profiles, which stay in cache. Below ``floor_dbm`` the losses of a link may lack some, so that its signal is only known to be below."""
     tx_x, tx_y, tx_h, rx_x, rx_y = (np.asarray(a, float) for a in (tx_x, tx_y, tx_h, rx_x, rx_y))
-    length = np.hypot(rx_x - tx_x, rx_y - tx_y)
-    clutter = np.maximum(_clutter_table()[terrain.land_class(rx_x, rx_y)], building_loss(terrain.building(rx_x, rx_y), radio))
+    dx, dy = rx_x - tx_x, rx_y - tx_y
+    length = np.sqrt(dx * dx + dy * dy)
+    clutter_db = clutter(terrain, rx_x, rx_y, radio)
     free = fspl(length, radio.freq_mhz)
     bare = radio.eirp_dbm - 10 * np.log10(radio.subcarriers) - free
     v = np.zeros((3, len(length)))
     # Every loss found only lowers a signal: profiles, and the sides of an edge, are for links that are not below the floor already.
-    spare = bare - clutter - radio.shadow_margin_db - floor_dbm
+    spare = bare - clutter_db - radio.shadow_margin_db - floor_dbm
     live = np.flatnonzero(~(spare < 0.0))
     with np.errstate(over="ignore"):
         most = np.sinh((spare + 1e-6 - 6.9) * (math.log(10.0) / 20.0)) + 0.1
@@ -236,10 +242,10 @@ def link_budget(terrain, tx_x, tx_y, tx_h, rx_x, rx_y, radio: Radio = Radio(), f
         v[:, on] = edges(elev, length[on], elev[:, 0] + tx_h[on], elev[:, -1] + radio.rx_height_m, radio.freq_mhz, radio.k_factor, most[on])
     loss = edge_loss(v[0]) + (edge_loss(v[1]) + edge_loss(v[2]))
     return {
-        "rsrp_dbm": bare - loss - clutter - radio.shadow_margin_db,
-        "path_loss_db": free + loss + clutter,
+        "rsrp_dbm": bare - loss - clutter_db - radio.shadow_margin_db,
+        "path_loss_db": free + loss + clutter_db,
         "diffraction_db": loss,
-        "clutter_db": clutter,
+        "clutter_db": clutter_db,
         "distance_m": length,
         "is_los": v[0] <= 0.0,
     }
