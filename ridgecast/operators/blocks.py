@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridgecast.config import Radio
-from ridgecast.operators import kernel, native
+from ridgecast.operators import kernel, native, publish
 
 RECEIVERS, TRANSMITTERS = 512, 256
 
@@ -55,17 +55,20 @@ def packed(points: DataFrame, key: str, radius: float, size: int, prefix: str) -
     return p.mapInArrow(run, schema)
 
 
-def meeting(towers: DataFrame, receivers: DataFrame, tx: str, rx: str, radius: float) -> DataFrame:
-    """Packed transmitters (t_...) and receivers (r_...) that may have pairs within ``radius``; rows of the same receivers follow each other in one partition."""
+def meeting(towers: DataFrame, receivers: DataFrame, tx: str, rx: str, radius: float, by_transmitters: bool = False) -> DataFrame:
+    """Packed transmitters (t_...) and receivers (r_...) that may have pairs within ``radius``; rows of the same receivers follow each other in one partition, or those of the same transmitters."""
     near = F.array(*[F.lit(k).cast("long") for k in (-1, 0, 1)])
-    t = packed(towers, tx, radius, TRANSMITTERS, "t_").withColumn("__dx", F.explode(near)).withColumn("__dy", F.explode(near))
+    t = packed(towers, tx, radius, TRANSMITTERS, "t_").withColumns({"t_gx": F.col("gx"), "t_gy": F.col("gy")}).withColumn("__dx", F.explode(near)).withColumn("__dy", F.explode(near))
     t = t.withColumns({"gx": F.col("gx") + F.col("__dx"), "gy": F.col("gy") + F.col("__dy")}).drop("__dx", "__dy")
     r = packed(receivers, rx, radius, RECEIVERS, "r_")
     gap = lambda a: F.greatest(F.col(f"t_{a}0") - F.col(f"r_{a}1"), F.col(f"r_{a}0") - F.col(f"t_{a}1"), F.lit(0.0))
     met = t.join(r, ["gx", "gy"]).where(gap("x") * gap("x") + gap("y") * gap("y") <= radius * radius * (1 + 1e-9))
     spark = towers.sparkSession
     width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    drop = [c for c in met.columns if c[2:] in ("x0", "x1", "y0", "y1")] + ["t_no"]
+    drop = [c for c in met.columns if c[2:] in ("x0", "x1", "y0", "y1")]
+    if by_transmitters:
+        return met.drop(*drop).repartition(width, "t_gx", "t_gy", "t_no").sortWithinPartitions("t_gx", "t_gy", "t_no", "gx", "gy", "r_no")
+    drop += ["t_gx", "t_gy", "t_no"]
     return met.drop(*drop).repartition(width, "gx", "gy", "r_no").sortWithinPartitions("gx", "gy", "r_no", F.col("t_" + tx)[0])
 
 
@@ -113,21 +116,19 @@ def _batches(columns: list, names: list[str]):
 
 def pairs(towers: DataFrame, receivers: DataFrame, tx: str, rx: str, radius: float) -> DataFrame:
     """(tx, rx, distance_m) of all within ``radius`` (inclusive)."""
-    kinds = dict(towers.dtypes)[tx], dict(receivers.dtypes)[rx]
-
-    def run(batches):
-        for u in _units(batches, tx, rx, radius):
-            dx, dy = u.rx[u.r] - u.tx[u.t], u.ry[u.r] - u.ty[u.t]
-            yield from _batches([u.t_id.take(pa.array(u.t)), u.r_id.take(pa.array(u.r)), pa.array(np.sqrt(dx * dx + dy * dy))], [tx, rx, "distance_m"])
-
-    return meeting(towers.select(tx, "x", "y"), receivers.select(rx, "x", "y"), tx, rx, radius).mapInArrow(run, f"{tx} {kinds[0]}, {rx} {kinds[1]}, distance_m double")
+    met = meeting(towers.select(tx, "x", "y"), receivers.select(rx, "x", "y"), tx, rx, radius)
+    # Pairs exist only between two steps of generated code.
+    met = met.select("*", F.posexplode("r_x").alias("__r", "__rx")).select("*", F.posexplode("t_x").alias("__t", "__tx"))
+    dx, dy = F.col("__rx") - F.col("__tx"), F.get("r_y", F.col("__r")) - F.get("t_y", F.col("__t"))
+    met = met.where(dx * dx + dy * dy <= radius * radius)
+    return met.select(F.get("t_" + tx, F.col("__t")).alias(tx), F.get("r_" + rx, F.col("__r")).alias(rx), F.sqrt(dx * dx + dy * dy).alias("distance_m"))
 
 
 def _sides(towers, receivers, tx, rx, *more):
     return towers.select(tx, "x", "y", F.col("tx_height_m").cast("double").alias("tx_height_m")), receivers.select(rx, "x", "y", *more)
 
 
-def _native(towers, receivers, terrain, tx, rx, radio, floor, schema, mode, *more, weight="", prefix=""):
+def _native(towers, receivers, terrain, tx, rx, radio, floor, schema, mode, *more, weight="", prefix="", by_transmitters=False):
     """Links inside the JVM; what depends on the receiver alone is computed before."""
     shared = kernel.shared(towers.sparkSession, terrain)
     t, r = _sides(towers, receivers, tx, rx, *more)
@@ -139,7 +140,7 @@ def _native(towers, receivers, terrain, tx, rx, radio, floor, schema, mode, *mor
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(kernel.clutter(shared.value, x, y, radio))], names=names)
 
     r = r.where("x is not null and y is not null").mapInArrow(run, kinds + ", __clutter double")
-    return native.run(meeting(t, r, tx, rx, radio.max_link_m), schema, mode, terrain, tx, rx, radio, floor, weight, prefix)
+    return native.run(meeting(t, r, tx, rx, radio.max_link_m, by_transmitters), schema, mode, terrain, tx, rx, radio, floor, weight, prefix)
 
 
 def links(towers: DataFrame, receivers: DataFrame, terrain, tx: str, rx: str, radio: Radio = Radio(), floor_dbm: float | None = None) -> DataFrame:
@@ -256,3 +257,15 @@ def per_transmitter(towers: DataFrame, receivers: DataFrame, terrain, tx: str, r
         shared = kernel.shared(towers.sparkSession, terrain)
         got = meeting(*_sides(towers, receivers, tx, rx, w), tx, rx, radio.max_link_m).mapInArrow(run, schema)
     return got.groupBy(tx).agg(*[F.sum(c).alias(c) for c in ("n", "n_served", "served")])
+
+
+def footprints(towers: DataFrame, receivers: DataFrame, terrain, tx: str, rx: str, radio: Radio = Radio(), floor_dbm: float | None = None) -> DataFrame:
+    """(tx, n, blob): each transmitter's records at ``floor_dbm`` or more, as ``publish.footprint_blobs`` has them; links of a transmitter meet in one task, unpacked from no exchange."""
+    floor = radio.keep_floor_dbm if floor_dbm is None else floor_dbm
+    kind = dict(towers.dtypes)[tx]
+    # An id that repeats would be two rows of one transmitter.
+    once = towers.groupBy(tx).agg(F.count("*").alias("n")).where(f"n > 1 or {tx} is null").isEmpty()
+    if not native.knows(terrain) or not once or dict(receivers.dtypes)[rx] not in ("bigint", "int"):
+        return publish.footprint_blobs(links(towers, receivers, terrain, tx, rx, radio, floor), tx, rx)
+    whole = receivers.where(F.col(rx).isNotNull())
+    return _native(towers, whole, terrain, tx, rx, radio, floor, f"{tx} {kind}, n long, blob binary", native.FOOTPRINTS, by_transmitters=True)

@@ -26,7 +26,7 @@ import org.apache.spark.sql.RowFactory;
 
 public class Links implements org.apache.spark.api.java.function.MapPartitionsFunction {
     private static final long serialVersionUID = 1L;
-    public static final int LINKS = 0, RECEIVERS = 1, TRANSMITTERS = 2;
+    public static final int LINKS = 0, RECEIVERS = 1, TRANSMITTERS = 2, FOOTPRINTS = 3;
     private final int mode, n;
     private final String tx, rx, weight, prefix;
     /* frequency, eirp, subcarriers, shadow margin, receiver height, earth's factor, range, floor, threshold, earth, light */
@@ -121,7 +121,7 @@ public class Links implements org.apache.spark.api.java.function.MapPartitionsFu
 
         Unit(Row row) {
             this.row = row;
-            key = new Object[] {row.getAs("gx"), row.getAs("gy"), row.getAs("r_no")};
+            key = mode == FOOTPRINTS ? new Object[] {row.getAs("t_gx"), row.getAs("t_gy"), row.getAs("t_no")} : new Object[] {row.getAs("gx"), row.getAs("gy"), row.getAs("r_no")};
             txIds = row.getList(row.fieldIndex("t_" + tx));
             rxIds = row.getList(row.fieldIndex("r_" + rx));
             clutter = numbers(row, "r___clutter");
@@ -210,7 +210,65 @@ public class Links implements org.apache.spark.api.java.function.MapPartitionsFu
         }
     }
 
+    /* The records of a transmitter, which are published strongest first (ties: smaller cell). */
+    static final class Records implements java.util.Comparator {
+        int size = 0;
+        double[] rsrp = new double[256];
+        long[] cell = new long[256];
+        int[] rest = new int[256];
+
+        void add(long id, double s, double diff, double clut, boolean los) {
+            if (size == cell.length) {
+                rsrp = java.util.Arrays.copyOf(rsrp, 2 * size); cell = java.util.Arrays.copyOf(cell, 2 * size); rest = java.util.Arrays.copyOf(rest, 2 * size);
+            }
+            rsrp[size] = s; cell[size] = id;
+            rest[size++] = (whole(s, -128, 127) & 255) | whole(diff, 0, 255) << 8 | whole(clut, 0, 255) << 16 | (los ? 1 : 0) << 24;
+        }
+
+        static int whole(double x, int low, int high) { return (int) Math.max((double) low, Math.min((double) high, Math.rint(x))); }
+
+        public int compare(Object a, Object b) {
+            int i = ((Integer) a).intValue(), j = ((Integer) b).intValue();
+            int c = Double.compare(rsrp[j], rsrp[i]);
+            return c != 0 ? c : Long.compareUnsigned(cell[i] ^ Long.MIN_VALUE, cell[j] ^ Long.MIN_VALUE);
+        }
+
+        byte[] blob() {
+            Integer[] order = new Integer[size];
+            for (int i = 0; i < size; i++) order[i] = Integer.valueOf(i);
+            java.util.Arrays.sort(order, this);
+            java.nio.ByteBuffer out = java.nio.ByteBuffer.allocate(12 * size).order(java.nio.ByteOrder.LITTLE_ENDIAN);
+            for (int i = 0; i < size; i++) {
+                int a = order[i].intValue();
+                out.putLong(cell[a]);
+                out.putInt(rest[a]);
+            }
+            return out.array();
+        }
+    }
+
+    /* Of all packed rows with the same transmitters. */
+    final class Pack {
+        final Object[] key;
+        final List ids;
+        final Records[] records;
+
+        Pack(Unit u) {
+            key = u.key; ids = u.txIds;
+            records = new Records[ids.size()];
+            for (int j = 0; j < records.length; j++) records[j] = new Records();
+        }
+
+        void add(Unit u) {
+            long[] cells = new long[u.rxIds.size()];
+            for (int i = 0; i < cells.length; i++) cells[i] = ((Number) u.rxIds.get(i)).longValue();
+            for (int a = 0; a < u.size; a++) records[u.t[a]].add(cells[u.r[a]], u.rsrp[a], u.diff[a], u.clutter[u.r[a]], u.los[a]);
+        }
+    }
+
     final class Rows implements Iterator {
+        Pack pack, whole;
+
         final Iterator in;
         Unit unit;
         Best best, done;
@@ -222,7 +280,7 @@ public class Links implements org.apache.spark.api.java.function.MapPartitionsFu
         Rows(Iterator in) { this.in = in; }
 
         public boolean hasNext() {
-            if (next == null) next = mode == LINKS ? link() : mode == RECEIVERS ? receiver() : transmitter();
+            if (next == null) next = mode == LINKS ? link() : mode == RECEIVERS ? receiver() : mode == TRANSMITTERS ? transmitter() : footprint();
             return next != null;
         }
 
@@ -268,6 +326,31 @@ public class Links implements org.apache.spark.api.java.function.MapPartitionsFu
             }
         }
 
+        Object footprint() {
+            while (true) {
+                if (whole != null) {
+                    while (at < whole.records.length) {
+                        int j = at++;
+                        Records got = whole.records[j];
+                        whole.records[j] = null;
+                        if (got.size > 0) return RowFactory.create(new Object[] {whole.ids.get(j), Long.valueOf(got.size), got.blob()});
+                    }
+                    whole = null;
+                }
+                if (!in.hasNext()) {
+                    if (pack == null) return null;
+                    whole = pack; pack = null; at = 0;
+                    continue;
+                }
+                Unit u = new Unit((Row) in.next());
+                if (pack == null || !java.util.Arrays.equals(pack.key, u.key)) {
+                    whole = pack; at = 0;
+                    pack = new Pack(u);
+                }
+                pack.add(u);
+            }
+        }
+
         Object transmitter() {
             while (true) {
                 if (unit != null) {
@@ -301,7 +384,7 @@ public class Links implements org.apache.spark.api.java.function.MapPartitionsFu
 }
 """
 
-LINKS, RECEIVERS, TRANSMITTERS = 0, 1, 2
+LINKS, RECEIVERS, TRANSMITTERS, FOOTPRINTS = 0, 1, 2, 3
 
 #: Of each JVM gateway: the compiled class.
 _LOADED = weakref.WeakKeyDictionary()

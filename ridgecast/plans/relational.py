@@ -33,6 +33,13 @@ def rounded(df: DataFrame, digits: int = 4, skip: tuple[str, ...] = ()) -> DataF
     return df.select(*[F.round(c, digits).alias(c) if t == "double" and c not in skip else F.col(c) for c, t in df.dtypes])
 
 
+def rounded_fast(df: DataFrame, digits: int = 4) -> DataFrame:
+    """``rounded`` by arithmetic, half away from zero as in SQL: for finite values below 1e13, of which there are very many."""
+    one = 10.0**digits
+    near = lambda c: F.signum(c) * F.floor(F.abs(c) * one + 0.5) / one
+    return df.select(*[near(F.col(c)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
 # Towers and links
 
 
@@ -52,7 +59,7 @@ def transmitters_of(spark, d) -> DataFrame:
 
 @query(f"with {o.BASE} select tx as asr_id, rx as cell_id, round(sqrt((rx_x-tx_x)*(rx_x-tx_x)+(rx_y-tx_y)*(rx_y-tx_y)), 4) as distance_m from pairs")
 def dwithin_pairs(spark, d):
-    return rounded(blocks.pairs(transmitters_of(spark, d), frame(spark, d, "receivers"), "asr_id", "cell_id", RADIO.max_link_m))
+    return rounded_fast(blocks.pairs(transmitters_of(spark, d), frame(spark, d, "receivers"), "asr_id", "cell_id", RADIO.max_link_m))
 
 
 def links_of(spark, d, floor_dbm: float | None = None) -> DataFrame:
@@ -69,7 +76,7 @@ ROUND_LINKS = "asr_id, cell_id, round(rsrp_dbm, 4) as rsrp_dbm, round(path_loss_
 
 @query(f"with {o.LINKS} select {ROUND_LINKS} from links")
 def link_rsrp(spark, d):
-    return rounded(links_of(spark, d))
+    return rounded_fast(links_of(spark, d))
 
 
 def coverage_of(spark, d) -> DataFrame:
@@ -594,11 +601,6 @@ def named():
     return F.when(new, F.concat(F.lit("NEW:"), "asr_id")).otherwise(F.col("asr_id"))
 
 
-def footprint_links(spark, d) -> DataFrame:
-    """Links of existing and new transmitters that footprints show."""
-    return links_of(spark, d, FOOTPRINT_FLOOR).withColumn("asr_id", named())
-
-
 FOOTPRINTS = "foot as (select * replace (case when cast(substr(asr_id, 2) as bigint)%10=0 then concat('NEW:', asr_id) else asr_id end as asr_id) from links where rsrp_dbm >= -115e0)"
 
 
@@ -612,7 +614,9 @@ def footprint_index(spark, d):
 
 @query()
 def footprint_blob(spark, d):
-    return publish.footprint_blobs(footprint_links(spark, d), "asr_id", "cell_id")
+    """Records of existing and new transmitters."""
+    t = transmitters_of(spark, d).withColumn("asr_id", named())
+    return blocks.footprints(t, frame(spark, d, "receivers"), kernel.FormulaTerrain(), "asr_id", "cell_id", RADIO, FOOTPRINT_FLOOR)
 
 
 @query(f"""with {o.LINKS}, {FOOTPRINTS} select asr_id, row_number() over (partition by asr_id order by rsrp_dbm desc, cell_id) - 1 as place, cell_id, greatest(-128, least(127, round_even(rsrp_dbm, 0)))::bigint as rsrp,
