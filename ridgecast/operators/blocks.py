@@ -17,6 +17,8 @@ from ridgecast.config import Radio
 from ridgecast.operators import kernel, native, publish
 
 RECEIVERS, TRANSMITTERS = 512, 256
+#: For ``most`` of ``per_receiver``: every server is counted.
+ALL = (1 << 31) - 1
 
 
 def packed(points: DataFrame, key: str, radius: float, size: int, prefix: str) -> DataFrame:
@@ -68,8 +70,10 @@ def meeting(towers: DataFrame, receivers: DataFrame, tx: str, rx: str, radius: f
     drop = [c for c in met.columns if c[2:] in ("x0", "x1", "y0", "y1")]
     if by_transmitters:
         return met.drop(*drop).repartition(width, "t_gx", "t_gy", "t_no").sortWithinPartitions("t_gx", "t_gy", "t_no", "gx", "gy", "r_no")
+    # Those that lie nearest first: they tell soonest how strong a link must be to matter.
+    met = met.withColumn("__apart", gap("x") * gap("x") + gap("y") * gap("y"))
     drop += ["t_gx", "t_gy", "t_no"]
-    return met.drop(*drop).repartition(width, "gx", "gy", "r_no").sortWithinPartitions("gx", "gy", "r_no", F.col("t_" + tx)[0])
+    return met.drop(*drop).repartition(width, "gx", "gy", "r_no").sortWithinPartitions("gx", "gy", "r_no", "__apart", F.col("t_" + tx)[0]).drop("__apart")
 
 
 class Unit:
@@ -128,7 +132,7 @@ def _sides(towers, receivers, tx, rx, *more):
     return towers.select(tx, "x", "y", F.col("tx_height_m").cast("double").alias("tx_height_m")), receivers.select(rx, "x", "y", *more)
 
 
-def _native(towers, receivers, terrain, tx, rx, radio, floor, schema, mode, *more, weight="", prefix="", by_transmitters=False):
+def _native(towers, receivers, terrain, tx, rx, radio, floor, schema, mode, *more, weight="", prefix="", most=-1, by_transmitters=False):
     """Links inside the JVM; what depends on the receiver alone is computed before."""
     shared = kernel.shared(towers.sparkSession, terrain)
     t, r = _sides(towers, receivers, tx, rx, *more)
@@ -140,7 +144,7 @@ def _native(towers, receivers, terrain, tx, rx, radio, floor, schema, mode, *mor
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(kernel.clutter(shared.value, x, y, radio))], names=names)
 
     r = r.where("x is not null and y is not null").mapInArrow(run, kinds + ", __clutter double")
-    return native.run(meeting(t, r, tx, rx, radio.max_link_m, by_transmitters), schema, mode, terrain, tx, rx, radio, floor, weight, prefix)
+    return native.run(meeting(t, r, tx, rx, radio.max_link_m, by_transmitters), schema, mode, terrain, tx, rx, radio, floor, weight, prefix, most)
 
 
 def links(towers: DataFrame, receivers: DataFrame, terrain, tx: str, rx: str, radio: Radio = Radio(), floor_dbm: float | None = None) -> DataFrame:
@@ -207,8 +211,12 @@ class _Best:
         return pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def per_receiver(towers: DataFrame, receivers: DataFrame, terrain, tx: str, rx: str, radio: Radio = Radio(), new_prefix: str = "NEW:") -> DataFrame:
-    """Every receiver with a link: its strongest one (ties: smallest transmitter) and its counts, its weakest signal, the strongest of transmitters without ``new_prefix``."""
+def per_receiver(towers: DataFrame, receivers: DataFrame, terrain, tx: str, rx: str, radio: Radio = Radio(), new_prefix: str = "NEW:", most: int | None = None) -> DataFrame:
+    """Every receiver with a link: its strongest one (ties: smallest transmitter) and its counts, its weakest signal, the strongest of transmitters without ``new_prefix``.
+
+    With ``most`` there is no n_links and no low_rsrp_dbm, and n_servers is counted up to ``most`` (left out at 0): links that are sure to change none of the rest, by an upper bound on
+    their signal, are then not computed. An empty ``new_prefix`` asks for no old_rsrp_dbm.
+    """
     kinds = dict(towers.dtypes)[tx], dict(receivers.dtypes)[rx]
     names = [rx, "best_rsrp_dbm", f"best_{tx}", "best_is_los", "best_distance_m", "n_links", "n_servers", "low_rsrp_dbm", "old_rsrp_dbm"]
     schema = f"{rx} {kinds[1]}, best_rsrp_dbm double, best_{tx} {kinds[0]}, best_is_los boolean, best_distance_m double, n_links long, n_servers long, low_rsrp_dbm double, old_rsrp_dbm double"
@@ -225,14 +233,17 @@ def per_receiver(towers: DataFrame, receivers: DataFrame, terrain, tx: str, rx:
             yield best.batch(names, kind)
 
     if native.knows(terrain):
-        got = _native(towers, receivers, terrain, tx, rx, radio, radio.keep_floor_dbm, schema, native.RECEIVERS, prefix=new_prefix)
+        got = _native(towers, receivers, terrain, tx, rx, radio, radio.keep_floor_dbm, schema, native.RECEIVERS, prefix=new_prefix, most=-1 if most is None else min(most, ALL))
     else:
         shared = kernel.shared(towers.sparkSession, terrain)
         got = meeting(*_sides(towers, receivers, tx, rx), tx, rx, radio.max_link_m).mapInArrow(run, schema)
     # A receiver's id may repeat.
     order = F.struct(-F.col("best_rsrp_dbm"), F.col(f"best_{tx}"))
-    most = {c: F.max(c).alias(c) for c in ("best_rsrp_dbm", "old_rsrp_dbm")}
-    return got.groupBy(rx).agg(most["best_rsrp_dbm"], *[F.min_by(c, order).alias(c) for c in (f"best_{tx}", "best_is_los", "best_distance_m")], *[F.sum(c).alias(c) for c in ("n_links", "n_servers")], F.min("low_rsrp_dbm").alias("low_rsrp_dbm"), most["old_rsrp_dbm"])
+    strongest = {c: F.max(c).alias(c) for c in ("best_rsrp_dbm", "old_rsrp_dbm")}
+    got = got.groupBy(rx).agg(strongest["best_rsrp_dbm"], *[F.min_by(c, order).alias(c) for c in (f"best_{tx}", "best_is_los", "best_distance_m")], *[F.sum(c).alias(c) for c in ("n_links", "n_servers")], F.min("low_rsrp_dbm").alias("low_rsrp_dbm"), strongest["old_rsrp_dbm"])
+    if most is not None:
+        got = got.withColumn("n_servers", F.least("n_servers", F.lit(most).cast("long"))).drop("n_links", "low_rsrp_dbm", *["n_servers"] * (most == 0))
+    return got if new_prefix else got.drop("old_rsrp_dbm")
 
 
 def per_transmitter(towers: DataFrame, receivers: DataFrame, terrain, tx: str, rx: str, radio: Radio = Radio(), floor_dbm: float | None = None, weight: str = "pop") -> DataFrame:

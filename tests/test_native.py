@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ridgecast.config import Radio
 from ridgecast.operators import blocks, kernel, native, publish
@@ -68,3 +69,47 @@ def test_arithmetic_rounds_as_sql(spark):
     x = [1.00005, -1.00005, -97.12345678, 0.0, 39999.99996, -0.00004, 12.0]
     got = [v.x for v in relational.rounded_fast(spark.createDataFrame([(v,) for v in x], "x double")).collect()]
     assert got == [1.0001, -1.0001, -97.1235, 0.0, 40000.0, 0.0, 12.0]
+
+
+@pytest.mark.parametrize("most", [0, 1, 2, 5, blocks.ALL])
+def test_receivers_asked_for_less_are_those_of_all_links(points, most):
+    """Links left out by a bound change nothing that is told: repeated transmitters tie, some lie beyond the raster or have no height, a receiver's id repeats."""
+    t, r = points
+    t, r = t.unionByName(t), r.unionByName(r.where("cell_id < 20"))
+    run = lambda **k: blocks.per_receiver(t, r, kernel.FormulaTerrain(), "asr_id", "cell_id", **k)
+    want = run().drop("n_links", "low_rsrp_dbm").withColumn("n_servers", F.least("n_servers", F.lit(most).cast("long")))
+    want = want if most else want.drop("n_servers")
+    assert rows(run(most=most)) == rows(want) and want.count() > 20
+    assert rows(run(most=most, new_prefix="")) == rows(want.drop("old_rsrp_dbm"))
+
+
+def test_numpy_form_is_asked_for_less(points, monkeypatch):
+    got, want = both(monkeypatch, lambda: blocks.per_receiver(*points, kernel.FormulaTerrain(), "asr_id", "cell_id", most=2, new_prefix=""))
+    assert got == want and len(got) > 20
+
+
+def test_vector_loops_are_the_plain_loops(spark):
+    """To the last bit, on edges between pixels as well."""
+    context = spark.sparkContext
+    loader, code = native._build(context._jvm)
+    assert "ridgecast.Lanes" in code
+    new = context._gateway.new_array
+    made = [loader.loadClass(f"ridgecast.{c}").getConstructors()[0].newInstance(new(context._jvm.java.lang.Object, 0)) for c in ("Loops", "Lanes")]
+
+    def array(values):
+        out = new(context._jvm.double, len(values))
+        for i, x in enumerate(values):
+            out[i] = float(x)
+        return out
+
+    rng = np.random.default_rng(8)
+    share = np.linspace(0.0, 1.0, 32)
+    f, square, weight = map(array, (share, share * share, rng.random(32)))
+    for k in range(12):
+        x, y, dx, dy = (rng.integers(1, 4000, 4) * 90.0 + [0, 0, -180_000, 0]) if k % 2 else rng.uniform(0, 300_000, 4)
+        got = []
+        for loops in made:
+            e, v = array([0] * 32), array([0] * 32)
+            most = loops.rise(f, square, weight, e, v, 0, 32, float(dx) / 8, float(x), 45.0, float(dy) / 8, float(y), 400_455.0, 90.0, 31.5, 260.0, -20.5)
+            got.append((most, list(e), list(v), loops.over(f, weight, e, v, 8, 24, 250.0, 11.25)))
+        assert got[0] == got[1]
