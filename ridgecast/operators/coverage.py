@@ -24,7 +24,7 @@ def best_server(links: DataFrame, receivers: DataFrame, rx: str, tx: str, thresh
 def with_receivers(best: DataFrame, receivers: DataFrame, rx: str, threshold: float = Radio().threshold_dbm) -> DataFrame:
     """Every receiver with what ``best`` has for it; without a link it is uncovered."""
     out = receivers.join(best, rx, "left")
-    for c in ("n_links", "n_servers"):
+    for c in [c for c in ("n_links", "n_servers") if c in best.columns]:
         out = out.withColumn(c, F.coalesce(c, F.lit(0)))
     return out.withColumn("is_covered", F.coalesce(F.col("best_rsrp_dbm") >= threshold, F.lit(False)))
 

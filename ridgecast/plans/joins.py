@@ -71,7 +71,7 @@ def require_complete(df: DataFrame, column: str) -> DataFrame:
 def coverage_features(spark, d):
     """Coverage with its zone's features, which none may lack, and the height of the serving tower."""
     # The check reads the table once more.
-    c = r.coverage_of(spark, d).where("best_asr_id is not null").join(r.zonal_of(spark, d), "county", "left").cache()
+    c = r.coverage_of(spark, d, 0).where("best_asr_id is not null").join(r.zonal_of(spark, d), "county", "left").cache()
     t = frame(spark, d, "towers").select(F.col("asr_id").alias("best_asr_id"), F.coalesce("height_agl_m", F.lit(45.0)).alias("server_height_m"))
     return require_complete(c, "elev_mean_m").join(t, "best_asr_id", "left").select("cell_id", F.round("elev_mean_m", 4).alias("elev_mean_m"), F.round("tree_frac", 6).alias("tree_frac"), "best_asr_id", "server_height_m")
 
@@ -127,7 +127,7 @@ def surface_burn(spark, d):
 
 @query(f"with {o.COVERAGE}, {ctes('speedtests')}, {r.TESTED} select cell_id, is_covered, tests, devices from tested")
 def coverage_speedtests(spark, d):
-    c = r.coverage_of(spark, d).select("cell_id", "is_covered")
+    c = r.coverage_of(spark, d, 0).select("cell_id", "is_covered")
     return c.join(r.tests_of(spark, d, frame(spark, d, "receivers")), "cell_id", "left").fillna(0, ["tests", "devices"])
 
 
@@ -146,5 +146,5 @@ def weakest_redundancy(spark, d):
     """Twenty best-served cells that hang on one tower."""
     from pyspark.sql import Window
 
-    top = r.coverage_of(spark, d).where("n_servers = 1").orderBy(F.desc_nulls_last("best_rsrp_dbm"), "cell_id").limit(20)
+    top = r.coverage_of(spark, d, 2).where("n_servers = 1").orderBy(F.desc_nulls_last("best_rsrp_dbm"), "cell_id").limit(20)
     return top.select("cell_id", F.row_number().over(Window.orderBy(F.desc_nulls_last("best_rsrp_dbm"), "cell_id")).cast("long").alias("place"))

@@ -66,9 +66,9 @@ def links_of(spark, d, floor_dbm: float | None = None) -> DataFrame:
     return blocks.links(transmitters_of(spark, d), frame(spark, d, "receivers"), kernel.FormulaTerrain(), "asr_id", "cell_id", RADIO, floor_dbm)
 
 
-def best_of(spark, d, towers=None) -> DataFrame:
-    """A row per receiver with a link."""
-    return blocks.per_receiver(transmitters_of(spark, d) if towers is None else towers, frame(spark, d, "receivers"), kernel.FormulaTerrain(), "asr_id", "cell_id", RADIO)
+def best_of(spark, d, towers=None, most=None, new_prefix="") -> DataFrame:
+    """A row per receiver with a link; ``most`` as for ``blocks.per_receiver``."""
+    return blocks.per_receiver(transmitters_of(spark, d) if towers is None else towers, frame(spark, d, "receivers"), kernel.FormulaTerrain(), "asr_id", "cell_id", RADIO, new_prefix, most)
 
 
 ROUND_LINKS = "asr_id, cell_id, round(rsrp_dbm, 4) as rsrp_dbm, round(path_loss_db, 4) as path_loss_db, round(diffraction_db, 4) as diffraction_db, round(clutter_db, 4) as clutter_db, round(distance_m, 4) as distance_m, is_los"
@@ -79,8 +79,9 @@ def link_rsrp(spark, d):
     return rounded_fast(links_of(spark, d))
 
 
-def coverage_of(spark, d) -> DataFrame:
-    best = best_of(spark, d).drop("low_rsrp_dbm", "old_rsrp_dbm")
+def coverage_of(spark, d, most=None) -> DataFrame:
+    """Every receiver with its best link. With ``most`` servers are counted up to it (at 0 there is no count), and links are not."""
+    best = best_of(spark, d, most=most).drop("low_rsrp_dbm")
     return coverage.with_receivers(best, frame(spark, d, "receivers"), "cell_id")
 
 
@@ -98,7 +99,9 @@ def best_server(spark, d):
     round(coalesce(sum(demand) filter (not is_covered), 0), 4) as demand_uncovered, count(*) filter (n_links = 0) as cells_no_link, round(median(best_rsrp_dbm) filter (is_covered), 4) as median_served_rsrp_dbm,
     count(*) filter (n_servers = 1) as cells_single_server from coverage""")
 def coverage_summary(spark, d):
-    return rounded(coverage.summary(coverage_of(spark, d)))
+    # It tells no link, one server and more apart.
+    c = coverage_of(spark, d, 2)
+    return rounded(coverage.summary(c.withColumn("n_links", F.col("best_rsrp_dbm").isNotNull().cast("long"))))
 
 
 # Quality
@@ -113,16 +116,18 @@ def coverage_summary(spark, d):
     union all select 7, 'coverage_rows', case when (select count(*) from coverage) = (select count(*) from receivers) then 'PASS' else 'FAIL' end, (select count(*) from coverage)::double
     union all select 8, 'covered_share', case when count(*) filter (is_covered) between 1 and count(*)-1 then 'PASS' else 'FAIL' end, (count(*) filter (is_covered))::double from coverage""")
 def dq_gate(spark, d):
-    # Four checks read the links; the weakest and the strongest of each receiver answer them, and are computed once.
-    best, receivers = best_of(spark, d).cache(), frame(spark, d, "receivers")
-    links = best.select("cell_id", F.explode(F.array("low_rsrp_dbm", "best_rsrp_dbm")).alias("rsrp_dbm"))
+    # Four checks read the links; the weakest and the strongest of each receiver answer them, and are computed once. No link is below the kernel's floor: the weakest
+    # matter only to a gate above it.
+    gate = Gate()
+    best, receivers = best_of(spark, d, most=0 if gate.min_rsrp_dbm <= RADIO.keep_floor_dbm else None).cache(), frame(spark, d, "receivers")
+    links = best.select("cell_id", F.explode(F.array(*[c for c in ("low_rsrp_dbm", "best_rsrp_dbm") if c in best.columns])).alias("rsrp_dbm"))
     got = coverage.with_receivers(best, receivers, "cell_id")
-    return coverage.quality_gate(frame(spark, d, "towers"), receivers, links, got, "cell_id", Config(gate=Gate(), scope="demo"))
+    return coverage.quality_gate(frame(spark, d, "towers"), receivers, links, got, "cell_id", Config(gate=gate, scope="demo"))
 
 
 @query(f"with {o.LINKS} select distinct cell_id from links where not exists (select 1 from receivers r where r.cell_id = links.cell_id)")
 def orphan_links(spark, d):
-    return coverage.orphans(best_of(spark, d), frame(spark, d, "receivers"), "cell_id")
+    return coverage.orphans(best_of(spark, d, most=0), frame(spark, d, "receivers"), "cell_id")
 
 
 @query("""select count(*) filter (abs(total/3600e0 - abs(deg)) > 0.1e0/3600e0) as drifted, round(median(abs(ground + agl - amsl)), 4) as median_residual_m from
@@ -324,7 +329,7 @@ def zonal_stats(spark, d):
 
 @query(f"with {o.COVERAGE}, {ZONAL} select is_covered, round(avg(elev_mean_m), 3) as elev_mean_m, round(avg(relief_m), 3) as relief_m, round(avg(tree_frac), 5) as tree_frac, round(avg(bldg_mean_m), 3) as bldg_mean_m from coverage join feats using (county) group by is_covered")
 def gap_vs_covered_means(spark, d):
-    c = coverage_of(spark, d).select("county", "is_covered").join(zonal_of(spark, d), "county")
+    c = coverage_of(spark, d, 0).select("county", "is_covered").join(zonal_of(spark, d), "county")
     return c.groupBy("is_covered").agg(F.round(F.avg("elev_mean_m"), 3).alias("elev_mean_m"), F.round(F.avg("relief_m"), 3).alias("relief_m"), F.round(F.avg("tree_frac"), 5).alias("tree_frac"), F.round(F.avg("bldg_mean_m"), 3).alias("bldg_mean_m"))
 
 
@@ -336,7 +341,7 @@ BURN = f"""{o.COVERAGE}, {o.axial_ctes('coverage', 5000.0, 'celled', 'best_rsrp_
 def burned_of(spark, d) -> DataFrame:
     """Pixels take the signal of the cell that holds their centre: outside any cell is -9999, a cell without a link -125."""
     q, r = cells.point_to_axial(F.col("x"), F.col("y"), 5000.0)
-    hexes = coverage_of(spark, d).groupBy(q.alias("q"), r.alias("r")).agg(F.max("best_rsrp_dbm").alias("v"), F.lit(True).alias("cell"))
+    hexes = coverage_of(spark, d, 0).groupBy(q.alias("q"), r.alias("r")).agg(F.max("best_rsrp_dbm").alias("v"), F.lit(True).alias("cell"))
     grid = raster.pixel_centres(spark, 200, 200, 0.0, 400_000.0, 2000.0).select("pix", q.alias("q"), r.alias("r"))
     return grid.join(hexes, ["q", "r"], "left").select("pix", F.when(F.col("cell").isNull(), -9999.0).otherwise(F.coalesce("v", F.lit(-125.0))).alias("value"))
 
@@ -373,7 +378,7 @@ def terrain_residuals(spark, d):
 
 def gaps_of(spark, d) -> DataFrame:
     """Receivers without service; they are read several times, the kernel's links behind them are computed once."""
-    return coverage_of(spark, d).where("not is_covered").select("cell_id", "x", "y", "demand").cache()
+    return coverage_of(spark, d, 0).where("not is_covered").select("cell_id", "x", "y", "demand").cache()
 
 
 GAPS = o.COVERAGE + ", gaps as (select cell_id, x, y, demand from coverage where not is_covered)"
@@ -560,7 +565,7 @@ def tests_of(spark, d, receivers) -> DataFrame:
     a as (select n as min_tests, count(*) filter (not is_covered and tests>=n and devices>=2) as gap_hit, count(*) filter (not is_covered) as gap_cells, count(*) filter (is_covered and tests>=n and devices>=2) as control_hit, count(*) filter (is_covered) as control_cells from m group by n)
     select *, round(gap_hit/greatest(1, gap_cells)::double, 4) as gap_rate, round(control_hit/greatest(1, control_cells)::double, 4) as control_rate, case when control_hit/greatest(1, control_cells)::double < 0.1 then 'not usable' else 'lower bound' end as verdict from a""")
 def false_negative_rate(spark, d):
-    return rounded(demand.false_negatives(coverage_of(spark, d), tests_of(spark, d, frame(spark, d, "receivers")), "cell_id"))
+    return rounded(demand.false_negatives(coverage_of(spark, d, 0), tests_of(spark, d, frame(spark, d, "receivers")), "cell_id"))
 
 
 # Publishing
@@ -568,7 +573,8 @@ def false_negative_rate(spark, d):
 
 @query(f"with {o.BANDED} select band, count(*) as cells, cast(round_even(sum(pop), 0) as bigint) as population from banded group by band")
 def service_bands(spark, d):
-    return coverage.band_summary(coverage_of(spark, d))
+    # The highest band begins at five servers.
+    return coverage.band_summary(coverage_of(spark, d, 5))
 
 
 def _lod(up: int, size: float = 2000.0):
@@ -581,7 +587,7 @@ def _lod(up: int, size: float = 2000.0):
 
     def run(spark, d):
         q, r = cells.point_to_axial(F.col("x"), F.col("y"), size)
-        c = coverage.with_band(coverage_of(spark, d)).withColumn("cell", cells.cell_id(q, r, 8))
+        c = coverage.with_band(coverage_of(spark, d, blocks.ALL)).withColumn("cell", cells.cell_id(q, r, 8))
         return rounded(coverage.roll_up(c, cells.parent(F.col("cell"), 8, up)), 4)
 
     query(sql, f"lod_rollup_r{8 - up}")(run)
@@ -636,7 +642,7 @@ NEW = "select case when cast(substr(asr_id, 2) as bigint)%10=0 then concat('NEW:
 
 
 def surfaces_of(spark, d) -> DataFrame:
-    best = best_of(spark, d, transmitters_of(spark, d).withColumn("asr_id", named()))
+    best = best_of(spark, d, transmitters_of(spark, d).withColumn("asr_id", named()), 0, "NEW:")
     return best.select("cell_id", F.col("best_rsrp_dbm").alias("rsrp_all"), F.col("old_rsrp_dbm").alias("rsrp_cur"))
 
 

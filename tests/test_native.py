@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ridgecast.config import Radio
 from ridgecast.operators import blocks, kernel, native, publish
-from ridgecast.plans import relational
+from ridgecast.plans import catalog, relational
 
 
 @pytest.fixture
@@ -88,6 +88,14 @@ def test_numpy_form_is_asked_for_less(points, monkeypatch):
     assert got == want and len(got) > 20
 
 
+@pytest.mark.parametrize("name, most", [("coverage_summary", 2), ("dq_gate", 0), ("false_negative_rate", 0), ("gap_mask", 0), ("lod_rollup_r5", blocks.ALL), ("lod_rollup_r6", blocks.ALL), ("best_server", None)])
+def test_queries_ask_for_no_more_than_they_tell(spark, sf, monkeypatch, name, most):
+    asked = []
+    monkeypatch.setattr(blocks, "per_receiver", lambda *a, f=blocks.per_receiver: asked.append(a[-1]) or f(*a))
+    catalog.queries()[name](spark, sf)
+    assert asked == [most]
+
+
 def test_vector_loops_are_the_plain_loops(spark):
     """To the last bit, on edges between pixels as well."""
     context = spark.sparkContext
