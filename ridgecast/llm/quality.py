@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridgecast.llm.batches import NOT_SPACE, U, chunks, mix, span_hashes, words
-from ridgecast.llm.store import materialize, shuffle_width
+from ridgecast.llm.store import discard, materialize, shuffle_width, tidy
 
 SHAPES = 16
 #: A unit is a known word, a shape or the start of a text; an n-gram's key holds its units in so many bits each. In the place of a trigram's
@@ -175,11 +175,17 @@ def trusted_ids(labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ok.where(fold.isin(1, 2)), ok.where(fold >= 3)
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder; neither its shuffle files nor many bytes stay on the disks."""
+    with tidy(df.sparkSession):
+        return materialize(df, name, "zstd")
+
+
 def train(docs: DataFrame, ids: DataFrame, head: int) -> tuple[Model, DataFrame] | None:
-    """(model, table (key, weight) of the n-grams in shards) of the texts of ``ids``; None if they have fewer than 100 words."""
+    """(model, table of the n-grams in shards, a row each) of the texts of ``ids``; None if they have fewer than 100 words."""
     sc = docs.sparkSession.sparkContext
     text = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).join(ids, "doc_id", "left_semi").select("text")
-    text = materialize(text, "trusted")
+    text = kept(text, "trusted")
     vocab = text.mapInArrow(_vocabulary, "h long, s long, n long").groupBy("h").agg(F.first("s").alias("s"), F.sum("n").alias("n"))
     vocab = materialize(vocab, "vocabulary")
     # Of words seen once, and of those beyond the most that units have room for, only their number per shape is kept.
@@ -187,6 +193,7 @@ def train(docs: DataFrame, ids: DataFrame, head: int) -> tuple[Model, DataFrame]
     if sum(r["times"] for r in by_shape) < 100:
         return None
     often = vocab.where("n > 1").orderBy(F.desc("n"), "h").limit(MOST_WORDS).select("h", "s").toArrow()
+    discard(vocab)
     known = np.sort(often["h"].to_numpy().view("uint64"))
     rare = -np.bincount(often["s"].to_numpy(), minlength=SHAPES)
     for r in by_shape:
@@ -194,9 +201,10 @@ def train(docs: DataFrame, ids: DataFrame, head: int) -> tuple[Model, DataFrame]
     spread = np.log10(rare + 1.0)
     units, bos = len(known) + SHAPES + 1, len(known) + SHAPES
     shared = sc.broadcast(known)
-    tri = materialize(text.mapInArrow(_trigrams(shared), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")), "trigrams")
+    tri = kept(text.mapInArrow(_trigrams(shared), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")), "trigrams")
+    discard(text)
     # What a bigram or a word was seen after, once each: continuation counts.
-    bi = materialize(tri.groupBy(F.col("k").bitwiseAND(F.lit(PAIR)).alias("k")).agg(F.count("*").alias("n"), F.sum("n").alias("times")), "bigrams")
+    bi = kept(tri.groupBy(F.col("k").bitwiseAND(F.lit(PAIR)).alias("k")).agg(F.count("*").alias("n"), F.sum("n").alias("times")), "bigrams")
 
     # A row per unit. What discounts free goes to all words and one unseen one alike.
     one = _discounted(bi.groupBy(F.col("k").bitwiseAND(F.lit(UNIT)).alias("w")).agg(F.count("*").alias("n"))).toArrow()
@@ -211,17 +219,23 @@ def train(docs: DataFrame, ids: DataFrame, head: int) -> tuple[Model, DataFrame]
 
     context = Window.partitionBy(F.shiftright("k", BITS))
     three = _discounted(tri).withColumns({"c3": F.sum("n").over(context), "rest3": F.sum("d").over(context) / F.sum("n").over(context)})
-    above = three.groupBy(F.shiftright("k", BITS).alias("x")).agg(F.first("rest3").alias("rest3"))
+    # Step by step, so that no step's exchanges lie on the disks beside another's.
+    three = kept(three, "contexts")
+    discard(tri)
+    above = kept(three.groupBy(F.shiftright("k", BITS).alias("x")).agg(F.first("rest3").alias("rest3")), "above")
     met = three.join(two.select(F.col("k").alias("pair"), "p2"), F.col("k").bitwiseAND(F.lit(PAIR)) == F.col("pair"))
     p3 = (F.col("n") - F.col("d")) / F.col("c3") + F.col("rest3") * F.col("p2")
     nothing = F.lit(0.0).alias("next")
-    three = met.select(F.col("k").alias("key"), (_cost(p3) - _cost(F.col("rest3")) - _cost(F.col("p2"))).alias("weight"), nothing, F.col("n").alias("times"))
+    met = kept(met.select(F.col("k").alias("key"), (_cost(p3) - _cost(F.col("rest3")) - _cost(F.col("p2"))).alias("weight"), nothing, F.col("n").alias("times")), "weights")
+    discard(three)
     two = two.join(above, F.col("k") == F.col("x"), "left").select(F.col("k").bitwiseOR(F.lit(INNER)).alias("key"), F.col("own").alias("weight"), F.coalesce(_cost(F.col("rest3")), F.lit(0.0)).alias("next"), "times")
-    table = materialize(three.unionByName(two), "weights")
+    two = kept(two, "weights")
+    table = met.unionByName(two)
 
     cost, rest = -np.log10(p1), -np.log10(rest2)
     cost[len(known) : bos] += spread
     start = above.where(F.col("x") == (bos << BITS | bos)).first()
+    discard(bi, above)
     top = table.orderBy(F.desc("times"), "key").limit(head).toArrow()
     if top.num_rows:
         edge, edge_key = top["times"][-1].as_py(), top["key"][-1].as_py()
@@ -229,7 +243,16 @@ def train(docs: DataFrame, ids: DataFrame, head: int) -> tuple[Model, DataFrame]
     far = table.count()
     head_key, head_weight = with_last(*(top[x].to_numpy() for x in ("key", "weight", "next")))
     model = Model(known, cost, rest, -math.log10(start["rest3"]) if start else 0.0, head_key, head_weight, bit_table(table.select("key")), max(1, far >> SHARD_LOG2))
-    return model, table.select("key", "weight", "next")
+    return model, pack_shards(table, model, met, two)
+
+
+def pack_shards(table: DataFrame, model: Model, *weights: DataFrame) -> DataFrame:
+    """A row per shard with the n-grams of ``table``, written in place of ``weights``."""
+    model.shards = min(model.shards, shuffle_width(table.sparkSession))
+    table = table.select("key", "weight", "next").mapInArrow(_with_shard(model.shards), "shard int, key long, weight double, next double")
+    packed = kept(table.repartitionById(model.shards, F.col("shard")).mapInArrow(_pack, "shard int, keys binary, weights binary"), "shards")
+    discard(*weights)
+    return packed
 
 
 def _bigram_probabilities(shared):
@@ -285,13 +308,17 @@ ANSWERED = "doc_id long, content long, lang string, own long, n long, nll double
 
 
 def _blob(x: np.ndarray) -> bytes:
-    return len(x).to_bytes(8, "little") + pa.compress(x.tobytes(), codec="zstd", asbytes=True)
+    """``x`` compressed, the first bytes of all its numbers before the second ones, and so on: high bytes are much alike."""
+    planes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T
+    return len(x).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
 def _unblob(scalar, dtype) -> np.ndarray:
     m = memoryview(scalar.as_buffer())
     n = int.from_bytes(m[:8], "little")
-    return np.frombuffer(pa.decompress(m[8:], n * np.dtype(dtype).itemsize, codec="zstd"), dtype)
+    size = np.dtype(dtype).itemsize
+    planes = np.frombuffer(pa.decompress(m[8:], n * size, codec="zstd"), np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).view(dtype).reshape(n)
 
 
 def _ask(shared, groups: int):
@@ -345,8 +372,19 @@ def _pack(batches):
             parts.append([batch.column(x).to_numpy() for x in ("key", "weight", "next")])
     if part is None:
         return
-    key, weight = with_last(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-    yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([_blob(key)], pa.binary()), pa.array([_blob(weight)], pa.binary())], names=["shard", "keys", "weights"])
+    key, weight, after = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(key)
+    key, weight, after = key[order], weight[order], after[order]
+    # Steps from key to key; only bigrams, which come last, have a second number.
+    yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([_blob(np.diff(key, prepend=0))], pa.binary()), pa.array([_blob(np.concatenate([weight, after[key >= INNER]]))], pa.binary())], names=["shard", "keys", "weights"])
+
+
+def unpack(keys, weights) -> tuple[np.ndarray, np.ndarray]:
+    """(key, weight) of a row of ``_pack``, with both keys of each bigram."""
+    key, found = np.cumsum(_unblob(keys, np.int64)), _unblob(weights, np.float64)
+    after = np.zeros(len(key))
+    after[key >= INNER] = found[len(key) :]
+    return with_last(key, found[: len(key)], after)
 
 
 def _answer(batches):
@@ -355,7 +393,7 @@ def _answer(batches):
     for batch in batches:
         for i, kind in enumerate(batch.column("kind").to_pylist()):
             if kind == 0:
-                key, weight = _unblob(batch.column("keys")[i], np.int64), _unblob(batch.column("weights")[i], np.float64)
+                key, weight = unpack(batch.column("keys")[i], batch.column("weights")[i])
                 continue
             asked = _unblob(batch.column("keys")[i], np.int64)
             if len(key):
@@ -373,14 +411,13 @@ def _answer(batches):
             yield pa.RecordBatch.from_arrays([ids, content, lang, pa.array(np.full(len(size), int(first))), n, pa.array(total)], names=["doc_id", "content", "lang", "own", "n", "nll"])
 
 
-def perplexities(docs: DataFrame, model: Model, table: DataFrame) -> DataFrame:
+def perplexities(docs: DataFrame, model: Model, packed: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, content, lang, text): doc_id, content, lang, n_words, nll (in log10)."""
     spark = docs.sparkSession
-    shards = model.shards = min(model.shards, shuffle_width(spark))
+    shards = model.shards
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     groups = max(1, min(shuffle_width(spark) // shards, -(-size // GROUP_BYTES)))
     shared = spark.sparkContext.broadcast(model)
-    packed = table.mapInArrow(_with_shard(shards), "shard int, key long, weight double, next double").repartitionById(shards, F.col("shard")).mapInArrow(_pack, "shard int, keys binary, weights binary")
     packed = packed.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     none = {name: F.lit(None).cast(kind).alias(name) for name, kind in (x.split(" ") for x in ASKED.split(", "))}
     packed = packed.select((F.col("shard") * groups + F.col("group")).alias("part"), F.lit(0).alias("kind"), *(none[x] for x in ("doc_id", "content", "lang", "n", "cost", "size")), "keys", "weights")
@@ -408,6 +445,11 @@ def content_of() -> Column:
 
 def quality(docs: DataFrame, labels: DataFrame, head: int = 1 << 17, q: float = 0.995, spread: float = 150.0, least: int = 200) -> DataFrame:
     """Per row of ``docs``: doc_id, lang, content, n_words, score, perplexity, threshold, keep."""
+    with tidy(docs.sparkSession):
+        return _quality(docs, labels, head, q, spread, least)
+
+
+def _quality(docs: DataFrame, labels: DataFrame, head: int, q: float, spread: float, least: int) -> DataFrame:
     fold, chosen = trusted_ids(labels)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), content_of().alias("content"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     trained = train(docs.withColumn("doc_id", F.col("doc_id").cast("long")), chosen, head)
@@ -415,8 +457,10 @@ def quality(docs: DataFrame, labels: DataFrame, head: int = 1 << 17, q: float =
     if trained is None:
         n = F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), "")).cast("long")
         return slim.withColumns({"n_words": n, "score": F.lit(None).cast("double"), "threshold": F.lit(None).cast("double")}).select(out)
-    scored = perplexities(slim, *trained).withColumn("score", F.when(F.col("n_words") > 0, F.col("nll") / F.col("n_words")))
+    model, packed = trained
+    scored = perplexities(slim, model, packed).withColumn("score", F.when(F.col("n_words") > 0, F.col("nll") / F.col("n_words")))
     scored = materialize(scored, "scores")
+    discard(packed)
     grain = F.grouping("lang").alias("all")
 
     def per_language(value, at, enough):
@@ -441,7 +485,7 @@ def quality(docs: DataFrame, labels: DataFrame, head: int = 1 << 17, q: float =
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the classifier keeps, each judged by its own text; rows without an id are judged too."""
     bad = quality(docs, labels, **options).where("not keep").select(F.col("content").alias("__content"), F.col("doc_id").alias("__id")).distinct()
-    bad = materialize(bad, "rejected")
+    bad = kept(bad, "rejected")
     if bad.count() <= BROADCAST_ROWS:
         bad = F.broadcast(bad)
     marked = docs.withColumn("__row", content_of())

@@ -1,16 +1,18 @@
 """Packing, pseudonyms, quality, language and neighbours: brute force, round trips and held-out accuracy."""
 
 import bisect
+import os
 import random
 import re
 import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ridgecast.llm import language, nearest, packing, pseudonyms, quality
+from ridgecast.llm import language, nearest, packing, pseudonyms, quality, store
 
 # Packing
 
@@ -468,3 +470,21 @@ def test_a_vector_of_a_third_of_the_table_is_a_few_candidates(spark, monkeypatch
     assert kept["candidates"].count() == 406
     ones = {q: [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] for q in (1000, 1050)}
     assert ones == {1000: [1001, 1002, 1003, 1004, 1005], 1050: [1000, 1001, 1002, 1003, 1004]}
+
+
+def test_shards_hold_their_ngrams_and_no_shuffle_files_or_tables_stay(spark, docs, rows):
+    rng = np.random.default_rng(9)
+    key = np.concatenate([rng.integers(0, quality.LAST, 500), quality.INNER | rng.integers(0, quality.PAIR, 300)])
+    weight, after = rng.normal(size=(2, 800))
+    after[:500] = 0.0
+    table = pa.RecordBatch.from_arrays([pa.array(np.zeros(800, np.int32)), pa.array(key), pa.array(weight), pa.array(after)], names=["shard", "key", "weight", "next"])
+    row = next(quality._pack([table.slice(0, 350), table.slice(350)]))
+    got, want = quality.unpack(row.column("keys")[0], row.column("weights")[0]), quality.with_last(key, weight, after)
+    assert all((a == b).all() for a, b in zip(got, want, strict=True))
+    written, keep = [], quality.materialize
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(quality, "materialize", lambda df, name, *a: written.append((name, spark.conf.get(store.CLEANUP, None), keep(df, name, *a))) or written[-1][2])
+        quality.quality(docs, spark.createDataFrame([(d, 1, 0) for d, _ in rows if d is not None], "doc_id long, quality int, toxic int"))
+    assert spark.conf.get(store.CLEANUP, None) is None and {x[1] for x in written} == {"true"}
+    left = {name for name, _, df in written if os.path.exists(df.stored_at.removeprefix("file://"))}
+    assert "weights" in {x[0] for x in written} and left <= {"scores", "quantiles"}
