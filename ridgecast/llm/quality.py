@@ -1,14 +1,16 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-Training takes the whole texts of all trusted labelled documents. Trigrams are counted in Spark; continuation counts, context totals and discounts D1, D2, D3+ per order follow by aggregations and joins on
-n-gram keys, which are exact. Words seen once in training fall into classes by shape, each spread evenly over its words, so unseen words cost what
-a rare word costs.
+Training takes the whole texts of all trusted labelled documents. A word's trigram (a, b, w) lies in the shard of its middle word b, and so do its bigram
+(b, w) and its context (a, b): trigrams are counted per task, sent to their shards packed, and added up there, after which continuation counts, context totals and
+discounts D1, D2, D3+ per order follow inside shards but for sums per word. A word with more occurrences than a shard should hold has several,
+dealt by the word before it; its bigrams are added up over them and repeated in each. Words seen once in training fall into classes by shape, each spread evenly over
+its words, so unseen words cost what a rare word costs.
 
 A model's cost of a word is ``c1(w) + r1(b)``, corrected by what the bigram (b, w), the context (a, b) and the trigram (a, b, w) add where
-the model has them. So a text's cost is a sum of one weight per n-gram occurrence, and scoring is a sharded count join: a
-document's n-grams are sent to the shard that holds their weights, and sums per document come back. Words (the ``MOST_WORDS`` most frequent that occur twice) and
-the ``head`` most frequent n-grams, which would make hot shards, are looked up where the text is; n-grams that a bit table of the model's
-keys does not have are never sent. Shards have a fixed number of n-grams and are repeated for groups of chunks, so blobs grow in
+the model has them. So scoring is a sharded count join: a document's trigrams are sent to the shards that hold what is added, and sums per document come back. Shards keep counts, not
+weights, which take less room and give the weights in memory. Words (the ``MOST_WORDS`` most frequent that occur twice) and
+the ``head`` most frequent trigrams, which would make hot shards, are looked up where the text is; a trigram is sent only if a bit table of the model's
+bigrams has (b, w) or (a, b). Sums are whole numbers of ``1 / ONE``, the same in any order. Shards have a fixed number of words and are repeated for groups of chunks, so blobs grow in
 proportion to the texts.
 
 ``perplexity`` is the document's: 10 to the mean negative log10 probability per word, ``score``. Chance moves the score of n words as much as
@@ -26,14 +28,15 @@ kept, its score null. Other columns are ignored; an empty table gives an empty r
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridgecast.llm.batches import NOT_SPACE, U, chunks, mix, span_hashes, words
+from ridgecast.llm.batches import NOT_SPACE, STEP, U, by_group, chunks, doc_ids, mix, ranges, span_hashes, words
 from ridgecast.llm.store import discard, materialize, shuffle_width, tidy
 
 SHAPES = 16
@@ -46,11 +49,19 @@ INNER, LAST = UNIT << 2 * BITS, (UNIT - 1) << 2 * BITS
 MOST_WORDS = (1 << BITS) - 32
 #: Texts for which a shard is repeated: they ask for as much as it holds.
 GROUP_BYTES = 64 << 20
-#: N-grams of a shard, and the most rejected rows that are broadcast; beyond that texts are joined by exchange.
+#: Trained words of a shard, and the most rejected rows that are broadcast; beyond that texts are joined by exchange.
 SHARD_LOG2 = 18
 #: Bits of the table that tells which n-grams are worth asking for: 16 for each n-gram, 2 ** 27 at most. A fuller table lets more through, to no other result.
 MOST_BITS_LOG2 = 27
 BROADCAST_ROWS = 1_000_000
+#: Trigrams that a task gathers before it sends them, counts that are told apart for the head, and the unit of sums that shards send back.
+GATHER = 2_000_000
+COUNTS = 1 << 14
+ONE = 2.0**32
+#: Chunks that a shard answers at once.
+AT_ONCE = 32
+#: Documents are scored in so many passes, by hash of their texts, so that only the trigrams of one pass lie on the disks.
+PASSES = 3
 
 
 def shape(c, w) -> np.ndarray:
@@ -64,15 +75,15 @@ def shape(c, w) -> np.ndarray:
     return (upper * 1 + has_lower * 2 + np.where(plain_end, 0, np.where(stop, 4, 8))).astype(np.int64)
 
 
-def _units(c, known: np.ndarray):
-    """(words, unit of each word): its place among known words, or its shape's place after them."""
+def _units(c, m: Model):
+    """(words, unit of each word): its rank among known words, or its shape's place after them."""
     w = words(c, NOT_SPACE)
     h = span_hashes(c.data, w.start, w.end)
-    s = shape(c, w) + len(known)
-    if not len(known):
+    s = shape(c, w) + len(m.known)
+    if not len(m.known):
         return w, s
-    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-    return w, np.where(known[at] == h, at, s)
+    at = np.minimum(np.searchsorted(m.known, h), len(m.known) - 1)
+    return w, np.where(m.known[at] == h, m.unit[at], s)
 
 
 def _contexts(w, units: np.ndarray, bos: int):
@@ -104,14 +115,123 @@ def _vocabulary(batches):
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(s), pa.array(n.astype(np.int64))], names=["h", "s", "n"])
 
 
-def _trigrams(known):
+def _sum_by(key: np.ndarray, n: np.ndarray):
+    order = np.argsort(key)
+    key = key[order]
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return key[at], np.add.reduceat(n[order], at) if len(at) else n[:0]
+
+
+def _trigrams(shared):
+    """A task's trigrams and their counts, sorted, to their shards."""
+
+    def flush(m, found):
+        k, n = _sum_by(*(np.concatenate(x) for x in zip(*found, strict=True)))
+        shard = m.shard_of(k)
+        part, rows = [], []
+        for p, at in by_group(shard):
+            part.append(p)
+            rows.append((_blob(np.diff(k[at], prepend=0)), _blob(n[at])))
+        return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), *(pa.array(x, pa.binary()) for x in zip(*rows, strict=True))], names=["part", "keys", "counts"])
+
+    def run(batches):
+        m = shared.value
+        found, have = [], 0
+        for batch in batches:
+            for c in chunks(batch.column("text"), 1 << 20):
+                w, u = _units(c, m)
+                if not len(u):
+                    continue
+                found.append(np.unique(keys(w, u, m.start)[2], return_counts=True))
+                have += len(found[-1][0])
+                if have > GATHER:
+                    yield flush(m, found)
+                    found, have = [], 0
+        if found:
+            yield flush(m, found)
+
+    return run
+
+
+def _add_up(batches):
+    """A shard's trigrams with their counts as one row, and how many there are of each count."""
+    part, found = None, []
+    for batch in batches:
+        for i, p in enumerate(batch.column("part").to_pylist()):
+            part = p
+            found.append((np.cumsum(_unblob(batch.column("keys")[i], np.int64)), _unblob(batch.column("counts")[i], np.int64)))
+    if part is None:
+        return
+    key, n = _sum_by(*(np.concatenate(x) for x in zip(*found, strict=True)))
+    row = next(_pack([_numbers(part, key, n)]))
+    yield row.append_column("times", pa.array([np.bincount(np.minimum(n, COUNTS - 1), minlength=COUNTS)], pa.list_(pa.int64())))
+
+
+def _numbers(shard, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    shard = np.broadcast_to(np.asarray(shard, np.int32), len(key))
+    return pa.RecordBatch.from_arrays([pa.array(shard), pa.array(key), pa.array(n.astype(np.float64)), pa.array(np.zeros(len(key)))], names=["shard", "key", "weight", "next"])
+
+
+def _pairs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bigrams (b, w) of a shard's trigrams, and how many words they were seen after."""
+    return np.unique(key & PAIR, return_counts=True)
+
+
+def _often_pairs(shared):
+    """The bigrams of words that have several shards, as far as each of these has them."""
+
+    def run(batches):
+        m = shared.value
+        for batch in batches:
+            for i in range(batch.num_rows):
+                k, n = _pairs(unpack(batch.column("keys")[i], batch.column("weights")[i])[0])
+                often = m.pieces(k >> BITS) > 1
+                yield pa.RecordBatch.from_arrays([pa.array(k[often]), pa.array(n[often])], names=["k", "n"])
+
+    return run
+
+
+def _deal(shared):
+    """Bigrams of words that have several shards, to each of these."""
+
     def run(batches):
-        v = known.value
+        m = shared.value
         for batch in batches:
-            for c in chunks(batch.column("text")):
-                w, u = _units(c, v)
-                k, n = np.unique(keys(w, u, len(v) + SHAPES)[2], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n.astype(np.int64))], names=["k", "n"])
+            k, n = batch.column("k").to_numpy(), batch.column("n").to_numpy()
+            size = m.pieces(k >> BITS)
+            at = np.repeat(np.arange(len(k)), size)
+            piece = ranges(np.zeros(len(k), np.int64), size)
+            yield _numbers(m.home(k[at] >> BITS, piece).astype(np.int32), k[at] | INNER, n[at])
+
+    return run
+
+
+BY_UNIT = ("n1", "n2", "n3", "n4", "pairs", "times", "before")
+
+
+def _by_unit(shared):
+    """Of each word: how many bigrams that it begins occur 1 to 4 times, how many there are, their occurrences, and how many bigrams it ends.
+
+    Takes shards, of which words that have several are left out, or the bigrams of those (k, n).
+    """
+
+    def tell(k, n):
+        b, bi = np.unique(k >> BITS, return_inverse=True)
+        w, ended = np.unique(k & UNIT, return_counts=True)
+        some = [np.bincount(bi[n == t], minlength=len(b)) for t in (1, 2, 3, 4)] + [np.bincount(bi, minlength=len(b)), np.bincount(bi, n, minlength=len(b))]
+        cols = [np.concatenate([x.astype(np.int64), np.zeros(len(w), np.int64)]) for x in some] + [np.concatenate([np.zeros(len(b), np.int64), ended])]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([b, w])), *map(pa.array, cols)], names=["unit", *BY_UNIT])
+
+    def run(batches):
+        m = shared.value
+        for batch in batches:
+            if "k" in batch.schema.names:
+                yield tell(batch.column("k").to_numpy(), batch.column("n").to_numpy())
+                continue
+            for i in range(batch.num_rows):
+                k, n = _pairs(unpack(batch.column("keys")[i], batch.column("weights")[i])[0])
+                one = m.pieces(k >> BITS) == 1
+                yield tell(k[one], n[one])
 
     return run
 
@@ -124,29 +244,60 @@ def discounts(c: list[float]) -> list[float]:
     return [float(np.clip(k - (k + 1) * y * c[k] / c[k - 1], 0.05, k - 0.05)) for k in (1, 2, 3)]
 
 
-def _discounted(table: DataFrame) -> DataFrame:
-    """``table`` (n) with d, the discount of its count."""
-    found = {r["k"]: float(r["c"]) for r in table.groupBy(F.least("n", F.lit(5)).alias("k")).agg(F.count("*").alias("c")).collect()}
-    d = discounts([found.get(k, 0.0) for k in range(1, 5)])
-    return table.withColumn("d", F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2]))
+def _less(n: np.ndarray, d) -> np.ndarray:
+    """The discount of each count; nothing of none."""
+    return np.concatenate([[0.0], d])[np.minimum(n, 3).astype(np.int64)]
 
 
-def _cost(p: Column) -> Column:
-    return -F.log10(p)
+ARRAYS = ("known", "cost", "rest", "head_key", "head_weight", "bits", "unit", "times", "p1", "rest2", "total2")
 
 
 @dataclass
 class Model:
-    """What every task has: words, their costs, the head of the n-grams and the bit table of all others."""
+    """What every task has: words, their costs, the head of the trigrams and the bit table of bigrams; of numbers by unit, those that a shard needs for its weights.
+
+    ``most``: occurrences of a word that one shard takes.
+    """
 
     known: np.ndarray
     cost: np.ndarray
     rest: np.ndarray
-    start: float
+    most: float
     head_key: np.ndarray
     head_weight: np.ndarray
     bits: np.ndarray
     shards: int
+    unit: np.ndarray | None = None
+    times: np.ndarray | None = None
+    p1: np.ndarray | None = None
+    rest2: np.ndarray | None = None
+    total2: np.ndarray | None = None
+    less2: tuple = ()
+    less3: tuple = ()
+
+    def __getstate__(self):
+        """Arrays go compressed: every executor and the driver keep a broadcast on disk."""
+        return {x: (v.dtype.str, _blob(v)) if isinstance(v, np.ndarray) else v for x, v in self.__dict__.items()}
+
+    def __setstate__(self, state):
+        self.__dict__.update({x: _unblob(pa.scalar(v[1], pa.binary()), v[0]) if x in ARRAYS and v is not None else v for x, v in state.items()})
+
+    @property
+    def start(self) -> int:
+        """The unit before a text."""
+        return len(self.known) + SHAPES
+
+    def pieces(self, b: np.ndarray) -> np.ndarray:
+        """How many shards each word has."""
+        return np.maximum(1, np.ceil(self.times[b] / self.most)).astype(np.int64)
+
+    def home(self, b: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        return ((mix(b.view(np.uint64) ^ U(0x632BE59BD9B4E019)) % U(self.shards)).astype(np.int64) + piece) % self.shards
+
+    def shard_of(self, key: np.ndarray) -> np.ndarray:
+        """The shard of each trigram."""
+        a, b = key >> 2 * BITS, key >> BITS & UNIT
+        return self.home(b, (mix(a.view(np.uint64)) % self.pieces(b).view(np.uint64)).astype(np.int64))
 
     def has(self, key: np.ndarray) -> np.ndarray:
         key = mix(key.view(np.uint64))
@@ -162,12 +313,6 @@ class Model:
         return hit, np.where(hit, self.head_weight[at], 0.0)
 
 
-def shard_of(key: np.ndarray, shards: int) -> np.ndarray:
-    """Both keys of a bigram have one shard."""
-    key = np.where(key >= LAST, key & PAIR, key)
-    return (mix(key.view(np.uint64) ^ U(0x632BE59BD9B4E019)) % U(shards)).astype(np.int64)
-
-
 def trusted_ids(labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(ids that thresholds are taken from, ids to train on): quality 1 and toxic not 1."""
     ok = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.coalesce("quality", F.lit(0))).alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t")).where("q = 1 and t = 0").select(F.col("doc_id").cast("long").alias("doc_id"))
@@ -182,89 +327,154 @@ def kept(df: DataFrame, name: str) -> DataFrame:
 
 
 def train(docs: DataFrame, ids: DataFrame, head: int) -> tuple[Model, DataFrame] | None:
-    """(model, table of the n-grams in shards, a row each) of the texts of ``ids``; None if they have fewer than 100 words."""
-    sc = docs.sparkSession.sparkContext
+    """(model, table of the shards, a row each) of the texts of ``ids``; None if they have fewer than 100 words."""
+    spark = docs.sparkSession
+    sc = spark.sparkContext
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
     text = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).join(ids, "doc_id", "left_semi").select("text")
     text = kept(text, "trusted")
     vocab = text.mapInArrow(_vocabulary, "h long, s long, n long").groupBy("h").agg(F.first("s").alias("s"), F.sum("n").alias("n"))
     vocab = materialize(vocab, "vocabulary")
     # Of words seen once, and of those beyond the most that units have room for, only their number per shape is kept.
     by_shape = vocab.groupBy("s").agg(F.count("*").alias("words"), F.sum("n").alias("times")).collect()
-    if sum(r["times"] for r in by_shape) < 100:
+    total = sum(r["times"] for r in by_shape)
+    if total < 100:
         return None
-    often = vocab.where("n > 1").orderBy(F.desc("n"), "h").limit(MOST_WORDS).select("h", "s").toArrow()
+    often = vocab.where("n > 1").orderBy(F.desc("n"), "h").limit(MOST_WORDS).select("h", "s", "n").toArrow()
     discard(vocab)
-    known = np.sort(often["h"].to_numpy().view("uint64"))
-    rare = -np.bincount(often["s"].to_numpy(), minlength=SHAPES)
+    h, s, n = (often[x].to_numpy() for x in ("h", "s", "n"))
+    # Units by frequency, so that high bytes of n-grams are much alike.
+    rank = np.lexsort((h, -n))
+    h, s, n = h[rank].view("uint64"), s[rank], n[rank]
+    unit = np.argsort(h)
+    rare, times = -np.bincount(s, minlength=SHAPES), -np.bincount(s, n, minlength=SHAPES)
     for r in by_shape:
         rare[r["s"]] += r["words"]
+        times[r["s"]] += r["times"]
     spread = np.log10(rare + 1.0)
-    units, bos = len(known) + SHAPES + 1, len(known) + SHAPES
-    shared = sc.broadcast(known)
-    tri = kept(text.mapInArrow(_trigrams(shared), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")), "trigrams")
+    units = len(h) + SHAPES + 1
+    shards = max(1, min(int(total) >> SHARD_LOG2, shuffle_width(spark)))
+    none = np.zeros(0, np.int64)
+    model = Model(h[unit], none, none, total / shards, none, none, none, shards, unit.astype(np.int32), np.concatenate([n, times, [0]]).astype(float))
+    shared = sc.broadcast(model)
+    shard = "shard int, keys binary, weights binary"
+    counts = text.mapInArrow(_trigrams(shared), "part int, keys binary, counts binary").repartitionById(shards, F.col("part"))
+    counts = kept(counts.mapInArrow(_add_up, f"{shard}, times array<long>"), "counts")
     discard(text)
-    # What a bigram or a word was seen after, once each: continuation counts.
-    bi = kept(tri.groupBy(F.col("k").bitwiseAND(F.lit(PAIR)).alias("k")).agg(F.count("*").alias("n"), F.sum("n").alias("times")), "bigrams")
-
-    # A row per unit. What discounts free goes to all words and one unseen one alike.
-    one = _discounted(bi.groupBy(F.col("k").bitwiseAND(F.lit(UNIT)).alias("w")).agg(F.count("*").alias("n"))).toArrow()
-    n1, d1 = one["n"].to_numpy().astype(float), one["d"].to_numpy()
-    unseen = d1.sum() / n1.sum() / (len(n1) + 1)
-    p1, rest2, total2 = np.full(units, unseen), np.ones(units), np.ones(units)
-    p1[one["w"].to_numpy()] += (n1 - d1) / n1.sum()
-    two = _discounted(bi)
-    after = two.groupBy(F.shiftright("k", BITS).alias("b")).agg(F.sum("n").alias("c"), (F.sum("d") / F.sum("n")).alias("rest")).toArrow()
-    rest2[after["b"].to_numpy()], total2[after["b"].to_numpy()] = after["rest"].to_numpy(), after["c"].to_numpy()
-    two = two.mapInArrow(_bigram_probabilities(sc.broadcast((p1, rest2, total2))), "k long, times long, p2 double, own double")
-
-    context = Window.partitionBy(F.shiftright("k", BITS))
-    three = _discounted(tri).withColumns({"c3": F.sum("n").over(context), "rest3": F.sum("d").over(context) / F.sum("n").over(context)})
-    # Step by step, so that no step's exchanges lie on the disks beside another's.
-    three = kept(three, "contexts")
-    discard(tri)
-    above = kept(three.groupBy(F.shiftright("k", BITS).alias("x")).agg(F.first("rest3").alias("rest3")), "above")
-    met = three.join(two.select(F.col("k").alias("pair"), "p2"), F.col("k").bitwiseAND(F.lit(PAIR)) == F.col("pair"))
-    p3 = (F.col("n") - F.col("d")) / F.col("c3") + F.col("rest3") * F.col("p2")
-    nothing = F.lit(0.0).alias("next")
-    met = kept(met.select(F.col("k").alias("key"), (_cost(p3) - _cost(F.col("rest3")) - _cost(F.col("p2"))).alias("weight"), nothing, F.col("n").alias("times")), "weights")
-    discard(three)
-    two = two.join(above, F.col("k") == F.col("x"), "left").select(F.col("k").bitwiseOR(F.lit(INNER)).alias("key"), F.col("own").alias("weight"), F.coalesce(_cost(F.col("rest3")), F.lit(0.0)).alias("next"), "times")
-    two = kept(two, "weights")
-    table = met.unionByName(two)
-
-    cost, rest = -np.log10(p1), -np.log10(rest2)
-    cost[len(known) : bos] += spread
-    start = above.where(F.col("x") == (bos << BITS | bos)).first()
-    discard(bi, above)
-    top = table.orderBy(F.desc("times"), "key").limit(head).toArrow()
-    if top.num_rows:
-        edge, edge_key = top["times"][-1].as_py(), top["key"][-1].as_py()
-        table = table.where((F.col("times") < edge) | ((F.col("times") == edge) & (F.col("key") > edge_key)))
-    far = table.count()
-    head_key, head_weight = with_last(*(top[x].to_numpy() for x in ("key", "weight", "next")))
-    model = Model(known, cost, rest, -math.log10(start["rest3"]) if start else 0.0, head_key, head_weight, bit_table(table.select("key")), max(1, far >> SHARD_LOG2))
-    return model, pack_shards(table, model, met, two)
-
-
-def pack_shards(table: DataFrame, model: Model, *weights: DataFrame) -> DataFrame:
-    """A row per shard with the n-grams of ``table``, written in place of ``weights``."""
-    model.shards = min(model.shards, shuffle_width(table.sparkSession))
-    table = table.select("key", "weight", "next").mapInArrow(_with_shard(model.shards), "shard int, key long, weight double, next double")
-    packed = kept(table.repartitionById(model.shards, F.col("shard")).mapInArrow(_pack, "shard int, keys binary, weights binary"), "shards")
-    discard(*weights)
-    return packed
-
-
-def _bigram_probabilities(shared):
-    """Probabilities of bigrams, and what their cost differs by from that of the words alone."""
+    slim = counts.select("shard", "keys", "weights")
+    told, rows, stored = slim.mapInArrow(_by_unit(shared), kind := "unit long, " + ", ".join(f"{x} long" for x in BY_UNIT)), slim, [counts]
+    if (model.times > model.most).any():
+        pairs = kept(slim.mapInArrow(_often_pairs(shared), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")), "pairs")
+        told = told.unionByName(pairs.mapInArrow(_by_unit(shared), kind))
+        dealt = pairs.mapInArrow(_deal(shared), "shard int, key long, weight double, next double").repartitionById(shards, F.col("shard"))
+        stored += [pairs, dealt := kept(dealt.mapInArrow(_pack, shard), "dealt")]
+        rows = rows.unionByName(dealt)
+    told = told.groupBy("unit").agg(*(F.sum(x).alias(x) for x in BY_UNIT)).toArrow()
+    by = {x: np.zeros(units) for x in BY_UNIT}
+    for x in BY_UNIT:
+        by[x][told["unit"].to_numpy()] = told[x].to_numpy()
+    of_count = sum(x.values.to_numpy() for x in counts.select("times").toArrow()["times"])
+
+    # What discounts free goes to all words and one unseen one alike.
+    n1 = by["before"]
+    d1 = _less(n1, discounts([float((n1 == k).sum()) for k in range(1, 5)]))
+    model.p1 = (n1 - d1) / n1.sum() + d1.sum() / n1.sum() / ((n1 > 0).sum() + 1)
+    model.less2 = discounts([by[f"n{k}"].sum() for k in range(1, 5)])
+    begins, (x, y, z) = by["pairs"] > 0, model.less2
+    model.total2 = np.where(begins, by["times"], 1.0)
+    model.rest2 = np.where(begins, (x * by["n1"] + y * by["n2"] + z * (by["pairs"] - by["n1"] - by["n2"])) / model.total2, 1.0)
+    model.less3 = discounts([float(of_count[k]) for k in range(1, 5)])
+    model.cost, model.rest = -np.log10(model.p1), -np.log10(model.rest2)
+    model.cost[len(h) : model.start] += spread
+
+    above = np.cumsum(of_count[::-1])[::-1]
+    least = int(np.flatnonzero(above <= head)[0]) if above[-1] <= head else None
+    n_pairs = int(by["pairs"].sum())
+    del told, often, by
+    numbers = sc.broadcast(replace(model, known=none, unit=none, cost=none, rest=none))
+    packed = rows.repartitionById(shards, F.col("shard")).mapInArrow(_finish(numbers, least), f"{shard}, head_keys binary, head_weights binary")
+    packed = kept(packed, "weights")
+    discard(*stored)
+    shared.destroy()
+    numbers.destroy()
+    found = packed.select("head_keys", "head_weights").toArrow()
+    key, weight = (np.concatenate([np.zeros(0, t), *(_unblob(b, t) for b in found[x])]) for x, t in (("head_keys", np.int64), ("head_weights", np.float64)))
+    order = np.argsort(key)
+    model.head_key, model.head_weight = key[order], weight[order]
+    packed_slim = packed.select("shard", "keys", "weights")
+    packed_slim.stored_at = packed.stored_at
+    # Bigrams without a mark, for which half the bits do.
+    model.bits = bit_table(packed_slim.mapInArrow(_keys_of_pairs, "key long"), n_pairs // 2)
+    return model, packed_slim
+
+
+def _keys_of_pairs(batches):
+    for batch in batches:
+        for i in range(batch.num_rows):
+            key = unpack(batch.column("keys")[i], batch.column("weights")[i])[0]
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(key[(key < LAST) | (key >= INNER)] & PAIR))], names=["key"])
+
+
+class Shard:
+    """What a shard's trigrams, bigrams and contexts add to the cost of a word; ``key``, ``n``: counts of its trigrams and, marked, of all bigrams of words that have several shards."""
+
+    def __init__(self, key: np.ndarray, n: np.ndarray, m: Model):
+        marked, tri = key >= INNER, key < LAST
+        pair, times = _pairs(key[tri])
+        one = m.pieces(pair >> BITS) == 1
+        pair, times = np.concatenate([pair[one], key[marked] & PAIR]), np.concatenate([times[one], n[marked]])
+        order = np.argsort(pair)
+        self.pair, times = pair[order], times[order]
+        b, w = self.pair >> BITS, self.pair & UNIT
+        p2 = (times - _less(times, m.less2)) / m.total2[b] + m.rest2[b] * m.p1[w]
+        self.own = -np.log10(p2) + np.log10(m.rest2[b]) + np.log10(m.p1[w])
+        order = np.argsort(key[tri])
+        self.key, n = key[tri][order], n[tri][order]
+        context = self.key >> BITS
+        first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(context) else np.zeros(0, np.int64)
+        self.context = context[first]
+        less = _less(n, m.less3)
+        total, freed = (np.add.reduceat(x, first) if len(first) else np.zeros(0) for x in (n, less))
+        rest = freed / np.maximum(total, 1)
+        self.next = -np.log10(rest)
+        size = np.diff(np.append(first, len(context)))
+        total, rest, p2 = np.repeat(total, size), np.repeat(rest, size), p2[np.searchsorted(self.pair, self.key & PAIR)]
+        self.weight = -np.log10((n - less) / total + rest * p2) + np.log10(rest) + np.log10(p2)
+        self.n = n
+
+    def added(self, key: np.ndarray) -> np.ndarray:
+        """By each trigram asked for, with its bigram and its context."""
+        out = np.zeros(len(key))
+        hits = []
+        for table, value, asked in ((self.pair, self.own, key & PAIR), (self.context, self.next, key >> BITS)):
+            hits.append(np.zeros(len(key), bool))
+            if len(table):
+                at = np.minimum(np.searchsorted(table, asked), len(table) - 1)
+                hits[-1] = table[at] == asked
+                out += np.where(hits[-1], value[at], 0.0)
+        both = np.flatnonzero(hits[0] & hits[1])
+        at = np.minimum(np.searchsorted(self.key, key[both]), len(self.key) - 1)
+        out[both] += np.where(self.key[at] == key[both], self.weight[at], 0.0)
+        return out
+
+
+def _finish(shared, least: int | None):
+    """A shard as one row, and what its trigrams that occur ``least`` times or more add."""
 
     def run(batches):
-        p1, rest2, total2 = shared.value
+        part, found = None, []
         for batch in batches:
-            k, n, d = (batch.column(x).to_numpy() for x in ("k", "n", "d"))
-            b, w = k >> BITS, k & UNIT
-            p2 = (n - d) / total2[b] + rest2[b] * p1[w]
-            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("times"), pa.array(p2), pa.array(-np.log10(p2) + np.log10(rest2[b]) + np.log10(p1[w]))], names=["k", "times", "p2", "own"])
+            for i, p in enumerate(batch.column("shard").to_pylist()):
+                part = p
+                found.append(unpack(batch.column("keys")[i], batch.column("weights")[i]))
+        if part is None:
+            return
+        key, n = (np.concatenate(x) for x in zip(*found, strict=True))
+        shard = Shard(key, n, shared.value)
+        head = shard.key[shard.n >= least] if least is not None else shard.key[:0]
+        own = (key < LAST) | (key >= INNER)
+        row = next(_pack([_numbers(part, key[own], n[own])]))
+        yield row.append_column("head_keys", pa.array([_blob(head)], pa.binary())).append_column("head_weights", pa.array([_blob(shard.added(head))], pa.binary()))
 
     return run
 
@@ -277,9 +487,9 @@ def with_last(key: np.ndarray, weight: np.ndarray, after: np.ndarray) -> tuple[n
     return key[order], weight[order]
 
 
-def bit_table(table: DataFrame) -> np.ndarray:
-    """Two bits for each key of ``table`` (key), both of a bigram's, among 16 or more as long as ``MOST_BITS_LOG2`` allows; tasks send tables of their own to the driver."""
-    n = table.select(F.count("*") + F.count_if(F.col("key") >= INNER)).first()[0]
+def bit_table(table: DataFrame, n: int | None = None) -> np.ndarray:
+    """Two bits for each key of ``table`` (key), both of a bigram's, among 16 or more as long as ``MOST_BITS_LOG2`` allows; tasks send tables of their own to the driver. ``n`` is their number, if it is known."""
+    n = table.select(F.count("*") + F.count_if(F.col("key") >= INNER)).first()[0] if n is None else n
     log2 = min(MOST_BITS_LOG2, max(10, math.ceil(math.log2(16 * max(1, n)))))
     mask = U((1 << log2) - 1)
 
@@ -303,8 +513,10 @@ def bit_table(table: DataFrame) -> np.ndarray:
     return bits
 
 
-ASKED = "part int, kind int, doc_id array<long>, content array<long>, lang array<string>, n array<long>, cost array<double>, size array<int>, keys binary, weights binary"
-ANSWERED = "doc_id long, content long, lang string, own long, n long, nll double"
+#: Kinds: 0 a shard (keys, weights), 1 a chunk's rows with what is known on the spot, 2 a chunk's trigrams (keys) and how many each row has (weights).
+ROWS = "chunk long, doc_id array<long>, content array<long>, lang array<string>, n array<long>, cost array<double>"
+ASKED = f"part int, kind int, {ROWS}, keys binary, weights binary"
+ANSWERED = f"part int, {ROWS}, sums binary"
 
 
 def _blob(x: np.ndarray) -> bytes:
@@ -321,44 +533,44 @@ def _unblob(scalar, dtype) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(dtype).reshape(n)
 
 
+def _chunk_key(ids, contents) -> int:
+    """Tells chunks apart; those alike in ids and texts, row by row, share it."""
+    x = mix(contents.to_numpy().view(np.uint64)) + mix(doc_ids(ids).view(np.uint64) ^ U(0x2545F4914F6CDD1D)) * STEP[30]
+    return int(np.bitwise_xor.reduce(mix(x + np.arange(len(x), dtype=np.uint64) * STEP[31])).view(np.int64))
+
+
 def _ask(shared, groups: int):
-    """Each chunk's n-grams to their shards, in the order of the text; the first shard also gets what is known on the spot."""
+    """Each chunk's trigrams to their shards, in the order of the text; what is known on the spot goes along."""
 
     def run(batches):
         m = shared.value
         for batch in batches:
             ids, contents, langs = batch.column("doc_id"), batch.column("content"), batch.column("lang")
             for c in chunks(batch.column("text"), 1 << 20):
-                w, u = _units(c, m.known)
-                b, two, three = keys(w, u, len(m.known) + SHAPES)
-                cost = m.cost[u] + m.rest[b]
-                end = np.ones(len(u), bool)
-                end[:-1] = w.doc[1:] != w.doc[:-1]
-                key = np.concatenate([np.where(end, two | LAST, two | INNER), three])
-                row = np.concatenate([w.doc, w.doc])
+                w, u = _units(c, m)
+                a, b = _contexts(w, u, m.start)
+                two = (b << BITS) | u
+                key = (a << 2 * BITS) | two
                 hit, weight = m.of_head(key)
                 n = np.bincount(w.doc, minlength=c.n)
-                known = np.bincount(w.doc, cost, minlength=c.n) + np.bincount(row[hit], weight[hit], minlength=c.n) + m.start * (n > 0)
-                far = ~hit & m.has(key)
-                key, row = key[far], row[far]
-                shard = shard_of(key, m.shards)
-                order = np.argsort(shard * c.n + row, kind="stable")
-                cut = np.searchsorted(shard[order], np.arange(m.shards + 1))
-                group = int(np.bitwise_xor.reduce(contents.slice(c.first, c.n).to_numpy()) % groups)
-                for p in range(m.shards):
-                    k = order[cut[p] : cut[p + 1]]
-                    size = np.bincount(row[k], minlength=c.n)
-                    live = np.arange(c.n) if p == 0 else np.flatnonzero(size)
-                    if not len(live):
-                        continue
-                    at = pa.array(live + c.first)
-                    many = lambda values: pa.ListArray.from_arrays(pa.array([0, len(live)], pa.int32()), values)  # noqa: B023, E731
-                    none = lambda kind: pa.nulls(1, pa.list_(kind))
-                    own = [many(langs.take(at)), many(pa.array(n.astype(np.int64))), many(pa.array(known))] if p == 0 else [none(pa.string()), none(pa.int64()), none(pa.float64())]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([p * groups + group], pa.int32()), pa.array([1], pa.int32()), many(ids.take(at)), many(contents.take(at)), *own, many(pa.array(size[live].astype(np.int32))), pa.array([_blob(key[k])], pa.binary()), pa.nulls(1, pa.binary())],
-                        names=["part", "kind", "doc_id", "content", "lang", "n", "cost", "size", "keys", "weights"],
-                    )
+                known = np.bincount(w.doc, m.cost[u] + m.rest[b] + weight, minlength=c.n)
+                far = np.flatnonzero(~hit)
+                far = far[m.has(two[far]) | m.has(key[far] >> BITS) | (b[far] == m.start)]
+                key, row = key[far], w.doc[far]
+                mine = [x.slice(c.first, c.n) for x in (ids, contents, langs)]
+                chunk = _chunk_key(*mine[:2])
+                group = chunk % groups
+                part, asked, sizes = [chunk // groups % m.shards * groups + group], [None], [None]
+                for p, k in by_group(m.shard_of(key)):
+                    part.append(p * groups + group)
+                    asked.append(_blob(key[k]))
+                    sizes.append(_blob(np.bincount(row[k], minlength=c.n).astype(np.int32)))
+                once = lambda x: pa.ListArray.from_arrays(pa.array([0] + [c.n] * len(part), pa.int32()), x, mask=pa.array([False] + [True] * (len(part) - 1)))  # noqa: B023, E731
+                cols = [pa.array([chunk] * len(part)), *map(once, (*mine, pa.array(n.astype(np.int64)), pa.array(known)))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part, pa.int32()), pa.array([1] + [2] * (len(part) - 1), pa.int32()), *cols, pa.array(asked, pa.binary()), pa.array(sizes, pa.binary())],
+                    names=["part", "kind", "chunk", "doc_id", "content", "lang", "n", "cost", "keys", "weights"],
+                )
 
     return run
 
@@ -387,55 +599,67 @@ def unpack(keys, weights) -> tuple[np.ndarray, np.ndarray]:
     return with_last(key, found[: len(key)], after)
 
 
-def _answer(batches):
-    """In a part: the shard's n-grams come first, then chunks; each row's sum goes back."""
-    key, weight = np.zeros(0, np.int64), np.zeros(0)
+def _answer(shared, buckets: int):
+    """In a part: the shard comes first, then chunks; each row's sum goes to the chunk's bucket, as do the chunks' rows."""
+
+    def run(batches):
+        shard = None
+        for batch in batches:
+            kinds, chunk = batch.column("kind").to_numpy(), batch.column("chunk")
+            for i in np.flatnonzero(kinds == 0):
+                shard = Shard(*unpack(batch.column("keys")[int(i)], batch.column("weights")[int(i)]), shared.value)
+            to = lambda x: pa.array(x.to_numpy() % buckets, pa.int32())
+            own = batch.filter(pa.array(kinds == 1))
+            if own.num_rows:
+                yield pa.RecordBatch.from_arrays([to(own.column("chunk")), *(own.column(x) for x in ("chunk", "doc_id", "content", "lang", "n", "cost")), pa.nulls(own.num_rows, pa.binary())], names=[x.split()[0] for x in ANSWERED.split(", ")])
+            asked = np.flatnonzero(kinds == 2)
+            for at in range(0, len(asked), AT_ONCE):
+                some = [int(i) for i in asked[at : at + AT_ONCE]]
+                size = [_unblob(batch.column("weights")[i], np.int32) for i in some]
+                key = np.concatenate([_unblob(batch.column("keys")[i], np.int64) for i in some])
+                ends = np.cumsum([len(x) for x in size])
+                found = np.zeros(len(key)) if shard is None else shard.added(key)
+                total = np.rint(np.bincount(np.repeat(np.arange(ends[-1]), np.concatenate(size)), found, minlength=ends[-1]) * ONE).astype(np.int64)
+                sums = pa.array([_blob(x) for x in np.split(total, ends[:-1])], pa.binary())
+                mine = chunk.take(pa.array(some))
+                none = [pa.nulls(len(some), pa.list_(t)) for t in (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.float64())]
+                yield pa.RecordBatch.from_arrays([to(mine), mine, *none, sums], names=[x.split()[0] for x in ANSWERED.split(", ")])
+
+    return run
+
+
+def _sum_up(batches):
+    """In a bucket: the rows of its chunks with their sums. Chunks alike are asked for as often as they occur."""
+    own, sums = {}, {}
     for batch in batches:
-        for i, kind in enumerate(batch.column("kind").to_pylist()):
-            if kind == 0:
-                key, weight = unpack(batch.column("keys")[i], batch.column("weights")[i])
-                continue
-            asked = _unblob(batch.column("keys")[i], np.int64)
-            if len(key):
-                at = np.minimum(np.searchsorted(key, asked), len(key) - 1)
-                found = np.where(key[at] == asked, weight[at], 0.0)
+        for i, chunk in enumerate(batch.column("chunk").to_pylist()):
+            if batch.column("sums")[i].is_valid:
+                x = _unblob(batch.column("sums")[i], np.int64)
+                sums[chunk] = sums[chunk] + x if chunk in sums else x
             else:
-                found = np.zeros(len(asked))
-            size = batch.column("size")[i].values.to_numpy()
-            total = np.bincount(np.repeat(np.arange(len(size)), size), found, minlength=len(size))
-            ids, content = batch.column("doc_id")[i].values, batch.column("content")[i].values
-            first = batch.column("lang").is_valid()[i].as_py()
-            lang = batch.column("lang")[i].values if first else pa.nulls(len(size), pa.string())
-            n = batch.column("n")[i].values if first else pa.array(np.zeros(len(size), np.int64))
-            total = total + batch.column("cost")[i].values.to_numpy() if first else total
-            yield pa.RecordBatch.from_arrays([ids, content, lang, pa.array(np.full(len(size), int(first))), n, pa.array(total)], names=["doc_id", "content", "lang", "own", "n", "nll"])
-
-
-def perplexities(docs: DataFrame, model: Model, packed: DataFrame) -> DataFrame:
-    """Per row of ``docs`` (doc_id, content, lang, text): doc_id, content, lang, n_words, nll (in log10)."""
+                own.setdefault(chunk, []).append([batch.column(x)[i].values for x in ("doc_id", "content", "lang", "n", "cost")])
+    for chunk, found in own.items():
+        for ids, content, lang, n, cost in found:
+            nll = cost.to_numpy() + (sums[chunk] / (ONE * len(found)) if chunk in sums else 0.0)
+            yield pa.RecordBatch.from_arrays([ids, content, lang, n, pa.array(nll)], names=["doc_id", "content", "lang", "n_words", "nll"])
+
+
+def perplexities(docs: DataFrame, model: Model, packed: DataFrame, shared=None) -> DataFrame:
+    """Per row of ``docs`` (doc_id, content, lang, text): doc_id, content, lang, n_words, nll (in log10). ``shared``: the model, if it was broadcast before."""
     spark = docs.sparkSession
     shards = model.shards
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     groups = max(1, min(shuffle_width(spark) // shards, -(-size // GROUP_BYTES)))
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(model) if shared is None else shared
     packed = packed.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    none = {name: F.lit(None).cast(kind).alias(name) for name, kind in (x.split(" ") for x in ASKED.split(", "))}
-    packed = packed.select((F.col("shard") * groups + F.col("group")).alias("part"), F.lit(0).alias("kind"), *(none[x] for x in ("doc_id", "content", "lang", "n", "cost", "size")), "keys", "weights")
+    none = [F.lit(None).cast(kind).alias(name) for name, kind in (x.split(" ") for x in ROWS.split(", "))]
+    packed = packed.select((F.col("shard") * groups + F.col("group")).alias("part"), F.lit(0).alias("kind"), *none, "keys", "weights")
     asked = docs.mapInArrow(_ask(shared, groups), ASKED)
     dealt = asked.unionByName(packed).repartitionById(shards * groups, F.col("part")).sortWithinPartitions("kind")
-    found = dealt.mapInArrow(_answer, ANSWERED).groupBy("doc_id", "content").agg(F.first("lang", True).alias("lang"), F.sum("own").alias("times"), F.sum("n").alias("n"), F.sum("nll").alias("nll"))
-    # Rows alike share a group; sums come in any order, so the last digits are cut.
-    found = found.select("doc_id", "content", "lang", (F.col("n") / F.col("times")).cast("long").alias("n_words"), F.round(F.col("nll") / F.col("times"), 7).alias("nll"), "times")
-    return found.withColumn("copy", F.explode(F.expr("sequence(1, times)"))).drop("copy", "times")
-
-
-def _with_shard(shards: int):
-    def run(batches):
-        for batch in batches:
-            s = shard_of(batch.column("key").to_numpy(), shards)
-            yield pa.RecordBatch.from_arrays([pa.array(s.astype(np.int32)), *(batch.column(x) for x in ("key", "weight", "next"))], names=["shard", "key", "weight", "next"])
-
-    return run
+    found = dealt.mapInArrow(_answer(shared, shards * groups), ANSWERED).repartitionById(shards * groups, F.col("part"))
+    found = found.mapInArrow(_sum_up, "doc_id long, content long, lang string, n_words long, nll double")
+    # Sums of the known part come in the order of the text; the last digits are cut.
+    return found.withColumn("nll", F.round("nll", 7))
 
 
 def content_of() -> Column:
@@ -458,9 +682,14 @@ def _quality(docs: DataFrame, labels: DataFrame, head: int, q: float, spread: fl
         n = F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), "")).cast("long")
         return slim.withColumns({"n_words": n, "score": F.lit(None).cast("double"), "threshold": F.lit(None).cast("double")}).select(out)
     model, packed = trained
-    scored = perplexities(slim, model, packed).withColumn("score", F.when(F.col("n_words") > 0, F.col("nll") / F.col("n_words")))
-    scored = materialize(scored, "scores")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    scored = []
+    for i in range(PASSES):
+        some = slim.where(F.pmod(F.col("content"), F.lit(PASSES)) == i)
+        scored.append(materialize(perplexities(some, model, packed, shared).withColumn("score", F.when(F.col("n_words") > 0, F.col("nll") / F.col("n_words"))), "scores"))
+    scored = reduce(DataFrame.unionByName, scored)
     discard(packed)
+    shared.destroy()
     grain = F.grouping("lang").alias("all")
 
     def per_language(value, at, enough):

@@ -2,6 +2,7 @@
 
 import bisect
 import os
+import pickle
 import random
 import re
 import zlib
@@ -488,3 +489,33 @@ def test_shards_hold_their_ngrams_and_no_shuffle_files_or_tables_stay(spark, doc
     assert spark.conf.get(store.CLEANUP, None) is None and {x[1] for x in written} == {"true"}
     left = {name for name, _, df in written if os.path.exists(df.stored_at.removeprefix("file://"))}
     assert "weights" in {x[0] for x in written} and left <= {"scores", "quantiles"}
+
+
+def test_frequent_words_have_several_shards_and_costs_stay(spark, docs, rows, monkeypatch):
+    """One word in every second place: its trigrams are dealt by the word before, its bigrams are whole in each shard, and what is sent is a trigram a word."""
+    monkeypatch.setattr(quality, "SHARD_LOG2", 7)
+    rng = np.random.default_rng(3)
+    data = [(i, " ".join(x for k in rng.integers(0, 40, 60) for x in (f"w{k}", "the")), "en") for i in range(60)]
+    data += [(100 + i, data[i][1] + " new words the w1", "en") for i in range(5)] + [data[59], (None, "the the w3", None), (200, None, "en")]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    ids = spark.createDataFrame([(i,) for i in range(50)], "doc_id long")
+    model, table = quality.train(df, ids, 20)
+    pieces = model.pieces(np.arange(len(model.known)))
+    assert model.shards > 2 and pieces.max() > 1
+    texts = df.select("doc_id", quality.content_of().alias("content"), "lang", "text").repartition(3)
+    got = sorted((str(r.doc_id), r.n_words, r.nll) for r in quality.perplexities(texts, model, table).collect())
+    plain = brute.kneser_ney([t for _, t, _ in data[:50]], [t for _, t, _ in data])
+    want = sorted((str(d), n, nll) for (d, _, _), (n, nll) in zip(data, plain, strict=True))
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert [g[2] for g in got] == pytest.approx([w[2] for w in want], abs=2e-6)
+    again = pickle.loads(pickle.dumps(model))
+    assert all((getattr(again, k) == getattr(model, k)).all() for k in quality.ARRAYS)
+
+
+def test_shards_keep_counts_not_weights():
+    """A trigram that occurs once takes a few bytes: before, 8 of its weight alone."""
+    key = np.unique(np.random.default_rng(5).integers(0, 1 << 40, 50_000))
+    row = next(quality._add_up([pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([quality._blob(np.diff(key, prepend=0))]), pa.array([quality._blob(np.ones(len(key), np.int64))])], names=["part", "keys", "counts"])]))
+    found, n = quality.unpack(row.column("keys")[0], row.column("weights")[0])
+    assert (found == key).all() and (n == 1).all()
+    assert len(row.column("keys")[0].as_py()) + len(row.column("weights")[0].as_py()) < 6 * len(key)
