@@ -33,7 +33,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridgecast.llm.batches import NOT_SPACE, STEP, U, by_group, chunks, doc_ids, mix, ranges, span_hashes, words
@@ -54,12 +54,14 @@ SHARD_LOG2 = 18
 #: Bits of the table that tells which n-grams are worth asking for: 16 for each n-gram, 2 ** 27 at most. A fuller table lets more through, to no other result.
 MOST_BITS_LOG2 = 27
 BROADCAST_ROWS = 1_000_000
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Trigrams that a task gathers before it sends them, counts that are told apart for the head, and the unit of sums that shards send back.
-GATHER = 2_000_000
+GATHER = 400_000
 COUNTS = 1 << 14
 ONE = 2.0**32
-#: Chunks that a shard answers at once.
+#: Chunks that a shard answers at once, and rows that Spark hands to Python at once: texts take memory on both sides.
 AT_ONCE = 32
+BATCH_ROWS = 2000
 #: Documents are scored in so many passes, by hash of their texts, so that only the trigrams of one pass lie on the disks.
 PASSES = 3
 
@@ -108,7 +110,7 @@ def keys(w, units: np.ndarray, bos: int) -> tuple[np.ndarray, np.ndarray, np.nda
 
 def _vocabulary(batches):
     for batch in batches:
-        for c in chunks(batch.column("text")):
+        for c in chunks(batch.column("text"), 1 << 20):
             w = words(c)
             h, first, n = np.unique(span_hashes(c.data, w.start, w.end), return_index=True, return_counts=True)
             s = shape(c, w)[first]
@@ -282,6 +284,12 @@ class Model:
     def __setstate__(self, state):
         self.__dict__.update({x: _unblob(pa.scalar(v[1], pa.binary()), v[0]) if x in ARRAYS and v is not None else v for x, v in state.items()})
 
+    def broadcast(self, spark: SparkSession):
+        """(what texts are asked with, what shards need): no worker holds both."""
+        none = np.zeros(0, np.int64)
+        shard = replace(self, known=none, unit=none, cost=none, rest=none, head_key=none, head_weight=none, bits=none)
+        return spark.sparkContext.broadcast(replace(self, p1=none, rest2=none, total2=none)), spark.sparkContext.broadcast(shard)
+
     @property
     def start(self) -> int:
         """The unit before a text."""
@@ -403,8 +411,8 @@ def train(docs: DataFrame, ids: DataFrame, head: int) -> tuple[Model, DataFrame]
     model.head_key, model.head_weight = key[order], weight[order]
     packed_slim = packed.select("shard", "keys", "weights")
     packed_slim.stored_at = packed.stored_at
-    # Bigrams without a mark, for which half the bits do.
-    model.bits = bit_table(packed_slim.mapInArrow(_keys_of_pairs, "key long"), n_pairs // 2)
+    # Bigrams without a mark, for which a quarter of the bits does.
+    model.bits = bit_table(packed_slim.mapInArrow(_keys_of_pairs, "key long"), n_pairs // 4)
     return model, packed_slim
 
 
@@ -645,18 +653,18 @@ def _sum_up(batches):
 
 
 def perplexities(docs: DataFrame, model: Model, packed: DataFrame, shared=None) -> DataFrame:
-    """Per row of ``docs`` (doc_id, content, lang, text): doc_id, content, lang, n_words, nll (in log10). ``shared``: the model, if it was broadcast before."""
+    """Per row of ``docs`` (doc_id, content, lang, text): doc_id, content, lang, n_words, nll (in log10). ``shared``: what ``Model.broadcast`` gave, if it was called before."""
     spark = docs.sparkSession
     shards = model.shards
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     groups = max(1, min(shuffle_width(spark) // shards, -(-size // GROUP_BYTES)))
-    shared = spark.sparkContext.broadcast(model) if shared is None else shared
+    asks, answers = model.broadcast(spark) if shared is None else shared
     packed = packed.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     none = [F.lit(None).cast(kind).alias(name) for name, kind in (x.split(" ") for x in ROWS.split(", "))]
     packed = packed.select((F.col("shard") * groups + F.col("group")).alias("part"), F.lit(0).alias("kind"), *none, "keys", "weights")
-    asked = docs.mapInArrow(_ask(shared, groups), ASKED)
+    asked = docs.mapInArrow(_ask(asks, groups), ASKED)
     dealt = asked.unionByName(packed).repartitionById(shards * groups, F.col("part")).sortWithinPartitions("kind")
-    found = dealt.mapInArrow(_answer(shared, shards * groups), ANSWERED).repartitionById(shards * groups, F.col("part"))
+    found = dealt.mapInArrow(_answer(answers, shards * groups), ANSWERED).repartitionById(shards * groups, F.col("part"))
     found = found.mapInArrow(_sum_up, "doc_id long, content long, lang string, n_words long, nll double")
     # Sums of the known part come in the order of the text; the last digits are cut.
     return found.withColumn("nll", F.round("nll", 7))
@@ -669,8 +677,14 @@ def content_of() -> Column:
 
 def quality(docs: DataFrame, labels: DataFrame, head: int = 1 << 17, q: float = 0.995, spread: float = 150.0, least: int = 200) -> DataFrame:
     """Per row of ``docs``: doc_id, lang, content, n_words, score, perplexity, threshold, keep."""
-    with tidy(docs.sparkSession):
-        return _quality(docs, labels, head, q, spread, least)
+    spark = docs.sparkSession
+    rows = spark.conf.get(ARROW_ROWS)
+    spark.conf.set(ARROW_ROWS, str(min(int(rows), BATCH_ROWS) if int(rows) > 0 else BATCH_ROWS))
+    try:
+        with tidy(spark):
+            return _quality(docs, labels, head, q, spread, least)
+    finally:
+        spark.conf.set(ARROW_ROWS, rows)
 
 
 def _quality(docs: DataFrame, labels: DataFrame, head: int, q: float, spread: float, least: int) -> DataFrame:
@@ -682,14 +696,15 @@ def _quality(docs: DataFrame, labels: DataFrame, head: int, q: float, spread: fl
         n = F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), "")).cast("long")
         return slim.withColumns({"n_words": n, "score": F.lit(None).cast("double"), "threshold": F.lit(None).cast("double")}).select(out)
     model, packed = trained
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = model.broadcast(docs.sparkSession)
     scored = []
     for i in range(PASSES):
         some = slim.where(F.pmod(F.col("content"), F.lit(PASSES)) == i)
         scored.append(materialize(perplexities(some, model, packed, shared).withColumn("score", F.when(F.col("n_words") > 0, F.col("nll") / F.col("n_words"))), "scores"))
     scored = reduce(DataFrame.unionByName, scored)
     discard(packed)
-    shared.destroy()
+    for x in shared:
+        x.destroy()
     grain = F.grouping("lang").alias("all")
 
     def per_language(value, at, enough):
