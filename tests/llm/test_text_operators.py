@@ -466,3 +466,20 @@ def test_steps_go_down_the_gradient():
 def test_the_model_grows_with_the_corpus():
     assert [maxent.levels_for(n) for n in (0, 100, 1008, 16368, 65520)] == [2, 2, 3, 4, 4]
     assert [maxent.rows_log2(1 << k) for k in (10, 25, 26, 28, 40)] == [15, 15, 16, 18, 18]
+
+
+def test_rows_move_whole_and_steps_equal_plain_ones():
+    """Whether a row and a place fit 32 bits or not."""
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    for size in (64, 1 << 18, 1 << 21):
+        w = rng.normal(size=(size, maxent.BRANCHES)).astype(np.float32)
+        at, grad = rng.integers(0, size, (2048, 3)) // 7 * 7 % size, rng.normal(size=(2048, maxent.BRANCHES)).astype(np.float32)
+        assert (maxent._take(w, at[:, 0]) == w[at[:, 0]]).all()
+        g = np.zeros((size, maxent.BRANCHES))
+        np.add.at(g, at.ravel(), np.repeat(grad, 3, axis=0))
+        mean = (g**2).mean(axis=1)
+        want, total = w - 0.1 * g / np.sqrt(mean + 1e-2)[:, None], np.zeros(size)
+        maxent._step(w, total, at, grad, 0.1)
+        assert np.allclose(w, want, atol=1e-4) and np.allclose(total, mean, rtol=1e-4)
