@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridgecast.config import Radio, Siting
+from ridgecast.operators.max_cover import exact
 from ridgecast.operators.spatial import near_any, weight_within
 
 
@@ -92,63 +93,8 @@ def greedy_local(cover: dict, demand: dict, sites: int) -> list[tuple]:
     return out
 
 
-def exact(cover: dict, demand: dict, sites: int, nodes: int = 200_000) -> tuple[list, float, bool]:
-    """(chosen, covered demand, proven) by branch and bound.
-
-    The bound of a node is Lagrangian: with a price on every open gap, the best ``k`` candidates at those prices plus what the prices leave over is at
-    least the optimum (Galvao and ReVelle, 1996). ``proven`` is False if ``nodes`` ran out first.
-    """
-    cover = {c: frozenset(g for g in gs if demand.get(g, 0) > 0) for c, gs in cover.items()}
-    cands = sorted((c for c in cover if cover[c]), key=lambda c: (-sum(demand[g] for g in cover[c]), c))
-    start = greedy_local({c: cover[c] for c in cands}, demand, sites)
-    best = [[c for c, _ in start], sum(g for _, g in start)]
-
-    def bound(open_, pool, k, rounds=30):
-        if not k:
-            return 0.0
-        price = {g: demand[g] for g in open_}
-        low = float("inf")
-        step = 1.0
-        for _ in range(rounds):
-            worth = sorted(((sum(price[g] for g in cover[c] if g in open_), c) for c in pool), reverse=True)[:k]
-            # x picks the best k at these prices; y covers a gap wherever its demand exceeds its price.
-            low = min(low, sum(w for w, _ in worth) + sum(max(0.0, demand[g] - price[g]) for g in open_))
-            times = dict.fromkeys(open_, 0)
-            for _, c in worth:
-                for g in cover[c]:
-                    if g in open_:
-                        times[g] += 1
-            for g in open_:
-                y = 1 if demand[g] - price[g] > 0 else 0
-                price[g] = min(demand[g], max(0.0, price[g] - step * demand[g] * 0.5 * (times[g] - y)))
-            step *= 0.9
-        return low
-
-    count = [0]
-
-    def visit(open_, pool, chosen, value):
-        if value > best[1] + 1e-9:
-            best[:] = [list(chosen), value]
-        k = sites - len(chosen)
-        if not k or not pool:
-            return True
-        count[0] += 1
-        if count[0] > nodes:
-            return False
-        if value + bound(open_, pool, k) <= best[1] + 1e-9:
-            return True
-        gain = {c: sum(demand[g] for g in cover[c] if g in open_) for c in pool}
-        c = max(pool, key=lambda c: (gain[c], -pool.index(c)))
-        rest = [x for x in pool if x != c and gain[x] > 0]
-        done = visit(open_ - cover[c], rest, [*chosen, c], value + gain[c])
-        return visit(open_, rest, chosen, value) and done
-
-    proven = visit(frozenset(g for g, d in demand.items() if d > 0), cands, [], 0.0)
-    return sorted(best[0]), best[1], proven
-
-
-def exact_sites(cover: DataFrame, gaps: DataFrame, sites: int, most_pairs: int = 2_000_000, nodes: int = 200_000) -> DataFrame:
-    """(cand_id, total_demand, proven): the exact solver works on the driver, so the cover's size is checked first."""
+def exact_sites(cover: DataFrame, gaps: DataFrame, sites: int, most_pairs: int = 2_000_000) -> DataFrame:
+    """(cand_id, total_demand, proven): the exact solver works on the driver, so the cover's size is checked first. It searches to the end."""
     pairs = cover.select("cand_id", "gap_id").distinct().cache()
     n = pairs.count()
     if n > most_pairs:
@@ -158,6 +104,6 @@ def exact_sites(cover: DataFrame, gaps: DataFrame, sites: int, most_pairs: int =
         sets.setdefault(r["cand_id"], []).append(r["gap_id"])
     demand = {r["gap_id"]: float(r["demand"]) for r in gaps.join(pairs.select("gap_id").distinct(), "gap_id", "left_semi").select("gap_id", "demand").toLocalIterator()}
     pairs.unpersist()
-    chosen, value, proven = exact(sets, demand, sites, nodes)
+    chosen, value, proven = exact(sets, demand, sites)
     kind = dict(cover.dtypes)["cand_id"]
     return cover.sparkSession.createDataFrame([(c, value, proven) for c in chosen], f"cand_id {kind}, total_demand double, proven boolean")

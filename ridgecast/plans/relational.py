@@ -491,7 +491,7 @@ def exact_sites(spark, d):
     """The configured number of sites over the kernel's cover, and whether they are proven best; branch and bound has no SQL form."""
     gaps = gaps_of(spark, d).select(F.col("cell_id").alias("gap_id"), "x", "y", "demand")
     cover = cover_of(spark, d, gaps.withColumnRenamed("gap_id", "cell_id"))
-    return siting.exact_sites(cover, gaps, SITES, nodes=100).agg(F.coalesce(F.max("total_demand"), F.lit(0.0)).alias("total_demand"), F.coalesce(F.bool_and("proven"), F.lit(True)).alias("proven"), F.count("*").alias("sites"))
+    return siting.exact_sites(cover, gaps, SITES).agg(F.coalesce(F.max("total_demand"), F.lit(0.0)).alias("total_demand"), F.coalesce(F.bool_and("proven"), F.lit(True)).alias("proven"), F.count("*").alias("sites"))
 
 
 RING = [(120_000.0, 120_000.0), (280_000.0, 140_000.0), (260_000.0, 290_000.0), (110_000.0, 260_000.0)]
